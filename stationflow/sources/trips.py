@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from stationflow.functions.columns import (
     decoded_file_name,
@@ -65,6 +66,7 @@ def read_trip_files(
     mode: str = "FAILFAST",
     strict: bool = False,
     with_user: bool = True,
+    schema: StructType = TRIP_SCHEMA,
 ) -> DataFrame:
     """One scan of every trip file in ``path``.
 
@@ -73,8 +75,9 @@ def read_trip_files(
     ``glob`` keeps only matching names (``*.json``); ``None`` reads every
     file, as the first variant did. ``mode`` is the JSON parse mode:
     ``FAILFAST`` raises on a malformed line. Parquet files are read with the
-    same record schema (``fmt="parquet"``)."""
-    reader = spark.read.schema(TRIP_SCHEMA)
+    same record schema (``fmt="parquet"``). ``schema`` may widen a field
+    type (for example a DOUBLE ``travel_time``) but keeps the field names."""
+    reader = spark.read.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if fmt == "json":
@@ -85,7 +88,7 @@ def read_trip_files(
         raise ValueError(f"unsupported trip file format: {fmt}")
     name = decoded_file_name()
     labelled = raw.select(
-        *[F.col(f) for f in TRIP_SCHEMA.fieldNames()],
+        *[F.col(f) for f in schema.fieldNames()],
         name.alias(FILE_NAME),
         month_label(name).alias(MONTH),
     )
@@ -99,12 +102,13 @@ def parse_trip_json(
     mode: str = "FAILFAST",
     strict: bool = False,
     with_user: bool = True,
+    schema: StructType = TRIP_SCHEMA,
 ) -> DataFrame:
     """Parse a column of JSON trip records (one object per row) in the plan.
 
     ``lines`` carries ``file_name``, ``month`` and the text column ``value``
     (for example from a streaming source or a text table)."""
-    rec = F.from_json(F.col(value), TRIP_SCHEMA, {"mode": mode}).alias("r")
+    rec = F.from_json(F.col(value), schema, {"mode": mode}).alias("r")
     parsed = lines.select(F.col(FILE_NAME), F.col(MONTH), rec).select(
         FILE_NAME, MONTH, "r.*"
     )
