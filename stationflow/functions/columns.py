@@ -42,7 +42,9 @@ def decoded_file_name() -> Column:
     ``url_decode`` would also turn a literal ``+`` into a space, so ``+`` is
     protected as ``%2B`` first."""
     raw = F.col("_metadata.file_name")
-    return F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+    decoded = F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+    # Most names hold no escape at all: skip the decode for them.
+    return F.when(raw.contains("%"), decoded).otherwise(raw)
 
 
 def yyyymm(ts: Column | str, data_type: T.DataType) -> Column:

@@ -20,12 +20,15 @@ from stationflow.functions.columns import (
     is_destination,
     is_origin,
     midpoint,
+    month_label,
 )
 from stationflow.schema import (
     CONNECTIONS,
     DESTINATION,
+    FILE_NAME,
     GRAIN,
     MEAN_TIME,
+    MONTH,
     ORIGIN,
     OTHER_STATION,
     ROLE,
@@ -39,6 +42,13 @@ from stationflow.schema import (
 
 KEYS = (*GRAIN, STATION)
 
+
+def _with_month(grouped: DataFrame, *rest: str) -> DataFrame:
+    """Per-file rows grouped on ``file_name`` only: the month label is a
+    function of the file name, so it is derived after the aggregation
+    (one short string fewer in every shuffled row, none built per trip)."""
+    return grouped.select(FILE_NAME, month_label(FILE_NAME).alias(MONTH), *rest)
+
 # Internal columns of station_stats.
 N_FROM = "n_from"
 N_TO = "n_to"
@@ -58,7 +68,7 @@ def station_stats(ends: DataFrame) -> DataFrame:
     connection but is left out of the means."""
     t = F.col(TRAVEL_TIME)
     t_rounded = half_even_value(TRAVEL_TIME)
-    return ends.groupBy(*KEYS).agg(
+    stats = ends.groupBy(FILE_NAME, STATION).agg(
         F.count(F.lit(1)).alias(CONNECTIONS),
         F.count(F.when(is_origin(), F.lit(1))).alias(N_FROM),
         F.count(F.when(is_destination(), F.lit(1))).alias(N_TO),
@@ -67,6 +77,9 @@ def station_stats(ends: DataFrame) -> DataFrame:
         F.avg(F.when(is_origin(), t_rounded)).alias(LIST_TIME_FROM),
         F.avg(F.when(is_destination(), t_rounded)).alias(LIST_TIME_TO),
     )
+    return _with_month(
+        stats, STATION, CONNECTIONS, N_FROM, N_TO, TIME_FROM, TIME_TO, LIST_TIME_FROM, LIST_TIME_TO
+    )
 
 
 # --- projections of station_stats -------------------------------------------
@@ -140,9 +153,10 @@ def connections_with_time(ends: DataFrame, *, rounded: bool = False) -> DataFram
 
 def _avg_time(trips: DataFrame, by: str, name: str, rounded: bool) -> DataFrame:
     mean = F.avg(TRAVEL_TIME)
-    return trips.groupBy(*GRAIN, F.col(by).alias(STATION)).agg(
+    grouped = trips.groupBy(FILE_NAME, F.col(by).alias(STATION)).agg(
         (half_even(mean) if rounded else mean).alias(name)
     )
+    return _with_month(grouped, STATION, name)
 
 
 def avg_time_from(trips: DataFrame, *, rounded: bool = False) -> DataFrame:
@@ -184,9 +198,10 @@ def connection_lists(ends: DataFrame) -> DataFrame:
     This loses nothing (``sum(n)`` is the list length, the connections) and
     never gathers a whole list into one task or row, which would not scale
     for a busy station."""
-    return ends.groupBy(*KEYS, ROLE, OTHER_STATION, TRAVEL_TIME).agg(
+    grouped = ends.groupBy(FILE_NAME, STATION, ROLE, OTHER_STATION, TRAVEL_TIME).agg(
         F.count(F.lit(1)).alias(MULTIPLICITY)
     )
+    return _with_month(grouped, STATION, ROLE, OTHER_STATION, TRAVEL_TIME, MULTIPLICITY)
 
 
 def split_connection_lists(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -216,10 +231,16 @@ def list_role_means(leaving: DataFrame, reaching: DataFrame, *, rounded: bool =
         on = F.col(side) == F.lit(which)
         return F.sum(F.when(on, weighted)) / F.sum(F.when(on, timed))
 
-    out = stacked.groupBy(*KEYS).agg(
-        F.sum(n).alias(CONNECTIONS),
-        side_mean(0).alias(TIME_FROM),
-        side_mean(1).alias(TIME_TO),
+    out = _with_month(
+        stacked.groupBy(FILE_NAME, STATION).agg(
+            F.sum(n).alias(CONNECTIONS),
+            side_mean(0).alias(TIME_FROM),
+            side_mean(1).alias(TIME_TO),
+        ),
+        STATION,
+        CONNECTIONS,
+        TIME_FROM,
+        TIME_TO,
     )
     if rounded:
         return out.select(
