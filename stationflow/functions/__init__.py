@@ -1,23 +1,35 @@
 from stationflow.functions.columns import (
+    DESTINATION_END_SQL,
+    ORIGIN_END_SQL,
     decoded_file_name,
     half_even,
+    half_even_sql,
     half_even_value,
+    half_even_value_sql,
     is_destination,
     is_origin,
     midpoint,
+    midpoint_sql,
     month_label,
+    month_label_sql,
     require_not_null,
-    yyyymm,
+    when_sql,
 )
 
 __all__ = [
+    "DESTINATION_END_SQL",
+    "ORIGIN_END_SQL",
     "decoded_file_name",
     "half_even",
+    "half_even_sql",
     "half_even_value",
+    "half_even_value_sql",
     "is_destination",
     "is_origin",
     "midpoint",
+    "midpoint_sql",
     "month_label",
+    "month_label_sql",
     "require_not_null",
-    "yyyymm",
+    "when_sql",
 ]

@@ -1,71 +1,93 @@
-"""Column expressions shared by the operators. All are built-in Spark
-expressions, so they stay inside whole-stage code generation."""
+"""Expressions shared by the operators.
+
+Each is written once as Spark SQL text (``*_sql``) and offered as a Column
+too. Operators build their projections and aggregates from the SQL text with
+``selectExpr``/``expr``: the plan is the same as with Column objects, but a
+whole expression crosses from Python to the JVM in one call instead of one
+call per node. All are built-in expressions and stay in whole-stage code
+generation."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stationflow.schema import MONTH_LABEL_LENGTH, ROLE, ROLE_DESTINATION, ROLE_ORIGIN
 
+# --- SQL text -------------------------------------------------------------------
 
-def half_even(col: Column | str) -> Column:
+
+def half_even_sql(expr: str) -> str:
     """Round to the nearest integer, ties to the even neighbour (2.5 -> 2,
-    3.5 -> 4), as BIGINT. ``F.round`` would round ties away from zero."""
-    return F.bround(F.col(col) if isinstance(col, str) else col, 0).cast("bigint")
+    3.5 -> 4), as BIGINT. ``round`` would round ties away from zero."""
+    return f"CAST(bround({expr}, 0) AS BIGINT)"
 
 
-def half_even_value(col: Column | str) -> Column:
-    """Half-even rounding that keeps the input type (a BIGINT stays BIGINT,
-    a DOUBLE stays DOUBLE): rounding of each trip time before averaging."""
-    return F.bround(F.col(col) if isinstance(col, str) else col, 0)
+def half_even_value_sql(expr: str) -> str:
+    """Half-even rounding that keeps the input type (BIGINT stays BIGINT,
+    DOUBLE stays DOUBLE)."""
+    return f"bround({expr}, 0)"
 
 
-def midpoint(a: Column | str, b: Column | str) -> Column:
+def midpoint_sql(a: str, b: str) -> str:
     """Unweighted mean of two values, true division, DOUBLE."""
-    a = F.col(a) if isinstance(a, str) else a
-    b = F.col(b) if isinstance(b, str) else b
-    return (a + b) / F.lit(2.0)
+    return f"(({a}) + ({b})) / 2.0D"
 
 
-def month_label(file_name: Column | str) -> Column:
+def month_label_sql(file_name: str) -> str:
     """First six characters of a file name (``201801_usage.json`` -> ``201801``)."""
-    c = F.col(file_name) if isinstance(file_name, str) else file_name
-    return F.substring(c, 1, MONTH_LABEL_LENGTH)
+    return f"substring({file_name}, 1, {MONTH_LABEL_LENGTH})"
 
 
-def decoded_file_name() -> Column:
-    """Name of the file a row was read from, as written on disk.
+ORIGIN_END_SQL = f"{ROLE} = '{ROLE_ORIGIN}'"
+DESTINATION_END_SQL = f"{ROLE} = '{ROLE_DESTINATION}'"
+
+
+def when_sql(cond: str, value: str) -> str:
+    return f"CASE WHEN {cond} THEN {value} END"
 
-    ``_metadata.file_name`` comes URL-encoded (a space shows as ``%20``).
-    ``url_decode`` would also turn a literal ``+`` into a space, so ``+`` is
-    protected as ``%2B`` first."""
-    raw = F.col("_metadata.file_name")
-    decoded = F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
-    # Most names hold no escape at all: skip the decode for them.
-    return F.when(raw.contains("%"), decoded).otherwise(raw)
 
+# --- Columns ----------------------------------------------------------------------
 
-def yyyymm(ts: Column | str, data_type: T.DataType) -> Column:
-    """``yyyyMM`` calendar month of a timestamp or date column.
 
-    A TIMESTAMP_NTZ or DATE is formatted as stored. A TIMESTAMP (instant) is
-    formatted on its UTC calendar day so that the label does not depend on
-    the session time zone."""
-    c = F.col(ts) if isinstance(ts, str) else ts
-    if isinstance(data_type, T.TimestampType):
-        utc_day = F.date_from_unix_date(F.floor(F.unix_micros(c) / F.lit(86_400_000_000)).cast("int"))
-        return F.date_format(utc_day, "yyyyMM")
-    return F.date_format(c, "yyyyMM")
+def _sql(col: Column | str) -> Column:
+    return F.col(col) if isinstance(col, str) else col
+
+
+def half_even(col: Column | str) -> Column:
+    return F.bround(_sql(col), 0).cast("bigint")
+
+
+def half_even_value(col: Column | str) -> Column:
+    return F.bround(_sql(col), 0)
+
+
+def midpoint(a: Column | str, b: Column | str) -> Column:
+    return (_sql(a) + _sql(b)) / F.lit(2.0)
+
+
+def month_label(file_name: Column | str) -> Column:
+    return F.substring(_sql(file_name), 1, MONTH_LABEL_LENGTH)
 
 
 def is_origin() -> Column:
-    return F.col(ROLE) == F.lit(ROLE_ORIGIN)
+    return F.expr(ORIGIN_END_SQL)
 
 
 def is_destination() -> Column:
-    return F.col(ROLE) == F.lit(ROLE_DESTINATION)
+    return F.expr(DESTINATION_END_SQL)
+
+
+def decoded_file_name() -> Column:
+    """Name of the file a row was read from, as written on disk.
+
+    ``_metadata.file_name`` comes URL-encoded (a space shows as ``%20``).
+    ``url_decode`` would also turn a literal ``+`` into a space, so ``+`` is
+    protected as ``%2B`` first. Names without any escape are kept as they
+    are, which skips the decode for nearly every file."""
+    raw = F.col("_metadata.file_name")
+    decoded = F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
+    return F.when(raw.contains("%"), decoded).otherwise(raw)
 
 
 def require_not_null(col: str, what: str) -> Column:

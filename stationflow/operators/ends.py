@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from stationflow.schema import (
     ANNUAL_USER_TYPE,
     DESTINATION,
-    GRAIN,
+    FILE_NAME,
+    MONTH,
     ORIGIN,
     OTHER_STATION,
     ROLE,
@@ -27,7 +27,16 @@ def filter_user_type(trips: DataFrame, user_type: int | None = ANNUAL_USER_TYPE)
     pushed-down filter."""
     if user_type is None:
         return trips
-    return trips.where(F.col(USER_TYPE) == F.lit(user_type))
+    return trips.where(f"{USER_TYPE} = {int(user_type)}")
+
+
+# One generator call turns a trip into its two ends in the scan stage: no
+# second scan and no union.
+_BOTH_ENDS = (
+    "inline(array("
+    f"named_struct('{STATION}', {ORIGIN}, '{OTHER_STATION}', {DESTINATION}, '{ROLE}', '{ROLE_ORIGIN}'), "
+    f"named_struct('{STATION}', {DESTINATION}, '{OTHER_STATION}', {ORIGIN}, '{ROLE}', '{ROLE_DESTINATION}')))"
+)
 
 
 def trip_ends(trips: DataFrame) -> DataFrame:
@@ -35,20 +44,8 @@ def trip_ends(trips: DataFrame) -> DataFrame:
 
     ``station`` is the station of this end, ``other_station`` the station at
     the other end, ``role`` says which end it is. A trip from a station to
-    itself gives two ends at that station. Built with one generator over a
-    single scan, not a union of two scans."""
-    both = F.array(
-        F.struct(
-            F.col(ORIGIN).alias(STATION),
-            F.col(DESTINATION).alias(OTHER_STATION),
-            F.lit(ROLE_ORIGIN).alias(ROLE),
-        ),
-        F.struct(
-            F.col(DESTINATION).alias(STATION),
-            F.col(ORIGIN).alias(OTHER_STATION),
-            F.lit(ROLE_DESTINATION).alias(ROLE),
-        ),
-    )
-    return trips.select(*GRAIN, TRAVEL_TIME, F.inline(both)).select(
-        *GRAIN, STATION, OTHER_STATION, TRAVEL_TIME, ROLE
+    itself gives two ends at that station.
+    ``file_name, month, station, other_station, travel_time, role``."""
+    return trips.selectExpr(FILE_NAME, MONTH, TRAVEL_TIME, _BOTH_ENDS).select(
+        FILE_NAME, MONTH, STATION, OTHER_STATION, TRAVEL_TIME, ROLE
     )

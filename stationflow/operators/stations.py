@@ -7,7 +7,11 @@ partial aggregation in every scan task and a final one after the shuffle,
 so the shuffle carries one row per (task, file, station) whatever the number
 of trips, and a station holding a large share of all trips costs no more to
 shuffle than any other. Columns a query does not use are pruned from the
-aggregation by Catalyst."""
+aggregation by Catalyst.
+
+Per-file rows are grouped on ``file_name`` alone: the month label is a
+function of the file name, so it is derived after the aggregation (one
+string fewer in every shuffled row, none built per trip)."""
 
 from __future__ import annotations
 
@@ -15,12 +19,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.functions.columns import (
-    half_even,
-    half_even_value,
-    is_destination,
-    is_origin,
-    midpoint,
-    month_label,
+    DESTINATION_END_SQL,
+    ORIGIN_END_SQL,
+    half_even_sql,
+    half_even_value_sql,
+    midpoint_sql,
+    month_label_sql,
+    when_sql,
 )
 from stationflow.schema import (
     CONNECTIONS,
@@ -42,13 +47,6 @@ from stationflow.schema import (
 
 KEYS = (*GRAIN, STATION)
 
-
-def _with_month(grouped: DataFrame, *rest: str) -> DataFrame:
-    """Per-file rows grouped on ``file_name`` only: the month label is a
-    function of the file name, so it is derived after the aggregation
-    (one short string fewer in every shuffled row, none built per trip)."""
-    return grouped.select(FILE_NAME, month_label(FILE_NAME).alias(MONTH), *rest)
-
 # Internal columns of station_stats.
 N_FROM = "n_from"
 N_TO = "n_to"
@@ -56,6 +54,14 @@ LIST_TIME_FROM = "list_time_from"
 LIST_TIME_TO = "list_time_to"
 
 
+def _with_month(grouped: DataFrame, *rest: str) -> DataFrame:
+    return grouped.selectExpr(FILE_NAME, f"{month_label_sql(FILE_NAME)} AS {MONTH}", *rest)
+
+
+def _agg(*named_sql: tuple[str, str]):
+    return [F.expr(f"{sql} AS {name}") for name, sql in named_sql]
+
+
 def station_stats(ends: DataFrame) -> DataFrame:
     """One row per (file, station) with every statistic the reports need.
 
@@ -66,16 +72,17 @@ def station_stats(ends: DataFrame) -> DataFrame:
                       first (the rounded connection-list path)
     A NULL station is a station of its own; a NULL travel time counts as a
     connection but is left out of the means."""
-    t = F.col(TRAVEL_TIME)
-    t_rounded = half_even_value(TRAVEL_TIME)
+    rounded = half_even_value_sql(TRAVEL_TIME)
     stats = ends.groupBy(FILE_NAME, STATION).agg(
-        F.count(F.lit(1)).alias(CONNECTIONS),
-        F.count(F.when(is_origin(), F.lit(1))).alias(N_FROM),
-        F.count(F.when(is_destination(), F.lit(1))).alias(N_TO),
-        F.avg(F.when(is_origin(), t)).alias(TIME_FROM),
-        F.avg(F.when(is_destination(), t)).alias(TIME_TO),
-        F.avg(F.when(is_origin(), t_rounded)).alias(LIST_TIME_FROM),
-        F.avg(F.when(is_destination(), t_rounded)).alias(LIST_TIME_TO),
+        *_agg(
+            (CONNECTIONS, "count(1)"),
+            (N_FROM, f"count({when_sql(ORIGIN_END_SQL, '1')})"),
+            (N_TO, f"count({when_sql(DESTINATION_END_SQL, '1')})"),
+            (TIME_FROM, f"avg({when_sql(ORIGIN_END_SQL, TRAVEL_TIME)})"),
+            (TIME_TO, f"avg({when_sql(DESTINATION_END_SQL, TRAVEL_TIME)})"),
+            (LIST_TIME_FROM, f"avg({when_sql(ORIGIN_END_SQL, rounded)})"),
+            (LIST_TIME_TO, f"avg({when_sql(DESTINATION_END_SQL, rounded)})"),
+        )
     )
     return _with_month(
         stats, STATION, CONNECTIONS, N_FROM, N_TO, TIME_FROM, TIME_TO, LIST_TIME_FROM, LIST_TIME_TO
@@ -92,10 +99,12 @@ def connections_of(stats: DataFrame) -> DataFrame:
 def station_times_of(stats: DataFrame, *, rounded: bool) -> DataFrame:
     """Mean departure and arrival time of stations that have both (a station
     with trips in one direction only has no time score)."""
-    both = stats.where((F.col(N_FROM) > 0) & (F.col(N_TO) > 0))
+    both = stats.where(f"{N_FROM} > 0 AND {N_TO} > 0")
     if rounded:
-        return both.select(
-            *KEYS, half_even(TIME_FROM).alias(TIME_FROM), half_even(TIME_TO).alias(TIME_TO)
+        return both.selectExpr(
+            *KEYS,
+            f"{half_even_sql(TIME_FROM)} AS {TIME_FROM}",
+            f"{half_even_sql(TIME_TO)} AS {TIME_TO}",
         )
     return both.select(*KEYS, TIME_FROM, TIME_TO)
 
@@ -107,11 +116,11 @@ def role_means_of(stats: DataFrame, *, rounded: bool) -> DataFrame:
     rounded. A station without trips in one direction keeps its row with
     that mean NULL."""
     if rounded:
-        return stats.select(
+        return stats.selectExpr(
             *KEYS,
             CONNECTIONS,
-            half_even(LIST_TIME_FROM).alias(TIME_FROM),
-            half_even(LIST_TIME_TO).alias(TIME_TO),
+            f"{half_even_sql(LIST_TIME_FROM)} AS {TIME_FROM}",
+            f"{half_even_sql(LIST_TIME_TO)} AS {TIME_TO}",
         )
     return stats.select(*KEYS, CONNECTIONS, TIME_FROM, TIME_TO)
 
@@ -120,7 +129,7 @@ def connections_with_time_of(stats: DataFrame, *, rounded: bool) -> DataFrame:
     """Connections and the midpoint of the two role means (DOUBLE; NULL when
     the station lacks one direction)."""
     means = role_means_of(stats, rounded=rounded)
-    return means.select(*KEYS, CONNECTIONS, midpoint(TIME_FROM, TIME_TO).alias(MEAN_TIME))
+    return means.selectExpr(*KEYS, CONNECTIONS, f"{midpoint_sql(TIME_FROM, TIME_TO)} AS {MEAN_TIME}")
 
 
 # --- operators on trip ends --------------------------------------------------
@@ -152,10 +161,8 @@ def connections_with_time(ends: DataFrame, *, rounded: bool = False) -> DataFram
 
 
 def _avg_time(trips: DataFrame, by: str, name: str, rounded: bool) -> DataFrame:
-    mean = F.avg(TRAVEL_TIME)
-    grouped = trips.groupBy(FILE_NAME, F.col(by).alias(STATION)).agg(
-        (half_even(mean) if rounded else mean).alias(name)
-    )
+    mean = half_even_sql(f"avg({TRAVEL_TIME})") if rounded else f"avg({TRAVEL_TIME})"
+    grouped = trips.groupBy(FILE_NAME, F.col(by).alias(STATION)).agg(*_agg((name, mean)))
     return _with_month(grouped, STATION, name)
 
 
@@ -174,7 +181,9 @@ def station_times_join(trips: DataFrame, *, rounded: bool = False) -> DataFrame:
 
     Keys are compared null-safely, so a NULL station matches itself as in a
     plain grouping. Gives the same rows as :func:`station_times`, which
-    avoids the join and its second aggregation."""
+    avoids the join and its second aggregation. Both sides are per-file
+    station tables (files x stations rows), so AQE sees their real size at
+    run time and picks the join strategy."""
     left = avg_time_from(trips, rounded=rounded)
     right = avg_time_to(trips, rounded=rounded).select(
         *[F.col(c).alias(f"_r_{c}") for c in KEYS], F.col(TIME_TO)
@@ -199,7 +208,7 @@ def connection_lists(ends: DataFrame) -> DataFrame:
     never gathers a whole list into one task or row, which would not scale
     for a busy station."""
     grouped = ends.groupBy(FILE_NAME, STATION, ROLE, OTHER_STATION, TRAVEL_TIME).agg(
-        F.count(F.lit(1)).alias(MULTIPLICITY)
+        *_agg((MULTIPLICITY, "count(1)"))
     )
     return _with_month(grouped, STATION, ROLE, OTHER_STATION, TRAVEL_TIME, MULTIPLICITY)
 
@@ -209,8 +218,8 @@ def split_connection_lists(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
     trips reaching it: two tables of
     ``file_name, month, station, other_station, travel_time, n``."""
     cols = (*KEYS, OTHER_STATION, TRAVEL_TIME, MULTIPLICITY)
-    leaving = lists.where(F.col(ROLE) == F.lit(ROLE_ORIGIN)).select(*cols)
-    reaching = lists.where(F.col(ROLE) == F.lit(ROLE_DESTINATION)).select(*cols)
+    leaving = lists.where(f"{ROLE} = '{ROLE_ORIGIN}'").select(*cols)
+    reaching = lists.where(f"{ROLE} = '{ROLE_DESTINATION}'").select(*cols)
     return leaving, reaching
 
 
@@ -222,31 +231,20 @@ def list_role_means(leaving: DataFrame, reaching: DataFrame, *, rounded: bool =
     aggregation (weighted by multiplicity) rather than joined."""
     side = "_side"
     stacked = leaving.withColumn(side, F.lit(0)).unionByName(reaching.withColumn(side, F.lit(1)))
-    t = half_even_value(TRAVEL_TIME) if rounded else F.col(TRAVEL_TIME)
-    n = F.col(MULTIPLICITY)
-    weighted = t * n
-    timed = F.when(t.isNotNull(), n)
-
-    def side_mean(which: int):
-        on = F.col(side) == F.lit(which)
-        return F.sum(F.when(on, weighted)) / F.sum(F.when(on, timed))
-
-    out = _with_month(
-        stacked.groupBy(FILE_NAME, STATION).agg(
-            F.sum(n).alias(CONNECTIONS),
-            side_mean(0).alias(TIME_FROM),
-            side_mean(1).alias(TIME_TO),
-        ),
-        STATION,
-        CONNECTIONS,
-        TIME_FROM,
-        TIME_TO,
+    t = half_even_value_sql(TRAVEL_TIME) if rounded else TRAVEL_TIME
+    n = MULTIPLICITY
+
+    def side_mean(which: int) -> str:
+        on = f"{side} = {which}"
+        weighted = f"sum({when_sql(on, f'({t}) * {n}')})"
+        timed = f"sum({when_sql(f'{on} AND ({t}) IS NOT NULL', n)})"
+        mean = f"{weighted} / {timed}"
+        return half_even_sql(mean) if rounded else mean
+
+    grouped = stacked.groupBy(FILE_NAME, STATION).agg(
+        *_agg((CONNECTIONS, f"sum({n})"), (TIME_FROM, side_mean(0)), (TIME_TO, side_mean(1)))
     )
-    if rounded:
-        return out.select(
-            *KEYS, CONNECTIONS, half_even(TIME_FROM).alias(TIME_FROM), half_even(TIME_TO).alias(TIME_TO)
-        )
-    return out
+    return _with_month(grouped, STATION, CONNECTIONS, TIME_FROM, TIME_TO)
 
 
 __all__ = [

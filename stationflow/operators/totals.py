@@ -12,25 +12,24 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.functions.columns import half_even
+from stationflow.functions.columns import half_even_sql
 from stationflow.schema import CONNECTIONS, MEAN_TIME, STATION, TIME_FROM, TIME_TO
 
 
+def _mean_rounded(col: str):
+    return F.expr(f"{half_even_sql(f'avg({col})')} AS {col}")
+
+
 def total_connections(per_file: DataFrame, *, with_time: bool = False) -> DataFrame:
     """``station, connections[, mean_time]``, BIGINT, from a per-file
     connection table (with ``mean_time`` when ``with_time``)."""
-    aggs = [half_even(F.avg(CONNECTIONS)).alias(CONNECTIONS)]
-    if with_time:
-        aggs.append(half_even(F.avg(MEAN_TIME)).alias(MEAN_TIME))
-    return per_file.groupBy(STATION).agg(*aggs)
+    cols = [CONNECTIONS] + ([MEAN_TIME] if with_time else [])
+    return per_file.groupBy(STATION).agg(*[_mean_rounded(c) for c in cols])
 
 
 def total_times(per_file: DataFrame) -> DataFrame:
     """``station, time_from, time_to``, BIGINT, from a per-file time table."""
-    return per_file.groupBy(STATION).agg(
-        half_even(F.avg(TIME_FROM)).alias(TIME_FROM),
-        half_even(F.avg(TIME_TO)).alias(TIME_TO),
-    )
+    return per_file.groupBy(STATION).agg(_mean_rounded(TIME_FROM), _mean_rounded(TIME_TO))
 
 
 def union_months(*per_file: DataFrame) -> DataFrame:

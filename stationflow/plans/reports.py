@@ -13,9 +13,8 @@ aggregation per file and station, then a per-file window or a second
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from stationflow.functions.columns import midpoint
+from stationflow.functions.columns import midpoint_sql
 from stationflow.operators.ends import filter_user_type, trip_ends
 from stationflow.operators.rank import top_k, top_k_per_file
 from stationflow.operators.stations import (
@@ -42,8 +41,7 @@ def _stats(trips: DataFrame, user_type: int | None) -> DataFrame:
     return station_stats(trip_ends(filter_user_type(trips, user_type)))
 
 
-def time_score():
-    return midpoint(TIME_FROM, TIME_TO)
+TIME_SCORE = midpoint_sql(TIME_FROM, TIME_TO)
 
 
 # --- per-file rankings --------------------------------------------------------
@@ -51,7 +49,7 @@ def time_score():
 
 def top_times_of(stats: DataFrame, *, rounded: bool, k: int = TOP_PER_FILE) -> DataFrame:
     times = station_times_of(stats, rounded=rounded)
-    return top_k_per_file(times, time_score(), k).select(
+    return top_k_per_file(times, TIME_SCORE, k).select(
         *GRAIN, RANK, STATION, TIME_FROM, TIME_TO
     )
 
@@ -67,7 +65,7 @@ def top_times(
 
 def top_connections_time_of(stats: DataFrame, *, rounded: bool, k: int = TOP_PER_FILE) -> DataFrame:
     table = connections_with_time_of(stats, rounded=rounded)
-    return top_k_per_file(table, F.col(CONNECTIONS), k).select(
+    return top_k_per_file(table, CONNECTIONS, k).select(
         *GRAIN, RANK, STATION, CONNECTIONS, MEAN_TIME
     )
 
@@ -81,7 +79,7 @@ def top_connections_time(
 
 
 def top_connections_of(stats: DataFrame, *, k: int = TOP_PER_FILE) -> DataFrame:
-    return top_k_per_file(connections_of(stats), F.col(CONNECTIONS), k).select(
+    return top_k_per_file(connections_of(stats), CONNECTIONS, k).select(
         *GRAIN, RANK, STATION, CONNECTIONS
     )
 
@@ -100,7 +98,7 @@ def total_connections_report_of(stats: DataFrame, *, with_time: bool, k: int = T
         connections_with_time_of(stats, rounded=True) if with_time else connections_of(stats)
     )
     totals = total_connections(per_file, with_time=with_time)
-    return top_k(totals, F.col(CONNECTIONS), k)
+    return top_k(totals, CONNECTIONS, k)
 
 
 def total_connections_report(
@@ -113,7 +111,7 @@ def total_connections_report(
 
 def total_times_report_of(stats: DataFrame, *, k: int = TOP_TOTAL) -> DataFrame:
     totals = total_times(station_times_of(stats, rounded=True))
-    return top_k(totals, time_score(), k)
+    return top_k(totals, TIME_SCORE, k)
 
 
 def total_times_report(trips: DataFrame, *, user_type: int | None = 1, k: int = TOP_TOTAL) -> DataFrame:

@@ -7,7 +7,7 @@ all operators downstream are source-agnostic."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.types import StructType
@@ -48,13 +48,11 @@ def project_trips(raw: DataFrame, *, with_user: bool = True, strict: bool = Fals
     ``with_user=False`` is the three-field projection of the earlier
     variants. ``strict=True`` fails the job on a record that lacks one of
     the read fields, instead of carrying a NULL."""
-    cols: list[Column] = [F.col(FILE_NAME), F.col(MONTH)]
     wanted = [TRAVEL_TIME, ORIGIN, DESTINATION] + ([USER_TYPE] if with_user else [])
-    for name in wanted:
-        field = _FIELDS[name]
-        c = require_not_null(field, field) if strict else F.col(field)
-        cols.append(c.alias(name))
-    return raw.select(*cols)
+    if strict:
+        cols = [require_not_null(_FIELDS[n], _FIELDS[n]).alias(n) for n in wanted]
+        return raw.select(F.col(FILE_NAME), F.col(MONTH), *cols)
+    return raw.selectExpr(FILE_NAME, MONTH, *[f"`{_FIELDS[n]}` AS {n}" for n in wanted])
 
 
 def read_trip_files(
@@ -154,16 +152,14 @@ def trip_records_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = spark.read.schema(LINEITEM_TRIP_COLUMNS).parquet(f"{sf_dir}/lineitem.parquet")
     # yyyyMM built from integer fields (cheaper per row than a date
     # formatter); the month label is the first six characters of the name.
-    ship = F.col("l_shipdate")
-    ym = (F.year(ship) * F.lit(100) + F.month(ship)).cast("string")
-    file_name = F.concat(ym, F.lit("_usage.json"))
-    return li.select(
-        file_name.alias(FILE_NAME),
-        ym.alias(MONTH),
-        F.col("l_quantity").cast("bigint").alias(FIELD_TRAVEL_TIME),
-        (F.col("l_suppkey") % F.lit(LINEITEM_ORIGINS)).alias(FIELD_ORIGIN),
-        (F.col("l_partkey") % F.lit(LINEITEM_DESTINATIONS)).alias(FIELD_DESTINATION),
-        F.col("l_linenumber").cast("bigint").alias(FIELD_USER_TYPE),
+    ym = "CAST(year(l_shipdate) * 100 + month(l_shipdate) AS STRING)"
+    return li.selectExpr(
+        f"concat({ym}, '_usage.json') AS {FILE_NAME}",
+        f"{ym} AS {MONTH}",
+        f"CAST(l_quantity AS BIGINT) AS {FIELD_TRAVEL_TIME}",
+        f"l_suppkey % {LINEITEM_ORIGINS} AS {FIELD_ORIGIN}",
+        f"l_partkey % {LINEITEM_DESTINATIONS} AS {FIELD_DESTINATION}",
+        f"CAST(l_linenumber AS BIGINT) AS {FIELD_USER_TYPE}",
     )
 
 
