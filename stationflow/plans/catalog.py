@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from stationflow import operators as op
 from stationflow.functions.columns import month_label
 from stationflow.plans import reports
-from stationflow.schema import FILE_NAME, MONTH
+from stationflow.schema import CONNECTIONS, FILE_NAME, MONTH, STATION
 from stationflow.sources.files import new_shared_folder, write_trip_files
 from stationflow.sources.trips import (
     parse_trip_json,
@@ -25,11 +25,14 @@ from stationflow.sources.trips import (
     trip_records_json,
     trips_from_lineitem,
 )
+from stationflow.streaming import read_trip_stream, start_incremental_stats, stored_station_stats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Months of the first of two separately processed batches in ``union_months``.
 _FIRST_BATCH_BEFORE = "199807"
+# Files per micro-batch in ``stream_connections``.
+_FILES_PER_TRIGGER = 16
 
 
 def _trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,6 +71,22 @@ def _union_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _stream_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The incremental path end to end: trips written as monthly files, a
+    file stream (several files per micro-batch) appending per-file station
+    tables, and the accumulated table read back. Connections add up over
+    the files of a month, so the result is per month label and station."""
+    base = new_shared_folder(spark, "trip-stream")
+    write_trip_files(_trips(spark, sf_dir), f"{base}/files")
+    stream = read_trip_stream(spark, f"{base}/files", max_files_per_trigger=_FILES_PER_TRIGGER)
+    query = start_incremental_stats(
+        stream, f"{base}/stats", f"{base}/checkpoint", user_type=None, available_now=True
+    )
+    query.awaitTermination()
+    stats = stored_station_stats(spark, f"{base}/stats")
+    return stats.groupBy(MONTH, STATION).agg(F.expr(f"sum({CONNECTIONS}) AS {CONNECTIONS}"))
+
+
 def _split_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     leaving, reaching = op.split_connection_lists(op.connection_lists(_ends(spark, sf_dir)))
     return op.list_role_means(leaving, reaching, rounded=False)
@@ -102,6 +121,7 @@ QUERIES: dict[str, Query] = {
     "station_times_rounded": lambda s, d: op.station_times(_ends(s, d), rounded=True),
     "station_times_annual": lambda s, d: op.station_times(_annual_ends(s, d), rounded=True),
     "union_months": _union_months,
+    "stream_connections": _stream_connections,
     # per-file rankings (Q1, Q3, Q7, Q2, Q4, Q8)
     "top_times_raw": lambda s, d: reports.top_times(_trips(s, d), user_type=None, rounded=False),
     "top_times_rounded": lambda s, d: reports.top_times(_trips(s, d), user_type=None, rounded=True),
@@ -260,6 +280,8 @@ FROM ends GROUP BY file_name, month, station, role, other_station, travel_time""
     + "SELECT * FROM times",
     "union_months": _with(_TRIPS, _ANNUAL, _direction_means("annual", True))
     + "SELECT * FROM times",
+    "stream_connections": _with(_TRIPS, _ends_cte("trips"))
+    + "SELECT month, station, count(*) AS connections FROM ends GROUP BY month, station",
     "top_times_raw": _with(_TRIPS, _direction_means("trips", False))
     + _top_per_file("times", _MID, "station, time_from, time_to"),
     "top_times_rounded": _with(_TRIPS, _direction_means("trips", True))

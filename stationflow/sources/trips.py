@@ -84,6 +84,14 @@ def read_trip_files(
         raw = reader.parquet(path)
     else:
         raise ValueError(f"unsupported trip file format: {fmt}")
+    return label_trip_records(raw, schema=schema, with_user=with_user, strict=strict)
+
+
+def label_trip_records(
+    raw: DataFrame, *, schema: StructType = TRIP_SCHEMA, with_user: bool = True, strict: bool = False
+) -> DataFrame:
+    """Trip records of a file scan (batch or streaming) labelled with the
+    name of their file and its month, then projected."""
     name = decoded_file_name()
     labelled = raw.select(
         *[F.col(f) for f in schema.fieldNames()],
