@@ -31,11 +31,10 @@ def filter_user_type(trips: DataFrame, user_type: int | None = ANNUAL_USER_TYPE)
 
 
 # One generator call turns a trip into its two ends in the scan stage: no
-# second scan and no union.
+# second scan, no union, and no per-trip array to build.
 _BOTH_ENDS = (
-    "inline(array("
-    f"named_struct('{STATION}', {ORIGIN}, '{OTHER_STATION}', {DESTINATION}, '{ROLE}', '{ROLE_ORIGIN}'), "
-    f"named_struct('{STATION}', {DESTINATION}, '{OTHER_STATION}', {ORIGIN}, '{ROLE}', '{ROLE_DESTINATION}')))"
+    f"stack(2, {ORIGIN}, {DESTINATION}, '{ROLE_ORIGIN}', {DESTINATION}, {ORIGIN}, '{ROLE_DESTINATION}')"
+    f" AS ({STATION}, {OTHER_STATION}, {ROLE})"
 )
 
 
