@@ -1,0 +1,27 @@
+"""The command line runs a whole variant over a folder of trip files."""
+
+from __future__ import annotations
+
+from stationflow.__main__ import main
+from stationflow.plans import run_variant
+from stationflow.sources import read_trip_files
+
+
+def _set(df):
+    return sorted(tuple(r) for r in df.collect())
+
+
+def test_cli_writes_every_report(spark, fixture_dir, tmp_path):
+    out = str(tmp_path / "out")
+    assert main([fixture_dir, "--variant", "v2", "--output", out]) == 0
+    expected = run_variant(read_trip_files(spark, fixture_dir), "v2", materialize=False)
+    for name, df in expected.items():
+        assert _set(spark.read.parquet(f"{out}/{name}").select(*df.columns)) == _set(df)
+
+
+def test_cli_prints_reports(spark, fixture_dir, capsys):
+    assert main([fixture_dir, "--variant", "v3", "--k-file", "1"]) == 0
+    printed = capsys.readouterr().out
+    for name in ("top_times", "top_connections", "total_connections", "total_times"):
+        assert f"\n{name}\n" in printed
+    assert "201802_extra.json" in printed
