@@ -198,3 +198,31 @@ def test_json_text_column_parse(spark):
     )
     got = parse_trip_json(lines).collect()[0]
     assert (got.travel_time, got.origin, got.destination, got.user_type) == (3, 4, 5, 1)
+
+
+def test_parquet_trip_files_match_json(spark, fixture_dir, tmp_path):
+    import os
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    folder = tmp_path / "pq"
+    os.makedirs(folder)
+    for name, trips in FIXTURE_FILES.items():
+        cols = list(zip(*trips))
+        table = pa.table({
+            "travel_time": pa.array(cols[0], pa.int64()),
+            "idunplug_station": pa.array(cols[1], pa.int64()),
+            "idplug_station": pa.array(cols[2], pa.int64()),
+            "user_type": pa.array(cols[3], pa.int64()),
+            "zip_code": pa.array(["28010"] * len(trips)),
+        })
+        pq.write_table(table, folder / name.replace(".json", ".parquet"))
+    from_parquet = read_trip_files(spark, str(folder), fmt="parquet", glob="*.parquet").withColumn(
+        "file_name", F.regexp_replace("file_name", "[.]parquet$", ".json")
+    )
+    from_json = read_trip_files(spark, fixture_dir)
+    assert rows(from_parquet, *from_json.columns) == rows(from_json, *from_json.columns)
+    assert rows(plans.top_times(from_parquet, user_type=1), "file_name", "rank", "station") == rows(
+        plans.top_times(from_json, user_type=1), "file_name", "rank", "station"
+    )
