@@ -65,6 +65,7 @@ def read_trip_files(
     strict: bool = False,
     with_user: bool = True,
     schema: StructType = TRIP_SCHEMA,
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """One scan of every trip file in ``path``.
 
@@ -74,8 +75,11 @@ def read_trip_files(
     file, as the first variant did. ``mode`` is the JSON parse mode:
     ``FAILFAST`` raises on a malformed line. Parquet files are read with the
     same record schema (``fmt="parquet"``). ``schema`` may widen a field
-    type (for example a DOUBLE ``travel_time``) but keeps the field names."""
-    reader = spark.read.schema(schema)
+    type (for example a DOUBLE ``travel_time``) but keeps the field names.
+    ``options`` go to the reader as they are (for example ``encoding``).
+    Only the files directly in ``path`` are read, not those of
+    subfolders."""
+    reader = spark.read.schema(schema).options(**(options or {}))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if fmt == "json":

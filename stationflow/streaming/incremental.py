@@ -32,10 +32,11 @@ def read_trip_stream(
     mode: str = "FAILFAST",
     max_files_per_trigger: int | None = None,
     with_user: bool = True,
+    options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Streaming trips from the trip files that appear in ``path``, with the
     same labelling and projection as the batch scan."""
-    reader = spark.readStream.schema(schema).option("mode", mode)
+    reader = spark.readStream.schema(schema).options(**(options or {})).option("mode", mode)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:

@@ -226,3 +226,13 @@ def test_parquet_trip_files_match_json(spark, fixture_dir, tmp_path):
     assert rows(plans.top_times(from_parquet, user_type=1), "file_name", "rank", "station") == rows(
         plans.top_times(from_json, user_type=1), "file_name", "rank", "station"
     )
+
+
+def test_reader_options_pass_through(spark, tmp_path):
+    folder = tmp_path / "latin"
+    folder.mkdir()
+    (folder / "201801_usage.json").write_bytes(
+        '{"travel_time": 7, "idunplug_station": 1, "idplug_station": 2, "user_type": 1, "zip_code": "Móstoles"}\n'.encode("latin-1")
+    )
+    trips = read_trip_files(spark, str(folder), options={"encoding": "ISO-8859-1", "lineSep": "\n"})
+    assert [tuple(r) for r in trips.select("travel_time", "origin", "destination").collect()] == [(7, 1, 2)]
