@@ -26,8 +26,8 @@ FIXTURE_FILES = {
 
 def trip_line(t, o, d, u, **extra) -> str:
     rec = {
-        "_id": {"$oid": "5a505acd2f384319304ed614"},
-        "user_day_code": "b00665a845be18ed",
+        "_id": {"$oid": "000000000000000000000001"},
+        "user_day_code": "0000000000000000",
         "idplug_base": 1,
         "user_type": u,
         "idunplug_base": 14,
@@ -36,7 +36,7 @@ def trip_line(t, o, d, u, **extra) -> str:
         "ageRange": 5,
         "idplug_station": d,
         "unplug_hourTime": {"$date": "2018-01-01T00:00:00.000+0100"},
-        "zip_code": "28010",
+        "zip_code": "00000",
     }
     rec.update(extra)
     return json.dumps({k: v for k, v in rec.items() if v is not ...})
