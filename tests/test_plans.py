@@ -41,3 +41,21 @@ def test_single_pass_has_no_join(spark):
     assert "Join" not in p and p.count("FileScan parquet") == 1
     # only the aggregates the time table uses are computed
     assert "bround(travel_time" not in p
+
+
+def test_json_scan_reads_four_fields(spark, fixture_dir):
+    from stationflow.sources import read_trip_files
+
+    df = plans.top_connections(read_trip_files(spark, fixture_dir), user_type=1)
+    p = _plan(df)
+    assert p.count("FileScan json") == 1
+    # user_type is read for the filter; the seven unused record fields are not
+    assert "ReadSchema: struct<idunplug_station:bigint,idplug_station:bigint,user_type:bigint>" in p
+    assert "Python" not in p
+
+
+def test_variant_run_reports_do_not_rescan_trips(spark):
+    trips = trips_from_lineitem(spark, SF001)
+    for name, df in plans.run_variant(trips, "v3").items():
+        p = _plan(df)
+        assert "FileScan" not in p, name
