@@ -150,7 +150,7 @@ QUERIES: dict[str, Query] = {
 # --- SQL oracles ----------------------------------------------------------------
 
 _TRIPS = """trips AS (
-  SELECT strftime(l_shipdate, '%Y%m') || '_usage.json' AS file_name,
+  SELECT strftime(l_shipdate, '%Y%m') AS file_name,
          strftime(l_shipdate, '%Y%m') AS month,
          CAST(l_quantity AS BIGINT) AS travel_time,
          l_suppkey % 50 AS origin,

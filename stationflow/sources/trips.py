@@ -159,14 +159,14 @@ def trip_records_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     trip per line item.
 
     ``travel_time`` = quantity, origin station = supplier key mod 50,
-    destination station = part key mod 60, ``user_type`` = line number; the
-    ship month stands for the monthly file (``<yyyyMM>_usage.json``)."""
+    destination station = part key mod 60, ``user_type`` = line number.
+    The table has no files, so the ship month (``yyyyMM``) stands for the
+    monthly file: it is both the file name and its month label."""
     li = spark.read.schema(LINEITEM_TRIP_COLUMNS).parquet(f"{sf_dir}/lineitem.parquet")
-    # yyyyMM built from integer fields (cheaper per row than a date
-    # formatter); the month label is the first six characters of the name.
+    # Built from integer fields: cheaper per row than a date formatter.
     ym = "CAST(year(l_shipdate) * 100 + month(l_shipdate) AS STRING)"
     return li.selectExpr(
-        f"concat({ym}, '_usage.json') AS {FILE_NAME}",
+        f"{ym} AS {FILE_NAME}",
         f"{ym} AS {MONTH}",
         f"CAST(l_quantity AS BIGINT) AS {FIELD_TRAVEL_TIME}",
         f"l_suppkey % {LINEITEM_ORIGINS} AS {FIELD_ORIGIN}",
