@@ -31,9 +31,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Months of the first of two separately processed batches in ``union_months``.
 _FIRST_BATCH_BEFORE = "199807"
-# Files per month written, and files per micro-batch read, by the file and
-# stream queries (several files share a month label: the file is the grain).
-_FILES_PER_MONTH = 2
+# Files per micro-batch read by the stream query.
 _FILES_PER_TRIGGER = 16
 
 
@@ -58,7 +56,7 @@ def _scan_trip_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     then read the folder back with the trip file scan. File names carry a
     part number, so only the month label (not the name) is compared."""
     folder = new_shared_folder(spark, "trip-files")
-    write_trip_files(_trips(spark, sf_dir), folder, files_per_month=_FILES_PER_MONTH)
+    write_trip_files(_trips(spark, sf_dir), folder)
     return read_trip_files(spark, folder).drop(FILE_NAME)
 
 
@@ -79,7 +77,7 @@ def _stream_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables, and the accumulated table read back. Connections add up over
     the files of a month, so the result is per month label and station."""
     base = new_shared_folder(spark, "trip-stream")
-    write_trip_files(_trips(spark, sf_dir), f"{base}/files", files_per_month=_FILES_PER_MONTH)
+    write_trip_files(_trips(spark, sf_dir), f"{base}/files")
     stream = read_trip_stream(spark, f"{base}/files", max_files_per_trigger=_FILES_PER_TRIGGER)
     query = start_incremental_stats(
         stream, f"{base}/stats", f"{base}/checkpoint", user_type=None, available_now=True

@@ -46,30 +46,20 @@ def new_shared_folder(spark: SparkSession, prefix: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
 
 
-def write_trip_files(
-    trips: DataFrame,
-    folder: str,
-    *,
-    suffix: str = "_usage",
-    files_per_month: int | None = None,
-) -> str:
+def write_trip_files(trips: DataFrame, folder: str, *, suffix: str = "_usage") -> str:
     """Write trips as JSON Lines trip files into ``folder`` and return it.
 
     Every file holds trips of one month and its name starts with that
-    month. Without ``files_per_month`` each task writes one file per month
-    it holds (no shuffle, but up to tasks x months files). With it, rows
-    are first clustered on (month, salt) so that each month becomes at most
-    that many files (AQE may pack small groups into one task), and a month
-    holding most of the trips is still spread over that many tasks. The
-    salt is a hash of the row, so a retried task writes the same rows."""
+    month. Rows are rebalanced on the month first: with adaptive execution
+    on (the default), Spark splits a month larger than the advisory
+    partition size (``spark.sql.adaptive.advisoryPartitionSizeInBytes``)
+    over several tasks and packs small months into one, so file sizes stay
+    near that size whether a month holds a sliver or a third of all trips.
+    Each task then writes one file per month it holds."""
     spark = trips.sparkSession
     stage = f"{folder.rstrip('/')}/_stage"
     records = trip_records_json(trips).select(F.col(MONTH), F.col("value"))
-    if files_per_month:
-        n = int(files_per_month)
-        salt = F.expr(f"pmod(hash(value), {n})")
-        records = records.repartition(F.col(MONTH), salt)
-    records.write.mode("errorifexists").partitionBy(MONTH).text(stage)
+    records.hint("rebalance", MONTH).write.mode("errorifexists").partitionBy(MONTH).text(stage)
 
     jvm = spark._jvm
     Path = jvm.org.apache.hadoop.fs.Path
