@@ -121,11 +121,15 @@ def test_f8_file_selection_and_names(spark, tmp_path):
         "201803_usage.json": [],
         "2018 1_u.json": [(1, 1, 2, 1)],
         "2018+1_u.json": [(2, 1, 2, 1)],
+        "2018%1_u.json": [(3, 1, 2, 1)],
+        "2018ñ_u.json": [(4, 1, 2, 1)],
     })
     trips = read_trip_files(spark, folder)
     labels = rows(trips.groupBy("file_name", "month").count(), "file_name", "month", "count")
     assert ("2018 1_u.json", "2018 1", 1) in labels
     assert ("2018+1_u.json", "2018+1", 1) in labels
+    assert ("2018%1_u.json", "2018%1", 1) in labels
+    assert ("2018ñ_u.json", "2018ñ_", 1) in labels  # six characters, not bytes
     assert all(not name.startswith("notes") and not name.startswith("201803") for name, _, _ in labels)
     # an empty file gives no rows and no failure in the reports
     assert plans.top_times(trips, user_type=None).where(F.col("month") == "201803").count() == 0
