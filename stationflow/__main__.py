@@ -14,6 +14,7 @@ import argparse
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stationflow.plans.reports import original_layout
 from stationflow.plans.run import run_variant
 from stationflow.schema import FILE_NAME, RANK, TOP_PER_FILE, TOP_TOTAL, TRIP_FILE_GLOB
 from stationflow.sources.trips import read_trip_files
@@ -38,12 +39,17 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("--output", help="write each report as Parquet under this folder")
     ap.add_argument("--k-file", type=int, default=TOP_PER_FILE)
     ap.add_argument("--k-total", type=int, default=TOP_TOTAL)
+    ap.add_argument(
+        "--original-layout", action="store_true", help="column names and order of the original tables"
+    )
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("stationflow").getOrCreate()
     trips = read_trip_files(spark, args.folder, fmt=args.format, glob=args.glob or None)
     reports = run_variant(trips, args.variant, k_file=args.k_file, k_total=args.k_total)
     for name, df in reports.items():
+        if args.original_layout:
+            df = original_layout(_ordered(df))
         if args.output:
             df.write.mode("overwrite").parquet(f"{args.output.rstrip('/')}/{name}")
         else:

@@ -1,5 +1,6 @@
 from stationflow.plans.reports import (
     VARIANTS,
+    original_layout,
     top_connections,
     top_connections_time,
     top_times,
@@ -12,6 +13,7 @@ from stationflow.plans.run import materialized_stats, run_variant
 __all__ = [
     "VARIANTS",
     "materialized_stats",
+    "original_layout",
     "run_variant",
     "top_connections",
     "top_connections_time",

@@ -28,6 +28,14 @@ from stationflow.schema import (
     CONNECTIONS,
     GRAIN,
     MEAN_TIME,
+    MONTH,
+    ORIGINAL_CONNECTIONS,
+    ORIGINAL_MEAN_TIME,
+    ORIGINAL_MONTH,
+    ORIGINAL_STATION,
+    ORIGINAL_TIME_FROM,
+    ORIGINAL_TIME_TO,
+    ORIGINAL_TOTAL_CONNECTIONS,
     RANK,
     STATION,
     TIME_FROM,
@@ -152,3 +160,26 @@ def variant_reports(
         )
         out["total_times"] = total_times_report_of(stats, k=k_total)
     return out
+
+
+# --- the original table layout ------------------------------------------------
+
+_ORIGINAL = {
+    STATION: ORIGINAL_STATION,
+    TIME_FROM: ORIGINAL_TIME_FROM,
+    TIME_TO: ORIGINAL_TIME_TO,
+    MEAN_TIME: ORIGINAL_MEAN_TIME,
+    MONTH: ORIGINAL_MONTH,
+}
+
+
+def original_layout(df: DataFrame) -> DataFrame:
+    """A report with the column names and order of the original printed
+    tables: per-file tables end with the month column, ``file_name`` and
+    ``rank`` are dropped (order by them first if the order matters), the
+    totals keep only the station and its values."""
+    per_file = MONTH in df.columns
+    conn_name = ORIGINAL_CONNECTIONS if per_file else ORIGINAL_TOTAL_CONNECTIONS
+    names = {**_ORIGINAL, CONNECTIONS: conn_name}
+    order = [c for c in (STATION, CONNECTIONS, TIME_FROM, TIME_TO, MEAN_TIME, MONTH) if c in df.columns]
+    return df.select(*[df[c].alias(names[c]) for c in order])

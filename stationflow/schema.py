@@ -20,6 +20,17 @@ TRIP_FILE_GLOB = "*.json"
 TOP_PER_FILE = 10
 TOP_TOTAL = 20
 
+# The column headers of the original printed tables, for the
+# optional original layout of the reports. The per-file tables say
+# "Numero_Conexiones", the totals "Numero_conexiones".
+ORIGINAL_STATION = "Estación"
+ORIGINAL_TIME_FROM = "Tiempo_Origen"
+ORIGINAL_TIME_TO = "Tiempo_Destino"
+ORIGINAL_MONTH = "Mes"
+ORIGINAL_CONNECTIONS = "Numero_Conexiones"
+ORIGINAL_TOTAL_CONNECTIONS = "Numero_conexiones"
+ORIGINAL_MEAN_TIME = "Tiempo_Medio"
+
 # Roles of a station within one trip (ASCII names of the rebuild).
 ROLE_ORIGIN = "origin"
 ROLE_DESTINATION = "destination"

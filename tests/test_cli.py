@@ -25,3 +25,16 @@ def test_cli_prints_reports(spark, fixture_dir, capsys):
     for name in ("top_times", "top_connections", "total_connections", "total_times"):
         assert f"\n{name}\n" in printed
     assert "201802_extra.json" in printed
+
+
+def test_cli_original_layout(spark, fixture_dir, tmp_path):
+    out = str(tmp_path / "orig")
+    assert main([fixture_dir, "--variant", "v2", "--output", out, "--original-layout"]) == 0
+    assert spark.read.parquet(f"{out}/top_times").columns == ["Estación", "Tiempo_Origen", "Tiempo_Destino", "Mes"]
+    assert spark.read.parquet(f"{out}/top_connections").columns == [
+        "Estación", "Numero_Conexiones", "Tiempo_Medio", "Mes"
+    ]
+    assert spark.read.parquet(f"{out}/total_connections").columns == ["Estación", "Numero_conexiones", "Tiempo_Medio"]
+    assert spark.read.parquet(f"{out}/total_times").columns == ["Estación", "Tiempo_Origen", "Tiempo_Destino"]
+    got = sorted(tuple(r) for r in spark.read.parquet(f"{out}/total_connections").collect())
+    assert got == [(1, 4, 20), (2, 3, 19), (3, 1, None), (4, 1, None)]
