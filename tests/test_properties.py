@@ -26,7 +26,7 @@ def _df(spark, rows):
 
 
 def _set(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -65,3 +65,39 @@ def test_repartitioning_changes_nothing(spark):
         lambda t: plans.total_times_report(t, user_type=1),
     ):
         assert _set(report(trips)) == _set(report(shuffled))
+
+
+nullable_trip = st.tuples(
+    st.sampled_from(["201801_a.json", "201802_a.json"]),
+    st.one_of(st.integers(0, 50), st.none()),
+    st.one_of(st.integers(0, 4), st.none()),
+    st.one_of(st.integers(0, 4), st.none()),
+    st.integers(1, 2),
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(nullable_trip, min_size=1, max_size=40), st.booleans())
+def test_list_path_equals_single_pass_with_nulls(spark, rows, rounded):
+    ends = op.trip_ends(_df(spark, rows))
+    leaving, reaching = op.split_connection_lists(op.connection_lists(ends))
+    assert _set(op.list_role_means(leaving, reaching, rounded=rounded)) == _set(
+        op.role_means(ends, rounded=rounded)
+    )
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.integers(0, 3), st.integers(0, 3), st.integers(0, 20)), min_size=1, max_size=30))
+def test_list_path_rounds_fractional_times_like_single_pass(spark, rows):
+    from pyspark.sql import types as T
+
+    schema = T.StructType([
+        T.StructField("file_name", T.StringType()), T.StructField("month", T.StringType()),
+        T.StructField("travel_time", T.DoubleType()), T.StructField("origin", T.LongType()),
+        T.StructField("destination", T.LongType()), T.StructField("user_type", T.LongType()),
+    ])
+    # halves exercise the ties of half-even rounding
+    trips = spark.createDataFrame([("f.json", "f.json", h / 2, o, d, 1) for o, d, h in rows], schema)
+    ends = op.trip_ends(trips)
+    leaving, reaching = op.split_connection_lists(op.connection_lists(ends))
+    assert _set(op.list_role_means(leaving, reaching, rounded=True)) == _set(op.role_means(ends, rounded=True))
