@@ -18,7 +18,10 @@ from stationflow.sources.files import shared_dir
 
 
 def materialized_stats(trips: DataFrame, *, user_type: int | None) -> DataFrame:
-    """:func:`station_stats` of the trips, checkpointed to the shared folder."""
+    """:func:`station_stats` of the trips, checkpointed to the shared folder.
+
+    The trips are scanned once: the checkpoint job builds the final
+    aggregate from the shuffle output of the scan stage and writes it."""
     shared_dir(trips.sparkSession)  # ensures spark.checkpoint.dir is usable
     stats = station_stats(trip_ends(filter_user_type(trips, user_type)))
     return stats.checkpoint(eager=True)

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.types import StructType
 
 from stationflow.functions.columns import (
     decoded_file_name,
@@ -64,7 +63,7 @@ def read_trip_files(
     mode: str = "FAILFAST",
     strict: bool = False,
     with_user: bool = True,
-    schema: StructType = TRIP_SCHEMA,
+    schema: T.StructType = TRIP_SCHEMA,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """One scan of every trip file in ``path``.
@@ -92,7 +91,7 @@ def read_trip_files(
 
 
 def label_trip_records(
-    raw: DataFrame, *, schema: StructType = TRIP_SCHEMA, with_user: bool = True, strict: bool = False
+    raw: DataFrame, *, schema: T.StructType = TRIP_SCHEMA, with_user: bool = True, strict: bool = False
 ) -> DataFrame:
     """Trip records of a file scan (batch or streaming) labelled with the
     name of their file and its month, then projected."""
@@ -112,7 +111,7 @@ def parse_trip_json(
     mode: str = "FAILFAST",
     strict: bool = False,
     with_user: bool = True,
-    schema: StructType = TRIP_SCHEMA,
+    schema: T.StructType = TRIP_SCHEMA,
 ) -> DataFrame:
     """Parse a column of JSON trip records (one object per row) in the plan.
 
