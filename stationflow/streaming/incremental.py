@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
 
 from stationflow.operators.ends import filter_user_type, trip_ends
 from stationflow.operators.stations import station_stats
@@ -28,20 +28,21 @@ def read_trip_stream(
     path: str,
     *,
     glob: str | None = TRIP_FILE_GLOB,
-    schema: StructType = TRIP_SCHEMA,
+    schema: T.StructType = TRIP_SCHEMA,
     mode: str = "FAILFAST",
     max_files_per_trigger: int | None = None,
     with_user: bool = True,
+    strict: bool = False,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Streaming trips from the trip files that appear in ``path``, with the
-    same labelling and projection as the batch scan."""
+    same labelling, projection and strictness as the batch scan."""
     reader = spark.readStream.schema(schema).options(**(options or {})).option("mode", mode)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return label_trip_records(reader.json(path), schema=schema, with_user=with_user)
+    return label_trip_records(reader.json(path), schema=schema, with_user=with_user, strict=strict)
 
 
 def per_file_stats_writer(table_path: str, *, user_type: int | None) -> Callable[[DataFrame, int], None]:
