@@ -35,7 +35,11 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument("folder", help="folder holding the trip files")
     ap.add_argument("--variant", choices=["v1", "v2", "v3"], default="v3")
     ap.add_argument("--format", choices=["json", "parquet"], default="json")
-    ap.add_argument("--glob", default=TRIP_FILE_GLOB, help="file name pattern ('' reads every file)")
+    ap.add_argument(
+        "--glob",
+        default=None,
+        help="file name pattern ('' reads every file); default: every file for v1, *.json for v2/v3",
+    )
     ap.add_argument("--output", help="write each report as Parquet under this folder")
     ap.add_argument("--k-file", type=int, default=TOP_PER_FILE)
     ap.add_argument("--k-total", type=int, default=TOP_TOTAL)
@@ -45,7 +49,8 @@ def main(argv: list[str] | None = None) -> int:
     args = ap.parse_args(argv)
 
     spark = SparkSession.builder.appName("stationflow").getOrCreate()
-    trips = read_trip_files(spark, args.folder, fmt=args.format, glob=args.glob or None)
+    glob = args.glob if args.glob is not None else ("" if args.variant == "v1" else TRIP_FILE_GLOB)
+    trips = read_trip_files(spark, args.folder, fmt=args.format, glob=glob or None)
     reports = run_variant(trips, args.variant, k_file=args.k_file, k_total=args.k_total)
     for name, df in reports.items():
         if args.original_layout:

@@ -38,3 +38,14 @@ def test_cli_original_layout(spark, fixture_dir, tmp_path):
     assert spark.read.parquet(f"{out}/total_times").columns == ["Estación", "Tiempo_Origen", "Tiempo_Destino"]
     got = sorted(tuple(r) for r in spark.read.parquet(f"{out}/total_connections").collect())
     assert got == [(1, 4, 20), (2, 3, 19), (3, 1, None), (4, 1, None)]
+
+
+def test_cli_file_selection_follows_variant(spark, tmp_path):
+    from conftest import write_files
+
+    folder = write_files(tmp_path / "mixed", {"201801_usage.json": [(10, 1, 2, 1)], "201802_usage.txt": [(20, 1, 2, 1)]})
+    out1, out3 = str(tmp_path / "v1"), str(tmp_path / "v3")
+    assert main([folder, "--variant", "v1", "--output", out1]) == 0  # v1 reads every file
+    assert main([folder, "--variant", "v3", "--output", out3]) == 0  # v3 reads *.json only
+    assert spark.read.parquet(f"{out1}/top_connections").select("file_name").distinct().count() == 2
+    assert spark.read.parquet(f"{out3}/top_connections").select("file_name").distinct().count() == 1
