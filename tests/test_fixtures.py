@@ -240,3 +240,12 @@ def test_reader_options_pass_through(spark, tmp_path):
     )
     trips = read_trip_files(spark, str(folder), options={"encoding": "ISO-8859-1", "lineSep": "\n"})
     assert [tuple(r) for r in trips.select("travel_time", "origin", "destination").collect()] == [(7, 1, 2)]
+
+
+def test_empty_folder_gives_empty_reports(spark, tmp_path):
+    folder = write_files(tmp_path / "empty", {"notes.txt": ["nothing here"]})
+    trips = read_trip_files(spark, folder)
+    assert trips.count() == 0
+    for variant in ("v1", "v2", "v3"):
+        for name, df in plans.run_variant(trips, variant, materialize=False).items():
+            assert df.count() == 0, (variant, name)
