@@ -56,7 +56,7 @@ def project_trips(raw: DataFrame, *, with_user: bool = True, strict: bool = Fals
 
 def read_trip_files(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     *,
     fmt: str = "json",
     glob: str | None = TRIP_FILE_GLOB,
@@ -66,7 +66,8 @@ def read_trip_files(
     schema: T.StructType = TRIP_SCHEMA,
     options: dict[str, str] | None = None,
 ) -> DataFrame:
-    """One scan of every trip file in ``path``.
+    """One scan of every trip file in ``path`` (a folder, or a list of
+    folders read together).
 
     Each row is labelled with the name of its file (the grain of the
     analysis) and the month label, the first six characters of that name.
@@ -81,10 +82,11 @@ def read_trip_files(
     reader = spark.read.schema(schema).options(**(options or {}))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
+    paths = [path] if isinstance(path, str) else list(path)
     if fmt == "json":
-        raw = reader.option("mode", mode).json(path)
+        raw = reader.option("mode", mode).json(paths)
     elif fmt == "parquet":
-        raw = reader.parquet(path)
+        raw = reader.parquet(*paths)
     else:
         raise ValueError(f"unsupported trip file format: {fmt}")
     return label_trip_records(raw, schema=schema, with_user=with_user, strict=strict)

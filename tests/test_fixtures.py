@@ -249,3 +249,11 @@ def test_empty_folder_gives_empty_reports(spark, tmp_path):
     for variant in ("v1", "v2", "v3"):
         for name, df in plans.run_variant(trips, variant, materialize=False).items():
             assert df.count() == 0, (variant, name)
+
+
+def test_several_folders_in_one_scan(spark, tmp_path):
+    a = write_files(tmp_path / "a", {U: FIXTURE_FILES[U]})
+    b = write_files(tmp_path / "b", {X: FIXTURE_FILES[X], E: FIXTURE_FILES[E]})
+    both = read_trip_files(spark, [a, b])
+    one = read_trip_files(spark, write_files(tmp_path / "all", FIXTURE_FILES))
+    assert rows(both, *both.columns) == rows(one, *one.columns)
