@@ -21,19 +21,23 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for intermediate data: the session's
     checkpoint directory (``spark.checkpoint.dir``).
 
-    On a local master with no such setting a temporary folder is set up as
-    the checkpoint directory; on a cluster the setting is required, because
-    a machine-local folder is not visible to the other executors."""
-    sc = spark.sparkContext
+    The setting is read from the session. On a local master with no such
+    setting a temporary folder is set up as the checkpoint directory; on a
+    cluster the setting is required, because a machine-local folder is not
+    visible to the other executors."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: the server owns the folder
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = sc.getConf().get("spark.checkpoint.dir")
     if not configured:
         if not sc.master.startswith("local"):
-            raise RuntimeError(
-                "set spark.checkpoint.dir to a folder shared by all executors"
-            )
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         import tempfile
 
         configured = tempfile.mkdtemp(prefix="stationflow-ckpt-")
