@@ -3,6 +3,7 @@ from stationflow.sources.trips import (
     parse_trip_json,
     project_trips,
     read_trip_files,
+    trip_records,
     trip_records_from_lineitem,
     trip_records_json,
     trips_from_lineitem,
@@ -14,6 +15,7 @@ __all__ = [
     "project_trips",
     "read_trip_files",
     "shared_dir",
+    "trip_records",
     "trip_records_from_lineitem",
     "trip_records_json",
     "trips_from_lineitem",

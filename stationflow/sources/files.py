@@ -11,10 +11,9 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from stationflow.schema import MONTH
-from stationflow.sources.trips import trip_records_json
+from stationflow.sources.trips import trip_records
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -62,8 +61,8 @@ def write_trip_files(trips: DataFrame, folder: str, *, suffix: str = "_usage") -
     Each task then writes one file per month it holds."""
     spark = trips.sparkSession
     stage = f"{folder.rstrip('/')}/_stage"
-    records = trip_records_json(trips).select(F.col(MONTH), F.col("value"))
-    records.hint("rebalance", MONTH).write.mode("errorifexists").partitionBy(MONTH).text(stage)
+    records = trip_records(trips)
+    records.hint("rebalance", MONTH).write.mode("errorifexists").partitionBy(MONTH).json(stage)
 
     jvm = spark._jvm
     Path = jvm.org.apache.hadoop.fs.Path

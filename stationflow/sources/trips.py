@@ -126,6 +126,14 @@ def parse_trip_json(
     return project_trips(parsed, with_user=with_user, strict=strict)
 
 
+def trip_records(trips: DataFrame) -> DataFrame:
+    """Trips back as raw records: ``month`` and the trip fields under the
+    field names of the files."""
+    return trips.select(
+        F.col(MONTH), *[F.col(col).alias(field) for col, field in _FIELDS.items() if col in trips.columns]
+    )
+
+
 def trip_records_json(trips: DataFrame) -> DataFrame:
     """Trips back as JSON record text (``file_name, month, value``), with the
     field names of the raw files. Used to build JSON inputs from tables."""
