@@ -50,24 +50,24 @@ def when_sql(cond: str, value: str) -> str:
 # --- Columns ----------------------------------------------------------------------
 
 
-def _sql(col: Column | str) -> Column:
+def _col(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
 def half_even(col: Column | str) -> Column:
-    return F.bround(_sql(col), 0).cast("bigint")
+    return F.bround(_col(col), 0).cast("bigint")
 
 
 def half_even_value(col: Column | str) -> Column:
-    return F.bround(_sql(col), 0)
+    return F.bround(_col(col), 0)
 
 
 def midpoint(a: Column | str, b: Column | str) -> Column:
-    return (_sql(a) + _sql(b)) / F.lit(2.0)
+    return (_col(a) + _col(b)) / F.lit(2.0)
 
 
 def month_label(file_name: Column | str) -> Column:
-    return F.substring(_sql(file_name), 1, MONTH_LABEL_LENGTH)
+    return F.substring(_col(file_name), 1, MONTH_LABEL_LENGTH)
 
 
 def is_origin() -> Column:
