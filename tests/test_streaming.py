@@ -17,7 +17,9 @@ def _set(df):
 def _run(spark, files, table, ckpt, user_type=None):
     stream = read_trip_stream(spark, files, max_files_per_trigger=1)
     q = start_incremental_stats(stream, table, ckpt, user_type=user_type, available_now=True)
-    q.awaitTermination(120)
+    assert q.awaitTermination(120)
+    q.stop()
+    spark.streams.resetTerminated()
     return q
 
 
@@ -53,3 +55,27 @@ def test_stream_user_filter(spark, tmp_path):
     stored = stored_station_stats(spark, table)
     batch = op.station_stats(op.trip_ends(op.filter_user_type(read_trip_files(spark, files), 1)))
     assert _set(stored.select(*batch.columns)) == _set(batch)
+
+
+def test_replayed_batch_does_not_duplicate(spark, tmp_path):
+    """A crash after a batch wrote its table but before it committed: on
+    restart the batch runs again with the same id and overwrites its slice."""
+    import os
+
+    files = write_files(tmp_path / "in", FIXTURE_FILES)
+    table, ckpt = str(tmp_path / "stats"), str(tmp_path / "ckpt")
+    _run(spark, files, table, ckpt)  # one file per batch: batches 0, 1, 2
+    commits = sorted(int(n) for n in os.listdir(os.path.join(ckpt, "commits")) if n.isdigit())
+    assert commits == [0, 1, 2]
+    # batch 2 written, not committed (the commit and its local checksum file)
+    for name in ("2", ".2.crc"):
+        path = os.path.join(ckpt, "commits", name)
+        if os.path.exists(path):
+            os.remove(path)
+    before = os.path.getmtime(os.path.join(table, "batch=2"))
+    _run(spark, files, table, ckpt)
+    assert os.path.exists(os.path.join(ckpt, "commits", "2"))  # batch 2 ran again
+    assert os.path.getmtime(os.path.join(table, "batch=2")) >= before
+    batch = op.station_stats(op.trip_ends(read_trip_files(spark, files)))
+    stored = stored_station_stats(spark, table).select(*batch.columns)
+    assert _set(stored) == _set(batch)
