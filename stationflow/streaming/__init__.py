@@ -1,6 +1,7 @@
 from stationflow.streaming.incremental import (
     per_file_stats_writer,
     read_trip_stream,
+    start_incremental_reports,
     start_incremental_stats,
     stored_station_stats,
 )
@@ -8,6 +9,7 @@ from stationflow.streaming.incremental import (
 __all__ = [
     "per_file_stats_writer",
     "read_trip_stream",
+    "start_incremental_reports",
     "start_incremental_stats",
     "stored_station_stats",
 ]

@@ -12,12 +12,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from stationflow.operators.ends import filter_user_type, trip_ends
 from stationflow.operators.stations import station_stats
-from stationflow.schema import TRIP_FILE_GLOB, TRIP_SCHEMA
+from stationflow.plans.reports import VARIANTS, variant_reports
+from stationflow.schema import TOP_PER_FILE, TOP_TOTAL, TRIP_FILE_GLOB, TRIP_SCHEMA
 from stationflow.sources.trips import label_trip_records
 
 BATCH = "batch"
@@ -56,6 +57,15 @@ def per_file_stats_writer(table_path: str, *, user_type: int | None) -> Callable
     return write
 
 
+def _start(trips: DataFrame, write, checkpoint_path: str, available_now: bool, processing_time: str | None):
+    writer = trips.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_path)
+    if available_now:
+        writer = writer.trigger(availableNow=True)
+    elif processing_time:
+        writer = writer.trigger(processingTime=processing_time)
+    return writer.start()
+
+
 def start_incremental_stats(
     trips: DataFrame,
     table_path: str,
@@ -70,15 +80,36 @@ def start_incremental_stats(
     folder every executor and the driver share (for example under
     ``spark.checkpoint.dir``). ``available_now`` processes what is there and
     stops; otherwise the query runs on ``processing_time`` triggers."""
-    writer = (
-        trips.writeStream.foreachBatch(per_file_stats_writer(table_path, user_type=user_type))
-        .option("checkpointLocation", checkpoint_path)
-    )
-    if available_now:
-        writer = writer.trigger(availableNow=True)
-    elif processing_time:
-        writer = writer.trigger(processingTime=processing_time)
-    return writer.start()
+    write = per_file_stats_writer(table_path, user_type=user_type)
+    return _start(trips, write, checkpoint_path, available_now, processing_time)
+
+
+def start_incremental_reports(
+    trips: DataFrame,
+    table_path: str,
+    reports_path: str,
+    checkpoint_path: str,
+    *,
+    variant: str = "v3",
+    k_file: int = TOP_PER_FILE,
+    k_total: int = TOP_TOTAL,
+    available_now: bool = False,
+    processing_time: str | None = None,
+) -> StreamingQuery:
+    """As :func:`start_incremental_stats` with the variant's user filter,
+    and after every batch the variant's reports are recomputed from the
+    stored per-file table (files x stations rows, never the trips) and
+    written to ``reports_path/<report>``, replacing the previous version."""
+    spark = trips.sparkSession
+    append = per_file_stats_writer(table_path, user_type=VARIANTS[variant]["user_type"])
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        append(batch, batch_id)
+        stats = stored_station_stats(spark, table_path)
+        for name, report in variant_reports(stats, variant, k_file=k_file, k_total=k_total).items():
+            report.write.mode("overwrite").parquet(f"{reports_path.rstrip('/')}/{name}")
+
+    return _start(trips, write, checkpoint_path, available_now, processing_time)
 
 
 def stored_station_stats(spark: SparkSession, table_path: str) -> DataFrame:

@@ -79,3 +79,20 @@ def test_replayed_batch_does_not_duplicate(spark, tmp_path):
     batch = op.station_stats(op.trip_ends(read_trip_files(spark, files)))
     stored = stored_station_stats(spark, table).select(*batch.columns)
     assert _set(stored) == _set(batch)
+
+
+def test_incremental_reports_equal_batch_reports(spark, tmp_path):
+    from stationflow.streaming import start_incremental_reports
+
+    files = write_files(tmp_path / "in", FIXTURE_FILES)
+    reports_path = str(tmp_path / "reports")
+    stream = read_trip_stream(spark, files, max_files_per_trigger=1)
+    q = start_incremental_reports(
+        stream, str(tmp_path / "stats"), reports_path, str(tmp_path / "ckpt"), variant="v2", available_now=True
+    )
+    assert q.awaitTermination(120)
+    q.stop()
+    spark.streams.resetTerminated()
+    expected = plans.run_variant(read_trip_files(spark, files), "v2", materialize=False)
+    for name, df in expected.items():
+        assert _set(spark.read.parquet(f"{reports_path}/{name}").select(*df.columns)) == _set(df), name
