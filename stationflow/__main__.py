@@ -2,10 +2,14 @@
 
     python -m stationflow FOLDER [--variant v1|v2|v3] [--format json|parquet]
                                  [--output DIR] [--k-file 10] [--k-total 20]
+                                 [--watch [--interval "1 minute"] | --once]
 
 Without ``--output`` the reports are printed, per-file rankings ordered by
 file and rank; with it each report is written as Parquet to
-``DIR/<report>``. The session comes from ``spark-submit`` or the
+``DIR/<report>``. ``--watch`` keeps running: files that appear in FOLDER
+are processed as they arrive and the reports in ``--output`` are refreshed
+(the per-file table and the stream checkpoint live under ``--output``);
+``--once`` does the same for the files present now, then stops. The session comes from ``spark-submit`` or the
 environment; a local one is started only when none is configured."""
 
 from __future__ import annotations
@@ -18,6 +22,7 @@ from stationflow.plans.reports import original_layout
 from stationflow.plans.run import run_variant
 from stationflow.schema import FILE_NAME, RANK, TOP_PER_FILE, TOP_TOTAL, TRIP_FILE_GLOB
 from stationflow.sources.trips import read_trip_files
+from stationflow.streaming import read_trip_stream, start_incremental_reports
 
 # Printed tables are reports (k rows per file, or k rows overall); this
 # only caps what is printed, never what is computed.
@@ -46,10 +51,17 @@ def main(argv: list[str] | None = None) -> int:
     ap.add_argument(
         "--original-layout", action="store_true", help="column names and order of the original tables"
     )
+    ap.add_argument("--watch", action="store_true", help="keep processing new files, refresh --output")
+    ap.add_argument("--once", action="store_true", help="as --watch for the files present now, then stop")
+    ap.add_argument("--interval", default="1 minute", help="trigger interval of --watch")
     args = ap.parse_args(argv)
+    if (args.watch or args.once) and not args.output:
+        ap.error("--watch and --once need --output")
 
     spark = SparkSession.builder.appName("stationflow").getOrCreate()
     glob = args.glob if args.glob is not None else ("" if args.variant == "v1" else TRIP_FILE_GLOB)
+    if args.watch or args.once:
+        return _incremental(spark, args, glob or None)
     trips = read_trip_files(spark, args.folder, fmt=args.format, glob=glob or None)
     reports = run_variant(trips, args.variant, k_file=args.k_file, k_total=args.k_total)
     for name, df in reports.items():
@@ -63,6 +75,24 @@ def main(argv: list[str] | None = None) -> int:
     return 0
 
 
+def _incremental(spark: SparkSession, args, glob: str | None) -> int:
+    out = args.output.rstrip("/")
+    stream = read_trip_stream(spark, args.folder, fmt=args.format, glob=glob)
+    query = start_incremental_reports(
+        stream,
+        f"{out}/_station_table",
+        out,
+        f"{out}/_checkpoint",
+        variant=args.variant,
+        k_file=args.k_file,
+        k_total=args.k_total,
+        available_now=args.once,
+        processing_time=None if args.once else args.interval,
+    )
+    query.awaitTermination()
+    return 0
+
+
 if __name__ == "__main__":
     raise SystemExit(main())
 

@@ -28,6 +28,7 @@ def read_trip_stream(
     spark: SparkSession,
     path: str,
     *,
+    fmt: str = "json",
     glob: str | None = TRIP_FILE_GLOB,
     schema: T.StructType = TRIP_SCHEMA,
     mode: str = "FAILFAST",
@@ -43,7 +44,13 @@ def read_trip_stream(
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
-    return label_trip_records(reader.json(path), schema=schema, with_user=with_user, strict=strict)
+    if fmt == "json":
+        raw = reader.json(path)
+    elif fmt == "parquet":
+        raw = reader.parquet(path)
+    else:
+        raise ValueError(f"unsupported trip file format: {fmt}")
+    return label_trip_records(raw, schema=schema, with_user=with_user, strict=strict)
 
 
 def per_file_stats_writer(table_path: str, *, user_type: int | None) -> Callable[[DataFrame, int], None]:

@@ -49,3 +49,17 @@ def test_cli_file_selection_follows_variant(spark, tmp_path):
     assert main([folder, "--variant", "v3", "--output", out3]) == 0  # v3 reads *.json only
     assert spark.read.parquet(f"{out1}/top_connections").select("file_name").distinct().count() == 2
     assert spark.read.parquet(f"{out3}/top_connections").select("file_name").distinct().count() == 1
+
+
+def test_cli_once_processes_new_files_incrementally(spark, tmp_path):
+    from conftest import FIXTURE_FILES, write_files
+
+    folder = write_files(tmp_path / "in", {"201801_usage.json": FIXTURE_FILES["201801_usage.json"]})
+    out = str(tmp_path / "out")
+    assert main([folder, "--variant", "v2", "--output", out, "--once"]) == 0
+    write_files(tmp_path / "in", {k: v for k, v in FIXTURE_FILES.items() if k != "201801_usage.json"})
+    assert main([folder, "--variant", "v2", "--output", out, "--once"]) == 0
+    spark.streams.resetTerminated()
+    expected = run_variant(read_trip_files(spark, folder), "v2", materialize=False)
+    for name, df in expected.items():
+        assert _set(spark.read.parquet(f"{out}/{name}").select(*df.columns)) == _set(df), name
