@@ -87,9 +87,9 @@ def _stream_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.groupBy(MONTH, STATION).agg(F.expr(f"sum({CONNECTIONS}) AS {CONNECTIONS}"))
 
 
-def _split_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _split_lists(spark: SparkSession, sf_dir: str, rounded: bool = False) -> DataFrame:
     leaving, reaching = op.split_connection_lists(op.connection_lists(_ends(spark, sf_dir)))
-    return op.list_role_means(leaving, reaching, rounded=False)
+    return op.list_role_means(leaving, reaching, rounded=rounded)
 
 
 QUERIES: dict[str, Query] = {
@@ -112,11 +112,13 @@ QUERIES: dict[str, Query] = {
     "connections_annual": lambda s, d: op.connections(_annual_ends(s, d)),
     "connection_lists": lambda s, d: op.connection_lists(_ends(s, d)),
     "split_connection_lists": _split_lists,
+    "split_connection_lists_rounded": lambda s, d: _split_lists(s, d, rounded=True),
     "role_means_raw": lambda s, d: op.role_means(_ends(s, d), rounded=False),
     "role_means_rounded": lambda s, d: op.role_means(_ends(s, d), rounded=True),
     "connections_time_raw": lambda s, d: op.connections_with_time(_ends(s, d), rounded=False),
     "connections_time_rounded": lambda s, d: op.connections_with_time(_ends(s, d), rounded=True),
     "station_times_join": lambda s, d: op.station_times_join(_trips(s, d), rounded=True),
+    "station_times_join_raw": lambda s, d: op.station_times_join(_trips(s, d), rounded=False),
     "station_times_raw": lambda s, d: op.station_times(_ends(s, d), rounded=False),
     "station_times_rounded": lambda s, d: op.station_times(_ends(s, d), rounded=True),
     "station_times_annual": lambda s, d: op.station_times(_annual_ends(s, d), rounded=True),
@@ -264,6 +266,8 @@ FROM trips GROUP BY file_name, month, destination""",
 FROM ends GROUP BY file_name, month, station, role, other_station, travel_time""",
     "split_connection_lists": _with(_TRIPS, _ends_cte("trips"), _role_means_cte(False))
     + "SELECT * FROM rm",
+    "split_connection_lists_rounded": _with(_TRIPS, _ends_cte("trips"), _role_means_cte(True))
+    + "SELECT * FROM rm",
     "role_means_raw": _with(_TRIPS, _ends_cte("trips"), _role_means_cte(False))
     + "SELECT * FROM rm",
     "role_means_rounded": _with(_TRIPS, _ends_cte("trips"), _role_means_cte(True))
@@ -273,6 +277,7 @@ FROM ends GROUP BY file_name, month, station, role, other_station, travel_time""
     "connections_time_rounded": _with(_TRIPS, _ends_cte("trips"), _role_means_cte(True))
     + f"SELECT file_name, month, station, connections, {_MID} AS mean_time FROM rm",
     "station_times_join": _with(_TRIPS, _direction_means("trips", True)) + "SELECT * FROM times",
+    "station_times_join_raw": _with(_TRIPS, _direction_means("trips", False)) + "SELECT * FROM times",
     "station_times_raw": _with(_TRIPS, _direction_means("trips", False)) + "SELECT * FROM times",
     "station_times_rounded": _with(_TRIPS, _direction_means("trips", True))
     + "SELECT * FROM times",
