@@ -9,9 +9,13 @@ of trips, and a station holding a large share of all trips costs no more to
 shuffle than any other. Columns a query does not use are pruned from the
 aggregation by Catalyst.
 
-Per-file rows are grouped on ``file_name`` alone: the month label is a
-function of the file name, so it is derived after the aggregation (one
-string fewer in every shuffled row, none built per trip)."""
+Per-file rows are grouped on ``file_name`` alone: the month label is, by
+definition, the first six characters of the file name, so it is derived
+after the aggregation (one string fewer in every shuffled row, none built
+per trip). A ``month`` column of the trips is therefore not read here.
+Carrying it through the aggregation instead (``any_value(month)``) puts a
+string into the aggregation buffer, which takes Spark off its fast
+fixed-width hash aggregation: measured 3-4x slower."""
 
 from __future__ import annotations
 

@@ -52,7 +52,9 @@ MEAN_TIME = "mean_time"
 RANK = "rank"
 
 # One input file is one observation (the grain of every per-file table);
-# the month label is derived from the file name and travels with it.
+# its month label is the first six characters of the file name. Per-file
+# tables derive ``month`` from ``file_name``; a trips ``month`` column is
+# for filtering trips only.
 GRAIN = (FILE_NAME, MONTH)
 
 # Every field of one raw trip line, for writers and for users who want the
