@@ -59,3 +59,17 @@ def test_variant_run_reports_do_not_rescan_trips(spark):
     for name, df in plans.run_variant(trips, "v3").items():
         p = _plan(df)
         assert "FileScan" not in p, name
+
+
+def test_reports_use_fixed_width_hash_aggregation(spark):
+    """Every aggregation buffer is fixed-width (counts, sums, means): no
+    report falls back to sort-based or object hash aggregation."""
+    import __spark_entry__ as entry
+
+    for key in ("top_times_raw", "top_connections_time_raw", "top_times_rounded",
+                "top_connections_time_rounded", "total_connections_all", "total_times_all",
+                "top_times_annual", "top_connections_annual", "total_connections_annual",
+                "total_times_annual"):
+        p = _plan(entry.queries()[key](spark, SF001))
+        assert "SortAggregate" not in p and "ObjectHashAggregate" not in p, key
+        assert "HashAggregate" in p, key
