@@ -15,6 +15,7 @@ environment; a local one is started only when none is configured."""
 from __future__ import annotations
 
 import argparse
+import sys
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -89,6 +90,8 @@ def _incremental(spark: SparkSession, args, glob: str | None) -> int:
         available_now=args.once,
         processing_time=None if args.once else args.interval,
     )
+    if not args.once:
+        print(f"watching {args.folder}; reports refreshed under {out} (stop with Ctrl-C)", file=sys.stderr)
     query.awaitTermination()
     return 0
 

@@ -19,7 +19,7 @@ fixed-width hash aggregation: measured 3-4x slower."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stationflow.functions.columns import (
@@ -62,7 +62,7 @@ def _with_month(grouped: DataFrame, *rest: str) -> DataFrame:
     return grouped.selectExpr(FILE_NAME, f"{month_label_sql(FILE_NAME)} AS {MONTH}", *rest)
 
 
-def _agg(*named_sql: tuple[str, str]):
+def _agg(*named_sql: tuple[str, str]) -> list[Column]:
     return [F.expr(f"{sql} AS {name}") for name, sql in named_sql]
 
 
