@@ -73,3 +73,24 @@ def test_reports_use_fixed_width_hash_aggregation(spark):
         p = _plan(entry.queries()[key](spark, SF001))
         assert "SortAggregate" not in p and "ObjectHashAggregate" not in p, key
         assert "HashAggregate" in p, key
+
+
+def test_shuffle_count(spark):
+    """One shuffle per aggregation level and one for the per-file ranking;
+    nothing else moves data."""
+    import __spark_entry__ as entry
+
+    expected = {
+        "connections_annual": 1,
+        "station_times_rounded": 1,
+        "role_means_rounded": 1,
+        "top_connections_annual": 2,
+        "top_times_rounded": 2,
+        "top_connections_time_rounded": 2,
+        "total_connections_all": 2,
+        "total_times_annual": 2,
+    }
+    for key, n in expected.items():
+        p = _plan(entry.queries()[key](spark, SF001))
+        assert p.count("Exchange hashpartitioning") == n, (key, p)
+        assert "Exchange rangepartitioning" not in p and "Exchange SinglePartition" not in p, key
