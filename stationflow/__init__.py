@@ -5,7 +5,7 @@ and ranks stations per file and over all files by connections and by mean
 time of use. Every function takes and returns DataFrames; nothing runs
 until an action is called on a result."""
 
-from stationflow import functions, operators, plans, sources
+from stationflow import functions, operators, plans, sources, streaming
 from stationflow.plans import (
     run_variant,
     top_connections,
@@ -23,6 +23,7 @@ __all__ = [
     "read_trip_files",
     "run_variant",
     "sources",
+    "streaming",
     "top_connections",
     "top_connections_time",
     "top_times",
