@@ -25,6 +25,8 @@ FIXTURE_FILES = {
 
 
 def trip_line(t, o, d, u, **extra) -> str:
+    """One JSON trip record with every field; ``extra`` overrides fields,
+    and a field given as ``...`` is left out of the record."""
     rec = {
         "_id": {"$oid": "000000000000000000000001"},
         "user_day_code": "0000000000000000",
