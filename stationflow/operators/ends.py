@@ -31,7 +31,10 @@ def filter_user_type(trips: DataFrame, user_type: int | None = ANNUAL_USER_TYPE)
 
 
 # One generator call turns a trip into its two ends in the scan stage: no
-# second scan, no union, and no per-trip array to build.
+# second scan, no union, and no per-trip array to build. ``travel_time``
+# stays outside the generator so that reports which do not use it (the
+# connection counts) do not read it at all: a generator's outputs cannot be
+# pruned.
 _BOTH_ENDS = (
     f"stack(2, {ORIGIN}, {DESTINATION}, '{ROLE_ORIGIN}', {DESTINATION}, {ORIGIN}, '{ROLE_DESTINATION}')"
     f" AS ({STATION}, {OTHER_STATION}, {ROLE})"
