@@ -22,10 +22,11 @@ trip = st.tuples(
 )
 
 
-def _spark_reports(spark, trips, variant, k_file, k_total):
+def _spark_reports(spark, trips, variant, k_file, k_total, materialize=False):
     df = spark.createDataFrame([(f, f[:6], t, o, d, u) for f, t, o, d, u in trips], TRIPS_SCHEMA)
     out = {}
-    for name, rep in run_variant(df, variant, k_file=k_file, k_total=k_total, materialize=False).items():
+    reports = run_variant(df, variant, k_file=k_file, k_total=k_total, materialize=materialize)
+    for name, rep in reports.items():
         out[name] = sorted((tuple(r) for r in rep.collect()), key=repr)
     return out
 
@@ -36,9 +37,10 @@ def _spark_reports(spark, trips, variant, k_file, k_total):
     variant=st.sampled_from(["v1", "v2", "v3"]),
     k_file=st.integers(1, 4),
     k_total=st.integers(1, 5),
+    materialize=st.booleans(),
 )
-def test_reports_equal_brute_force(spark, trips, variant, k_file, k_total):
-    got = _spark_reports(spark, trips, variant, k_file, k_total)
+def test_reports_equal_brute_force(spark, trips, variant, k_file, k_total, materialize):
+    got = _spark_reports(spark, trips, variant, k_file, k_total, materialize)
     want = {k: sorted(v, key=repr) for k, v in model.reports(trips, variant, k_file, k_total).items()}
     assert got.keys() == want.keys()
     for name in want:
