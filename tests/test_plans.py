@@ -94,3 +94,20 @@ def test_shuffle_count(spark):
         p = _plan(entry.queries()[key](spark, SF001))
         assert p.count("Exchange hashpartitioning") == n, (key, p)
         assert "Exchange rangepartitioning" not in p and "Exchange SinglePartition" not in p, key
+
+
+def test_month_filter_prunes_files(spark, tmp_path):
+    """A filter on the month label becomes a predicate on the file name,
+    which Spark applies when listing files: other months are never read."""
+    from pyspark.sql import functions as F
+
+    from conftest import FIXTURE_FILES, write_files
+    from stationflow.sources import read_trip_files
+
+    folder = write_files(tmp_path / "months", FIXTURE_FILES)
+    df = read_trip_files(spark, folder).where(F.col("month") == "201801")
+    assert df.count() == 7
+    df = read_trip_files(spark, folder).where(F.col("month") == "201801")
+    df.collect()
+    scan = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    assert scan.metrics().apply("numFiles").value() == 1
