@@ -111,3 +111,43 @@ def test_month_filter_prunes_files(spark, tmp_path):
     df.collect()
     scan = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
     assert scan.metrics().apply("numFiles").value() == 1
+
+
+def _shuffle_records(df) -> list[int]:
+    """Records written by each shuffle of an executed query, root first."""
+    out: list[int] = []
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        if name == "ShuffleExchangeExec":
+            out.append(node.metrics().apply("shuffleRecordsWritten").value())
+        children = node.children()
+        for i in range(children.size()):
+            walk(children.apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return out
+
+
+def test_shuffle_carries_groups_not_trips(spark):
+    """Partial aggregation: the first shuffle moves at most one row per
+    (scan task, file, station), never one per trip end."""
+    from stationflow import operators as op
+
+    trips = trips_from_lineitem(spark, SF001)
+    ends = 2 * trips.count()
+    groups = op.station_stats(op.trip_ends(trips)).count()
+    tasks = trips.rdd.getNumPartitions()
+    df = plans.top_times(trips, user_type=None, rounded=True)
+    df.collect()
+    first, *later = reversed(_shuffle_records(df))
+    assert groups <= first <= groups * tasks < ends
+    # the ranking shuffle: at most k rows per file from each partition of
+    # the aggregated table, and never more than the aggregated rows
+    files = trips.select("file_name").distinct().count()
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert later and later[0] <= min(first, 10 * files * partitions)
