@@ -226,7 +226,7 @@ def _conn_cte(source_ends: str = "ends") -> str:
 
 def _total_times(source: str) -> str:
     return (
-        _with(_TRIPS, *( [_ANNUAL] if source == "annual" else [] ), _direction_means(source, True))
+        _with(_TRIPS, *([_ANNUAL] if source == "annual" else []), _direction_means(source, True))
         + f"""SELECT * FROM (
   SELECT station, {_rnd('avg(time_from)')} AS time_from, {_rnd('avg(time_to)')} AS time_to
   FROM times GROUP BY station) tot
