@@ -97,6 +97,7 @@ def station_stats(ends: DataFrame) -> DataFrame:
 
 
 def connections_of(stats: DataFrame) -> DataFrame:
+    """Number of trip ends of every station, per file."""
     return stats.select(*KEYS, CONNECTIONS)
 
 

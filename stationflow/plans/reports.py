@@ -8,7 +8,9 @@ Three variants of the analysis exist and give different numbers:
 
 Each report is one lazy plan: one scan, the user filter pushed to it, one
 aggregation per file and station, then a per-file window or a second
-(small) aggregation for the totals."""
+(small) aggregation for the totals. Every report also has an ``*_of`` form
+that starts from an existing per-file station table (:func:`station_stats`
+output, for example a checkpointed or streamed one) instead of trips."""
 
 from __future__ import annotations
 
