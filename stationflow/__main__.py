@@ -39,16 +39,21 @@ def _ordered(df: DataFrame) -> DataFrame:
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="stationflow", description=__doc__.splitlines()[0])
     ap.add_argument("folder", help="folder holding the trip files")
-    ap.add_argument("--variant", choices=["v1", "v2", "v3"], default="v3")
-    ap.add_argument("--format", choices=["json", "parquet"], default="json")
+    ap.add_argument(
+        "--variant",
+        choices=["v1", "v2", "v3"],
+        default="v3",
+        help="v1: unrounded, all users; v2: rounded, all users, totals; v3: as v2, annual users (default)",
+    )
+    ap.add_argument("--format", choices=["json", "parquet"], default="json", help="trip file format")
     ap.add_argument(
         "--glob",
         default=None,
         help="file name pattern ('' reads every file); default: every file for v1, *.json for v2/v3",
     )
     ap.add_argument("--output", help="write each report as Parquet under this folder")
-    ap.add_argument("--k-file", type=int, default=TOP_PER_FILE)
-    ap.add_argument("--k-total", type=int, default=TOP_TOTAL)
+    ap.add_argument("--k-file", type=int, default=TOP_PER_FILE, help="stations per file in the rankings")
+    ap.add_argument("--k-total", type=int, default=TOP_TOTAL, help="stations in the totals")
     ap.add_argument(
         "--original-layout", action="store_true", help="column names and order of the original tables"
     )
