@@ -92,6 +92,7 @@ def _incremental(spark: SparkSession, args, glob: str | None) -> int:
         variant=args.variant,
         k_file=args.k_file,
         k_total=args.k_total,
+        original_headers=args.original_layout,
         available_now=args.once,
         processing_time=None if args.once else args.interval,
     )

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stationflow.operators.ends import filter_user_type, trip_ends
 from stationflow.operators.stations import station_stats
-from stationflow.plans.reports import VARIANTS, variant_reports
+from stationflow.plans.reports import VARIANTS, original_layout, variant_reports
 from stationflow.schema import TOP_PER_FILE, TOP_TOTAL, TRIP_FILE_GLOB, TRIP_SCHEMA
 from stationflow.sources.trips import label_trip_records
 
@@ -100,13 +100,15 @@ def start_incremental_reports(
     variant: str = "v3",
     k_file: int = TOP_PER_FILE,
     k_total: int = TOP_TOTAL,
+    original_headers: bool = False,
     available_now: bool = False,
     processing_time: str | None = None,
 ) -> StreamingQuery:
     """As :func:`start_incremental_stats` with the variant's user filter,
     and after every batch the variant's reports are recomputed from the
     stored per-file table (files x stations rows, never the trips) and
-    written to ``reports_path/<report>``, replacing the previous version."""
+    written to ``reports_path/<report>``, replacing the previous version
+    (in the original table layout with ``original_headers``)."""
     spark = trips.sparkSession
     append = per_file_stats_writer(table_path, user_type=VARIANTS[variant]["user_type"])
 
@@ -114,6 +116,8 @@ def start_incremental_reports(
         append(batch, batch_id)
         stats = stored_station_stats(spark, table_path)
         for name, report in variant_reports(stats, variant, k_file=k_file, k_total=k_total).items():
+            if original_headers:
+                report = original_layout(report)
             report.write.mode("overwrite").parquet(f"{reports_path.rstrip('/')}/{name}")
 
     return _start(trips, write, checkpoint_path, available_now, processing_time)

@@ -63,3 +63,11 @@ def test_cli_once_processes_new_files_incrementally(spark, tmp_path):
     expected = run_variant(read_trip_files(spark, folder), "v2", materialize=False)
     for name, df in expected.items():
         assert _set(spark.read.parquet(f"{out}/{name}").select(*df.columns)) == _set(df), name
+
+
+def test_cli_once_original_layout(spark, fixture_dir, tmp_path):
+    out = str(tmp_path / "orig-once")
+    assert main([fixture_dir, "--variant", "v3", "--output", out, "--once", "--original-layout"]) == 0
+    spark.streams.resetTerminated()
+    assert spark.read.parquet(f"{out}/top_connections").columns == ["Estación", "Numero_Conexiones", "Mes"]
+    assert spark.read.parquet(f"{out}/total_connections").columns == ["Estación", "Numero_conexiones"]
