@@ -17,11 +17,11 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
-from stationflow.plans.reports import original_layout
+from stationflow.plans.reports import ordered, original_layout
 from stationflow.plans.run import run_variant
-from stationflow.schema import FILE_NAME, RANK, TOP_PER_FILE, TOP_TOTAL, TRIP_FILE_GLOB
+from stationflow.schema import TOP_PER_FILE, TOP_TOTAL, TRIP_FILE_GLOB
 from stationflow.sources.trips import read_trip_files
 from stationflow.streaming import read_trip_stream, start_incremental_reports
 
@@ -30,12 +30,6 @@ from stationflow.streaming import read_trip_stream, start_incremental_reports
 _PRINT_ROWS = 1_000_000
 
 
-def _ordered(df: DataFrame) -> DataFrame:
-    if RANK in df.columns:
-        return df.orderBy(FILE_NAME, RANK)
-    return df
-
-
 def main(argv: list[str] | None = None) -> int:
     ap = argparse.ArgumentParser(prog="stationflow", description=__doc__.splitlines()[0])
     ap.add_argument("folder", help="folder holding the trip files")
@@ -72,12 +66,12 @@ def main(argv: list[str] | None = None) -> int:
     reports = run_variant(trips, args.variant, k_file=args.k_file, k_total=args.k_total)
     for name, df in reports.items():
         if args.original_layout:
-            df = original_layout(_ordered(df))
+            df = original_layout(ordered(df))
         if args.output:
             df.write.mode("overwrite").parquet(f"{args.output.rstrip('/')}/{name}")
         else:
             print(f"\n{name}")
-            _ordered(df).show(_PRINT_ROWS, truncate=False)
+            ordered(df).show(_PRINT_ROWS, truncate=False)
     return 0
 
 

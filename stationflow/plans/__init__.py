@@ -1,5 +1,6 @@
 from stationflow.plans.reports import (
     VARIANTS,
+    ordered,
     original_layout,
     top_connections,
     top_connections_time,
@@ -13,6 +14,7 @@ from stationflow.plans.run import materialized_stats, run_variant
 __all__ = [
     "VARIANTS",
     "materialized_stats",
+    "ordered",
     "original_layout",
     "run_variant",
     "top_connections",

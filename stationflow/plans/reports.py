@@ -28,6 +28,7 @@ from stationflow.operators.stations import (
 from stationflow.operators.totals import total_connections, total_times
 from stationflow.schema import (
     CONNECTIONS,
+    FILE_NAME,
     GRAIN,
     MEAN_TIME,
     MONTH,
@@ -175,6 +176,14 @@ _ORIGINAL = {
 }
 
 
+def ordered(df: DataFrame) -> DataFrame:
+    """A report in display order: per-file rankings by file and rank (the
+    totals are already in rank order)."""
+    if RANK in df.columns:
+        return df.orderBy(FILE_NAME, RANK)
+    return df
+
+
 def original_layout(df: DataFrame) -> DataFrame:
     """A report with the column names and order of the original printed
     tables: per-file tables end with the month column, ``file_name`` and

@@ -17,7 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stationflow.operators.ends import filter_user_type, trip_ends
 from stationflow.operators.stations import station_stats
-from stationflow.plans.reports import VARIANTS, original_layout, variant_reports
+from stationflow.plans.reports import VARIANTS, ordered, original_layout, variant_reports
 from stationflow.schema import TOP_PER_FILE, TOP_TOTAL, TRIP_FILE_GLOB, TRIP_SCHEMA
 from stationflow.sources.trips import label_trip_records
 
@@ -117,7 +117,7 @@ def start_incremental_reports(
         stats = stored_station_stats(spark, table_path)
         for name, report in variant_reports(stats, variant, k_file=k_file, k_total=k_total).items():
             if original_headers:
-                report = original_layout(report)
+                report = original_layout(ordered(report))
             report.write.mode("overwrite").parquet(f"{reports_path.rstrip('/')}/{name}")
 
     return _start(trips, write, checkpoint_path, available_now, processing_time)
