@@ -101,3 +101,17 @@ def test_list_path_rounds_fractional_times_like_single_pass(spark, rows):
     ends = op.trip_ends(trips)
     leaving, reaching = op.split_connection_lists(op.connection_lists(ends))
     assert _set(op.list_role_means(leaving, reaching, rounded=True)) == _set(op.role_means(ends, rounded=True))
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(nullable_trip, min_size=1, max_size=40), st.lists(nullable_trip, min_size=1, max_size=40))
+def test_files_are_independent(spark, first, second):
+    """Per-file results do not depend on the other files read with them:
+    the table of two batches of files equals the union of their tables."""
+    second = [("201803_b.json", *rest) for _, *rest in second]  # distinct files
+    together = op.station_stats(op.trip_ends(_df(spark, first + second)))
+    apart = op.union_months(
+        op.station_stats(op.trip_ends(_df(spark, first))),
+        op.station_stats(op.trip_ends(_df(spark, second))),
+    )
+    assert _set(together) == _set(apart)
