@@ -257,3 +257,16 @@ def test_several_folders_in_one_scan(spark, tmp_path):
     both = read_trip_files(spark, [a, b])
     one = read_trip_files(spark, write_files(tmp_path / "all", FIXTURE_FILES))
     assert rows(both, *both.columns) == rows(one, *one.columns)
+
+
+def test_json_text_column_strict_and_failfast(spark):
+    lines = spark.createDataFrame(
+        [("a.json", "a.json", '{"travel_time": 3, "idunplug_station": 4, "idplug_station": 5}')],
+        "file_name string, month string, value string",
+    )
+    assert parse_trip_json(lines).collect()[0].user_type is None
+    with pytest.raises(Exception, match="lacks field"):
+        parse_trip_json(lines, strict=True).collect()
+    bad = spark.createDataFrame([("a.json", "a.json", "{not json")], "file_name string, month string, value string")
+    with pytest.raises(Exception):
+        parse_trip_json(bad).collect()
