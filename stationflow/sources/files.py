@@ -78,8 +78,10 @@ def write_trip_files(trips: DataFrame, folder: str, *, suffix: str = "_usage") -
             if s.getPath().getName().startswith("part-")
         )
         for i, name in enumerate(parts):
-            fs.rename(
-                Path(month_dir.getPath(), name),
-                Path(folder, f"{month}{suffix}-{i:05d}.json"),
-            )
+            source = Path(month_dir.getPath(), name)
+            target = Path(folder, f"{month}{suffix}-{i:05d}.json")
+            # Hadoop reports a failed rename by returning false: never leave
+            # trips behind silently.
+            if not fs.rename(source, target):
+                raise OSError(f"could not move {source.toString()} to {target.toString()}")
     return folder
