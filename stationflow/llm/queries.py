@@ -9,11 +9,13 @@ from stationflow.llm.decontaminate import find_benchmark
 from stationflow.llm.mixing import mix_sources
 from stationflow.llm.quality_rules import judge_quality
 from stationflow.llm.secret_scan import secret_report
+from stationflow.llm.shared import ship_package
 from stationflow.llm.token_counts import count_tokens
 from stationflow.llm.url_filter import blocked_hosts, filter_urls, with_host_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
