@@ -15,7 +15,8 @@ LOWER[ord("A") : ord("Z") + 1] += 32
 SEGMENT = 1 << 20
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_BYTES = np.random.Generator(np.random.PCG64(7)).integers(1, 2**64, 256, dtype=np.uint64)
+#: Values of the bytes, by seed: two independent hashes of the same span.
+_BYTES = np.random.Generator(np.random.PCG64(7)).integers(1, 2**64, (2, 256), dtype=np.uint64)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -47,12 +48,12 @@ class _Powers:
 _POWERS = _Powers()
 
 
-def prefix_hashes(data: np.ndarray) -> np.ndarray:
+def prefix_hashes(data: np.ndarray, seed: int = 0) -> np.ndarray:
     """c with c[j] - c[i] = polynomial of data[i:j], times the base to the i."""
     up, _ = _POWERS.of(len(data))
     c = np.zeros(len(data) + 1, dtype=np.uint64)
     with np.errstate(over="ignore"):
-        np.cumsum(_BYTES[data] * up[: len(data)], out=c[1:])
+        np.cumsum(_BYTES[seed][data] * up[: len(data)], out=c[1:])
     return c
 
 
@@ -63,6 +64,22 @@ def span_hashes(c: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarra
         return (c[stop] - c[start]) * down[start]
 
 
+def hashed_spans(data: np.ndarray, start: np.ndarray, stop: np.ndarray, seed: int = 0) -> np.ndarray:
+    """Mixed hash of each data[start:stop], ``start`` ascending, in segments:
+    memory does not grow with the buffer."""
+    out = np.empty(len(start), dtype=np.uint64)
+    i = 0
+    while i < len(start):
+        lo = int(start[i])
+        j = int(np.searchsorted(start, lo + SEGMENT, side="left"))
+        c = prefix_hashes(data[lo : int(stop[i:j].max())], seed)
+        length = (stop[i:j] - start[i:j]).astype(np.uint64)
+        with np.errstate(over="ignore"):
+            out[i:j] = mixed(span_hashes(c, start[i:j] - lo, stop[i:j] - lo) + length * np.uint64(0xD6E8FEB86659FD93))
+        i = j
+    return out
+
+
 def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """One buffer of all texts, each followed by a line feed, and their starts."""
     data = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
