@@ -29,9 +29,10 @@ REPLY = "block int, bucket int, payload binary"
 
 
 class Blocks:
-    """Stored texts: ``block, k, doc_id, z`` (z: compressed bytes; a null text
-    is empty). ``k`` numbers rows for good; blocks follow the order of doc_id,
-    rows of one doc_id are in one block."""
+    """Stored texts: ``block, k, doc_id, t, z`` (t: xxhash64 of the text, z: its
+    bytes compressed; a null text is empty). ``k`` numbers rows for good, with
+    the block's number from bit 33 on; blocks follow the order of doc_id, rows
+    of one doc_id are in one block."""
 
     def __init__(self, table: DataFrame, count: int, text_bytes: int, id_type: str) -> None:
         self.table, self.count, self.text_bytes, self.id_type = table, count, text_bytes, id_type
@@ -47,12 +48,14 @@ def text_blocks(documents: DataFrame, *, block_bytes: int = BLOCK_BYTES) -> Bloc
 
         packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
-            z = pa.array([packer.compress(t.as_py() or b"") for t in batch.column(1)], pa.binary())
-            yield pa.RecordBatch.from_arrays([batch.column(0), z], ["doc_id", "z"])
+            z = pa.array([packer.compress(t.as_py() or b"") for t in batch.column(2)], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), z], ["doc_id", "t", "z"])
 
-    rows = documents.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(compressed, f"doc_id {id_type}, z binary")
+    rows = documents.select("doc_id", F.xxhash64("text").alias("t"), F.col("text").cast("binary").alias("text")).mapInArrow(
+        compressed, f"doc_id {id_type}, t long, z binary"
+    )
     laid = rows.repartitionByRange(count, "doc_id").select(
-        F.spark_partition_id().alias("block"), F.monotonically_increasing_id().alias("k"), "doc_id", "z"
+        F.spark_partition_id().alias("block"), F.monotonically_increasing_id().alias("k"), "doc_id", "t", "z"
     )
     table = stored(laid, "text-blocks")
     last = table.agg(F.max("block")).first()[0]

@@ -6,10 +6,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from stationflow.llm.decontaminate import find_benchmark
+from stationflow.llm.jaccard_join import jaccard_components
+from stationflow.llm.lattice_lm import score_documents
 from stationflow.llm.mixing import mix_sources
 from stationflow.llm.quality_rules import judge_quality
 from stationflow.llm.secret_scan import secret_report
 from stationflow.llm.shared import ship_package
+from stationflow.llm.substring_dedup import remove_repeated_windows
+from stationflow.llm.suffix_dedup import remove_repeated_bytes
 from stationflow.llm.token_counts import count_tokens
 from stationflow.llm.url_filter import blocked_hosts, filter_urls, with_host_path
 
@@ -23,15 +27,31 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_bytes(_table(spark, sf_dir, "documents"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages")
     return filter_urls(pages, blocked_hosts(with_host_path(pages.select("url"))))
 
 
+def op4_lattice_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeated_windows(_table(spark, sf_dir, "documents"))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(_table(spark, sf_dir, "documents"))
 
@@ -46,8 +66,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_url_filter": op3_url_filter,
+    "op4_lattice_lm": op4_lattice_lm,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_token_counts": op6_token_counts,
+    "op7_jaccard_join": op7_jaccard_join,
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
     "op10_decontamination": op10_decontamination,
