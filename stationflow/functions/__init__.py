@@ -1,35 +1,29 @@
 from stationflow.functions.columns import (
     DESTINATION_END_SQL,
+    FILE_DIR,
     ORIGIN_END_SQL,
-    decoded_file_name,
-    half_even,
+    complete_sql,
+    file_key_sql,
+    file_name_sql,
     half_even_sql,
-    half_even_value,
     half_even_value_sql,
-    is_destination,
-    is_origin,
-    midpoint,
     midpoint_sql,
     month_label,
     month_label_sql,
-    require_not_null,
     when_sql,
 )
 
 __all__ = [
     "DESTINATION_END_SQL",
+    "FILE_DIR",
     "ORIGIN_END_SQL",
-    "decoded_file_name",
-    "half_even",
+    "complete_sql",
+    "file_key_sql",
+    "file_name_sql",
     "half_even_sql",
-    "half_even_value",
     "half_even_value_sql",
-    "is_destination",
-    "is_origin",
-    "midpoint",
     "midpoint_sql",
     "month_label",
     "month_label_sql",
-    "require_not_null",
     "when_sql",
 ]

@@ -1,7 +1,7 @@
 """Expressions shared by the operators.
 
-Each is written once as Spark SQL text (``*_sql``) and offered as a Column
-too. Operators build their projections and aggregates from the SQL text with
+Each is written once as Spark SQL text (``*_sql``). Operators build their
+projections and aggregates from the SQL text with
 ``selectExpr``/``expr``: the plan is the same as with Column objects, but a
 whole expression crosses from Python to the JVM in one call instead of one
 call per node. All are built-in expressions and stay in whole-stage code
@@ -47,52 +47,42 @@ def when_sql(cond: str, value: str) -> str:
     return f"CASE WHEN {cond} THEN {value} END"
 
 
-# --- Columns ----------------------------------------------------------------------
+# --- the file a row belongs to ------------------------------------------------
 
+# Name of the partition directories that hold a file stored in parts.
+FILE_DIR = "file="
 
-def _col(col: Column | str) -> Column:
-    return F.col(col) if isinstance(col, str) else col
 
+def file_key_sql(path: str = "_metadata.file_path") -> str:
+    """Identity of the file a row was read from: its decoded path, or the
+    decoded path of the ``file=<name>`` directory that holds its parts.
 
-def half_even(col: Column | str) -> Column:
-    return F.bround(_col(col), 0).cast("bigint")
-
+    ``_metadata`` paths come URL-encoded (a space shows as ``%20``).
+    ``url_decode`` would also turn a literal ``+`` into a space, so ``+`` is
+    protected as ``%2B`` first; paths without any escape are kept as they
+    are. Directory names are escaped once more by the partition writer."""
+    def decoded(x: str) -> str:
+        return f"CASE WHEN contains({x}, '%') THEN url_decode(replace({x}, '+', '%2B')) ELSE {x} END"
 
-def half_even_value(col: Column | str) -> Column:
-    return F.bround(_col(col), 0)
+    whole = f"regexp_extract({path}, '^(.*/{FILE_DIR}[^/]+)/[^/]*$', 1)"
+    return f"CASE WHEN {whole} = '' THEN {decoded(path)} ELSE {decoded(f'({decoded(whole)})')} END"
 
 
-def midpoint(a: Column | str, b: Column | str) -> Column:
-    return (_col(a) + _col(b)) / F.lit(2.0)
+def file_name_sql(file: str) -> str:
+    """Label of a file: the last step of its identity."""
+    step = f"substring_index({file}, '/', -1)"
+    return f"CASE WHEN startswith({step}, '{FILE_DIR}') THEN substring({step}, {len(FILE_DIR) + 1}) ELSE {step} END"
 
 
 def month_label(file_name: Column | str) -> Column:
-    return F.substring(_col(file_name), 1, MONTH_LABEL_LENGTH)
-
-
-def is_origin() -> Column:
-    return F.expr(ORIGIN_END_SQL)
+    """First six characters of a file name, as a Column."""
+    col = F.col(file_name) if isinstance(file_name, str) else file_name
+    return F.substring(col, 1, MONTH_LABEL_LENGTH)
 
 
-def is_destination() -> Column:
-    return F.expr(DESTINATION_END_SQL)
-
-
-def decoded_file_name() -> Column:
-    """Name of the file a row was read from, as written on disk.
-
-    ``_metadata.file_name`` comes URL-encoded (a space shows as ``%20``).
-    ``url_decode`` would also turn a literal ``+`` into a space, so ``+`` is
-    protected as ``%2B`` first. Names without any escape are kept as they
-    are, which skips the decode for nearly every file."""
-    raw = F.col("_metadata.file_name")
-    decoded = F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B")))
-    return F.when(raw.contains("%"), decoded).otherwise(raw)
-
-
-def require_not_null(col: str, what: str) -> Column:
-    """The column itself, or a task failure when it is NULL (strict reads:
-    a record that lacks a field is an error, not a NULL)."""
-    return F.when(
-        F.col(col).isNull(), F.raise_error(F.lit(f"trip record lacks field {what}"))
-    ).otherwise(F.col(col))
+def complete_sql(fields: list[str]) -> str:
+    """A condition that holds for a record with every field and fails the
+    task otherwise. As a filter it is never pruned, whichever fields the
+    query uses."""
+    tests = " ".join(f"WHEN `{f}` IS NULL THEN raise_error('trip record lacks field {f}')" for f in fields)
+    return f"CASE {tests} ELSE true END"

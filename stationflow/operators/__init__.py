@@ -9,10 +9,13 @@ from stationflow.operators.stations import (
     connections_with_time,
     connections_with_time_of,
     list_role_means,
+    merge_station_sums,
     role_means,
     role_means_of,
     split_connection_lists,
     station_stats,
+    station_stats_of_sums,
+    station_sums,
     station_times,
     station_times_join,
     station_times_of,
@@ -29,10 +32,13 @@ __all__ = [
     "connections_with_time_of",
     "filter_user_type",
     "list_role_means",
+    "merge_station_sums",
     "role_means",
     "role_means_of",
     "split_connection_lists",
     "station_stats",
+    "station_stats_of_sums",
+    "station_sums",
     "station_times",
     "station_times_join",
     "station_times_of",

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from stationflow.schema import (
     ANNUAL_USER_TYPE,
     DESTINATION,
+    FILE,
     FILE_NAME,
     MONTH,
     ORIGIN,
@@ -41,13 +42,19 @@ _BOTH_ENDS = (
 )
 
 
+def identified(trips: DataFrame) -> DataFrame:
+    """Trips with the identity of their file; tables that only name their
+    files (no ``file`` column) are told apart by that name."""
+    return trips if FILE in trips.columns else trips.withColumn(FILE, trips[FILE_NAME])
+
+
 def trip_ends(trips: DataFrame) -> DataFrame:
     """Two rows per trip: the origin end and the destination end.
 
     ``station`` is the station of this end, ``other_station`` the station at
     the other end, ``role`` says which end it is. A trip from a station to
     itself gives two ends at that station.
-    ``file_name, month, station, other_station, travel_time, role``."""
-    return trips.selectExpr(FILE_NAME, MONTH, TRAVEL_TIME, _BOTH_ENDS).select(
-        FILE_NAME, MONTH, STATION, OTHER_STATION, TRAVEL_TIME, ROLE
+    ``file, file_name, month, station, other_station, travel_time, role``."""
+    return identified(trips).selectExpr(FILE, FILE_NAME, MONTH, TRAVEL_TIME, _BOTH_ENDS).select(
+        FILE, FILE_NAME, MONTH, STATION, OTHER_STATION, TRAVEL_TIME, ROLE
     )

@@ -9,14 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.schema import FILE_NAME, RANK, STATION
+from stationflow.schema import FILE, RANK, STATION
 
 
 def _order_sql(score: str) -> str:
     return f"({score}) DESC NULLS LAST, {STATION} ASC NULLS FIRST"
 
 
-def top_k_per_file(df: DataFrame, score: str, k: int, *, by: str = FILE_NAME) -> DataFrame:
+def top_k_per_file(df: DataFrame, score: str, k: int, *, by: str = FILE) -> DataFrame:
     """The ``k`` best stations of every file, with their ``rank`` (1..k).
 
     A row-number window per file filtered on ``rank <= k``; Spark plans it

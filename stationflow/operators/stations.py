@@ -9,10 +9,10 @@ of trips, and a station holding a large share of all trips costs no more to
 shuffle than any other. Columns a query does not use are pruned from the
 aggregation by Catalyst.
 
-Per-file rows are grouped on ``file_name`` alone: the month label is, by
-definition, the first six characters of the file name, so it is derived
-after the aggregation (one string fewer in every shuffled row, none built
-per trip). A ``month`` column of the trips is therefore not read here.
+Per-file rows are grouped on ``file`` alone, the identity of the file: its
+name and month label are parts of it, so they are derived after the
+aggregation (fewer strings in every shuffled row, none built per trip). The
+label columns of the trips are therefore not read here.
 Carrying it through the aggregation instead (``any_value(month)``) puts a
 string into the aggregation buffer, which takes Spark off its fast
 fixed-width hash aggregation: measured 3-4x slower."""
@@ -25,15 +25,18 @@ from pyspark.sql import functions as F
 from stationflow.functions.columns import (
     DESTINATION_END_SQL,
     ORIGIN_END_SQL,
+    file_name_sql,
     half_even_sql,
     half_even_value_sql,
     midpoint_sql,
     month_label_sql,
     when_sql,
 )
+from stationflow.operators.ends import identified
 from stationflow.schema import (
     CONNECTIONS,
     DESTINATION,
+    FILE,
     FILE_NAME,
     GRAIN,
     MEAN_TIME,
@@ -58,8 +61,9 @@ LIST_TIME_FROM = "list_time_from"
 LIST_TIME_TO = "list_time_to"
 
 
-def _with_month(grouped: DataFrame, *rest: str) -> DataFrame:
-    return grouped.selectExpr(FILE_NAME, f"{month_label_sql(FILE_NAME)} AS {MONTH}", *rest)
+def _labelled(grouped: DataFrame, *rest: str) -> DataFrame:
+    named = grouped.selectExpr("*", f"{file_name_sql(FILE)} AS {FILE_NAME}")
+    return named.selectExpr(FILE, FILE_NAME, f"{month_label_sql(FILE_NAME)} AS {MONTH}", *rest)
 
 
 def _agg(*named_sql: tuple[str, str]) -> list[Column]:
@@ -77,7 +81,7 @@ def station_stats(ends: DataFrame) -> DataFrame:
     A NULL station is a station of its own; a NULL travel time counts as a
     connection but is left out of the means."""
     rounded = half_even_value_sql(TRAVEL_TIME)
-    stats = ends.groupBy(FILE_NAME, STATION).agg(
+    stats = ends.groupBy(FILE, STATION).agg(
         *_agg(
             (CONNECTIONS, "count(1)"),
             (N_FROM, f"count({when_sql(ORIGIN_END_SQL, '1')})"),
@@ -88,7 +92,47 @@ def station_stats(ends: DataFrame) -> DataFrame:
             (LIST_TIME_TO, f"avg({when_sql(DESTINATION_END_SQL, rounded)})"),
         )
     )
-    return _with_month(
+    return _labelled(
+        stats, STATION, CONNECTIONS, N_FROM, N_TO, TIME_FROM, TIME_TO, LIST_TIME_FROM, LIST_TIME_TO
+    )
+
+
+# --- the same measures in parts ------------------------------------------------
+
+# Sums and counts per direction, and over trip times rounded first.
+_SUMS = tuple(
+    (f"{what}_{side}", f"{how}({when_sql(end, value)})")
+    for side, end in (("from", ORIGIN_END_SQL), ("to", DESTINATION_END_SQL))
+    for what, how, value in (
+        ("n", "count", "1"),
+        ("timed", "count", TRAVEL_TIME),
+        ("sum", "sum", f"CAST({TRAVEL_TIME} AS DOUBLE)"),
+        ("rounded_sum", "sum", f"CAST({half_even_value_sql(TRAVEL_TIME)} AS DOUBLE)"),
+    )
+)
+
+
+def station_sums(ends: DataFrame) -> DataFrame:
+    """Per (file, station), sums and counts from which :func:`station_stats`
+    follows; tables of parts of a file add up."""
+    return ends.groupBy(FILE, STATION).agg(*_agg((CONNECTIONS, "count(1)"), *_SUMS))
+
+
+def merge_station_sums(sums: DataFrame) -> DataFrame:
+    """Sums of all parts of each file."""
+    names = [CONNECTIONS, *(name for name, _ in _SUMS)]
+    return sums.groupBy(FILE, STATION).agg(*_agg(*((name, f"sum({name})") for name in names)))
+
+
+def station_stats_of_sums(sums: DataFrame) -> DataFrame:
+    """The rows of :func:`station_stats`."""
+    stats = sums.selectExpr(
+        FILE, STATION, CONNECTIONS, f"n_from AS {N_FROM}", f"n_to AS {N_TO}",
+        f"try_divide(sum_from, timed_from) AS {TIME_FROM}", f"try_divide(sum_to, timed_to) AS {TIME_TO}",
+        f"try_divide(rounded_sum_from, timed_from) AS {LIST_TIME_FROM}",
+        f"try_divide(rounded_sum_to, timed_to) AS {LIST_TIME_TO}",
+    )
+    return _labelled(
         stats, STATION, CONNECTIONS, N_FROM, N_TO, TIME_FROM, TIME_TO, LIST_TIME_FROM, LIST_TIME_TO
     )
 
@@ -141,24 +185,24 @@ def connections_with_time_of(stats: DataFrame, *, rounded: bool) -> DataFrame:
 
 
 def connections(ends: DataFrame) -> DataFrame:
-    """``file_name, month, station, connections``: number of trip ends."""
+    """``file, file_name, month, station, connections``: number of trip ends."""
     return connections_of(station_stats(ends))
 
 
 def station_times(ends: DataFrame, *, rounded: bool = False) -> DataFrame:
-    """``file_name, month, station, time_from, time_to`` in one pass: a
+    """``file, file_name, month, station, time_from, time_to`` in one pass: a
     conditional mean per direction in a single aggregation, no join."""
     return station_times_of(station_stats(ends), rounded=rounded)
 
 
 def role_means(ends: DataFrame, *, rounded: bool = False) -> DataFrame:
-    """``file_name, month, station, connections, time_from, time_to`` of the
+    """``file, file_name, month, station, connections, time_from, time_to`` of the
     connection-list path, every station kept."""
     return role_means_of(station_stats(ends), rounded=rounded)
 
 
 def connections_with_time(ends: DataFrame, *, rounded: bool = False) -> DataFrame:
-    """``file_name, month, station, connections, mean_time``."""
+    """``file, file_name, month, station, connections, mean_time``."""
     return connections_with_time_of(station_stats(ends), rounded=rounded)
 
 
@@ -167,8 +211,8 @@ def connections_with_time(ends: DataFrame, *, rounded: bool = False) -> DataFram
 
 def _avg_time(trips: DataFrame, by: str, name: str, rounded: bool) -> DataFrame:
     mean = half_even_sql(f"avg({TRAVEL_TIME})") if rounded else f"avg({TRAVEL_TIME})"
-    grouped = trips.groupBy(FILE_NAME, F.col(by).alias(STATION)).agg(*_agg((name, mean)))
-    return _with_month(grouped, STATION, name)
+    grouped = identified(trips).groupBy(FILE, F.col(by).alias(STATION)).agg(*_agg((name, mean)))
+    return _labelled(grouped, STATION, name)
 
 
 def avg_time_from(trips: DataFrame, *, rounded: bool = False) -> DataFrame:
@@ -191,15 +235,17 @@ def station_times_join(trips: DataFrame, *, rounded: bool = False) -> DataFrame:
     run time and picks the join strategy."""
     left = avg_time_from(trips, rounded=rounded)
     right = avg_time_to(trips, rounded=rounded).select(
-        *[F.col(c).alias(f"_r_{c}") for c in KEYS], F.col(TIME_TO)
+        *[F.col(c).alias(f"_r_{c}") for c in (FILE, STATION)], F.col(TIME_TO)
     )
-    cond = [left[c].eqNullSafe(right[f"_r_{c}"]) for c in KEYS]
+    cond = [left[c].eqNullSafe(right[f"_r_{c}"]) for c in (FILE, STATION)]
     return left.join(right, cond, "inner").select(*KEYS, TIME_FROM, TIME_TO)
 
 
 # --- connection lists ---------------------------------------------------------
 
 MULTIPLICITY = "n"
+SIDE = "side"
+LEAVING, REACHING = "leaving", "reaching"
 
 
 def connection_lists(ends: DataFrame) -> DataFrame:
@@ -208,48 +254,48 @@ def connection_lists(ends: DataFrame) -> DataFrame:
     A station's list is the multiset of ``(other_station, travel_time,
     role)`` over its trip ends. It is returned as one row per distinct
     element with its multiplicity ``n``:
-    ``file_name, month, station, role, other_station, travel_time, n``.
+    ``file, file_name, month, station, role, other_station, travel_time, n``.
     This loses nothing (``sum(n)`` is the list length, the connections) and
     never gathers a whole list into one task or row, which would not scale
     for a busy station."""
-    grouped = ends.groupBy(FILE_NAME, STATION, ROLE, OTHER_STATION, TRAVEL_TIME).agg(
+    grouped = ends.groupBy(FILE, STATION, ROLE, OTHER_STATION, TRAVEL_TIME).agg(
         *_agg((MULTIPLICITY, "count(1)"))
     )
-    return _with_month(grouped, STATION, ROLE, OTHER_STATION, TRAVEL_TIME, MULTIPLICITY)
+    return _labelled(grouped, STATION, ROLE, OTHER_STATION, TRAVEL_TIME, MULTIPLICITY)
 
 
-def split_connection_lists(lists: DataFrame) -> tuple[DataFrame, DataFrame]:
+def split_connection_lists(lists: DataFrame, *, rounded: bool = False) -> DataFrame:
     """Split connection lists into the trips leaving the station and the
-    trips reaching it: two tables of
-    ``file_name, month, station, other_station, travel_time, n``."""
-    cols = (*KEYS, OTHER_STATION, TRAVEL_TIME, MULTIPLICITY)
-    leaving = lists.where(f"{ROLE} = '{ROLE_ORIGIN}'").select(*cols)
-    reaching = lists.where(f"{ROLE} = '{ROLE_DESTINATION}'").select(*cols)
-    return leaving, reaching
+    trips reaching it: one table with the side of each row,
+    ``file, file_name, month, station, side, other_station, travel_time, n``.
 
+    The two halves stay in one table (take one with ``side = 'leaving'``), so
+    the lists behind them are built once. ``rounded`` rounds every trip time
+    half-even, as the rounded path does before it takes means."""
+    side = f"CASE WHEN {ROLE} = '{ROLE_ORIGIN}' THEN '{LEAVING}' WHEN {ROLE} = '{ROLE_DESTINATION}' THEN '{REACHING}' END AS {SIDE}"
+    time = f"{half_even_value_sql(TRAVEL_TIME)} AS {TRAVEL_TIME}" if rounded else TRAVEL_TIME
+    return lists.selectExpr(*KEYS, side, OTHER_STATION, time, MULTIPLICITY)
 
-def list_role_means(leaving: DataFrame, reaching: DataFrame, *, rounded: bool = False) -> DataFrame:
-    """Per-direction mean over split connection lists:
-    ``file_name, month, station, connections, time_from, time_to``.
 
-    The two halves are stacked with a side tag and summed in one
-    aggregation (weighted by multiplicity) rather than joined."""
-    side = "_side"
-    stacked = leaving.withColumn(side, F.lit(0)).unionByName(reaching.withColumn(side, F.lit(1)))
+def list_role_means(split: DataFrame, *, rounded: bool = False) -> DataFrame:
+    """Per-direction mean over split connection lists:
+    ``file, file_name, month, station, connections, time_from, time_to``, in
+    one aggregation weighted by multiplicity. ``rounded`` rounds the trip
+    times and the means."""
     t = half_even_value_sql(TRAVEL_TIME) if rounded else TRAVEL_TIME
     n = MULTIPLICITY
 
-    def side_mean(which: int) -> str:
-        on = f"{side} = {which}"
+    def side_mean(which: str) -> str:
+        on = f"{SIDE} = '{which}'"
         weighted = f"sum({when_sql(on, f'({t}) * {n}')})"
         timed = f"sum({when_sql(f'{on} AND ({t}) IS NOT NULL', n)})"
         mean = f"{weighted} / {timed}"
         return half_even_sql(mean) if rounded else mean
 
-    grouped = stacked.groupBy(FILE_NAME, STATION).agg(
-        *_agg((CONNECTIONS, f"sum({n})"), (TIME_FROM, side_mean(0)), (TIME_TO, side_mean(1)))
+    grouped = split.groupBy(FILE, STATION).agg(
+        *_agg((CONNECTIONS, f"sum({n})"), (TIME_FROM, side_mean(LEAVING)), (TIME_TO, side_mean(REACHING)))
     )
-    return _with_month(grouped, STATION, CONNECTIONS, TIME_FROM, TIME_TO)
+    return _labelled(grouped, STATION, CONNECTIONS, TIME_FROM, TIME_TO)
 
 
 __all__ = [
@@ -261,10 +307,13 @@ __all__ = [
     "connections_with_time",
     "connections_with_time_of",
     "list_role_means",
+    "merge_station_sums",
     "role_means",
     "role_means_of",
     "split_connection_lists",
     "station_stats",
+    "station_stats_of_sums",
+    "station_sums",
     "station_times",
     "station_times_join",
     "station_times_of",

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from stationflow import operators as op
 from stationflow.functions.columns import month_label
 from stationflow.plans import reports
-from stationflow.schema import CONNECTIONS, FILE_NAME, MONTH, STATION
+from stationflow.schema import CONNECTIONS, FILE, FILE_NAME, MONTH, STATION
 from stationflow.sources.files import new_shared_folder, write_trip_files
 from stationflow.sources.trips import (
     parse_trip_json,
@@ -52,19 +52,18 @@ def _annual_ends(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scan_trip_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Write the trips as monthly JSON Lines files into the shared folder,
-    then read the folder back with the trip file scan. File names carry a
-    part number, so only the month label (not the name) is compared."""
+    """Write the trips as JSON Lines files into the shared folder, then read
+    the folder back with the trip file scan."""
     folder = new_shared_folder(spark, "trip-files")
     write_trip_files(_trips(spark, sf_dir), folder)
-    return read_trip_files(spark, folder).drop(FILE_NAME)
+    return read_trip_files(spark, folder)
 
 
 def _union_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Time tables of two batches of files, computed apart and stacked."""
     trips = _annual(spark, sf_dir)
-    first = trips.where(F.col(MONTH) < F.lit(_FIRST_BATCH_BEFORE))
-    second = trips.where(F.col(MONTH) >= F.lit(_FIRST_BATCH_BEFORE))
+    early = F.coalesce(F.col(MONTH) < F.lit(_FIRST_BATCH_BEFORE), F.lit(False))
+    first, second = trips.where(early), trips.where(~early)  # trips without a month are in the second
     return op.union_months(
         op.station_times(op.trip_ends(first), rounded=True),
         op.station_times(op.trip_ends(second), rounded=True),
@@ -74,8 +73,8 @@ def _union_months(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _stream_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The incremental path end to end: trips written as monthly files, a
     file stream (several files per micro-batch) appending per-file station
-    tables, and the accumulated table read back. Connections add up over
-    the files of a month, so the result is per month label and station."""
+    tables, and the accumulated table read back, per month label and
+    station."""
     base = new_shared_folder(spark, "trip-stream")
     write_trip_files(_trips(spark, sf_dir), f"{base}/files")
     stream = read_trip_stream(spark, f"{base}/files", max_files_per_trigger=_FILES_PER_TRIGGER)
@@ -88,11 +87,16 @@ def _stream_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _split_lists(spark: SparkSession, sf_dir: str, rounded: bool = False) -> DataFrame:
-    leaving, reaching = op.split_connection_lists(op.connection_lists(_ends(spark, sf_dir)))
-    return op.list_role_means(leaving, reaching, rounded=rounded)
+    return op.split_connection_lists(op.connection_lists(_ends(spark, sf_dir)), rounded=rounded)
 
 
-QUERIES: dict[str, Query] = {
+def _labels_only(query: Query) -> Query:
+    """The tables here have one file per month, so the label tells files apart
+    and the results are compared without the path."""
+    return lambda spark, sf_dir: query(spark, sf_dir).drop(FILE)
+
+
+_QUERIES: dict[str, Query] = {
     # sources and projections
     "scan_trip_files": _scan_trip_files,
     "parse_trip_json": lambda s, d: parse_trip_json(trip_records_json(_trips(s, d))),
@@ -113,6 +117,8 @@ QUERIES: dict[str, Query] = {
     "connection_lists": lambda s, d: op.connection_lists(_ends(s, d)),
     "split_connection_lists": _split_lists,
     "split_connection_lists_rounded": lambda s, d: _split_lists(s, d, rounded=True),
+    "list_role_means": lambda s, d: op.list_role_means(_split_lists(s, d)),
+    "list_role_means_rounded": lambda s, d: op.list_role_means(_split_lists(s, d), rounded=True),
     "role_means_raw": lambda s, d: op.role_means(_ends(s, d), rounded=False),
     "role_means_rounded": lambda s, d: op.role_means(_ends(s, d), rounded=True),
     "connections_time_raw": lambda s, d: op.connections_with_time(_ends(s, d), rounded=False),
@@ -144,7 +150,13 @@ QUERIES: dict[str, Query] = {
         _trips(s, d), user_type=1, with_time=False
     ),
     "total_times_annual": lambda s, d: reports.total_times_report(_trips(s, d), user_type=1),
+    # reports over stored JSON files (written, scanned, reported)
+    "json_top_connections_annual": lambda s, d: reports.top_connections(_scan_trip_files(s, d), user_type=1),
+    "json_total_connections_all": lambda s, d: reports.total_connections_report(
+        _scan_trip_files(s, d), user_type=None, with_time=True
+    ),
 }
+QUERIES: dict[str, Query] = {name: _labels_only(query) for name, query in _QUERIES.items()}
 
 
 # --- SQL oracles ----------------------------------------------------------------
@@ -175,6 +187,15 @@ def _ends_cte(source: str) -> str:
 _ANNUAL = "annual AS (SELECT * FROM trips WHERE user_type = 1)"
 
 
+# Each half of the lists counted from the trips on its own.
+_SPLIT = """split AS (
+  SELECT file_name, month, origin AS station, 'leaving' AS side, destination AS other_station, travel_time, count(*) AS n
+  FROM trips GROUP BY ALL
+  UNION ALL
+  SELECT file_name, month, destination AS station, 'reaching' AS side, origin AS other_station, travel_time, count(*) AS n
+  FROM trips GROUP BY ALL)"""
+
+
 def _rnd(expr: str) -> str:
     return f"CAST(round_even({expr}, 0) AS BIGINT)"
 
@@ -237,7 +258,7 @@ LIMIT 20"""
 
 ORACLE_SQL: dict[str, str] = {
     "scan_trip_files": _with(_TRIPS)
-    + "SELECT month, travel_time, origin, destination, user_type FROM trips",
+    + "SELECT * FROM trips",
     "parse_trip_json": _with(_TRIPS) + "SELECT * FROM trips",
     "project_trips": _with(_TRIPS)
     + "SELECT file_name, month, travel_time, origin, destination FROM trips",
@@ -264,9 +285,12 @@ FROM trips GROUP BY file_name, month, destination""",
     "connection_lists": _with(_TRIPS, _ends_cte("trips"))
     + """SELECT file_name, month, station, role, other_station, travel_time, count(*) AS n
 FROM ends GROUP BY file_name, month, station, role, other_station, travel_time""",
-    "split_connection_lists": _with(_TRIPS, _ends_cte("trips"), _role_means_cte(False))
+    "split_connection_lists": _with(_TRIPS, _SPLIT) + "SELECT * FROM split",
+    "split_connection_lists_rounded": _with(_TRIPS, _SPLIT)
+    + "SELECT * REPLACE (CAST(round_even(travel_time, 0) AS BIGINT) AS travel_time) FROM split",
+    "list_role_means": _with(_TRIPS, _ends_cte("trips"), _role_means_cte(False))
     + "SELECT * FROM rm",
-    "split_connection_lists_rounded": _with(_TRIPS, _ends_cte("trips"), _role_means_cte(True))
+    "list_role_means_rounded": _with(_TRIPS, _ends_cte("trips"), _role_means_cte(True))
     + "SELECT * FROM rm",
     "role_means_raw": _with(_TRIPS, _ends_cte("trips"), _role_means_cte(False))
     + "SELECT * FROM rm",
@@ -325,3 +349,5 @@ ORDER BY connections DESC NULLS LAST, station ASC NULLS FIRST
 LIMIT 20""",
     "total_times_annual": _total_times("annual"),
 }
+ORACLE_SQL["json_top_connections_annual"] = ORACLE_SQL["top_connections_annual"]
+ORACLE_SQL["json_total_connections_all"] = ORACLE_SQL["total_connections_all"]

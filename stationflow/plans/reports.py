@@ -28,6 +28,7 @@ from stationflow.operators.stations import (
 from stationflow.operators.totals import total_connections, total_times
 from stationflow.schema import (
     CONNECTIONS,
+    FILE,
     FILE_NAME,
     GRAIN,
     MEAN_TIME,
@@ -70,7 +71,7 @@ def top_times(
 ) -> DataFrame:
     """Per file, the k stations with the longest mean time of use
     (midpoint of mean departure and mean arrival time).
-    ``file_name, month, rank, station, time_from, time_to``."""
+    ``file, file_name, month, rank, station, time_from, time_to``."""
     return top_times_of(_stats(trips, user_type), rounded=rounded, k=k)
 
 
@@ -85,7 +86,7 @@ def top_connections_time(
     trips: DataFrame, *, user_type: int | None = None, rounded: bool = True, k: int = TOP_PER_FILE
 ) -> DataFrame:
     """Per file, the k stations with most connections, with their mean time.
-    ``file_name, month, rank, station, connections, mean_time``."""
+    ``file, file_name, month, rank, station, connections, mean_time``."""
     return top_connections_time_of(_stats(trips, user_type), rounded=rounded, k=k)
 
 
@@ -97,7 +98,7 @@ def top_connections_of(stats: DataFrame, *, k: int = TOP_PER_FILE) -> DataFrame:
 
 def top_connections(trips: DataFrame, *, user_type: int | None = 1, k: int = TOP_PER_FILE) -> DataFrame:
     """Per file, the k stations with most connections.
-    ``file_name, month, rank, station, connections``."""
+    ``file, file_name, month, rank, station, connections``."""
     return top_connections_of(_stats(trips, user_type), k=k)
 
 
@@ -180,7 +181,7 @@ def ordered(df: DataFrame) -> DataFrame:
     """A report in display order: per-file rankings by file and rank (the
     totals are already in rank order)."""
     if RANK in df.columns:
-        return df.orderBy(FILE_NAME, RANK)
+        return df.orderBy(*[c for c in (FILE_NAME, FILE) if c in df.columns], RANK)
     return df
 
 

@@ -2,29 +2,46 @@
 
 The per-file station table is the only thing the reports share. It is
 small (files x stations rows, independent of the number of trips), so it is
-written once to the shared checkpoint folder and every report reads it
-from there. Writing it cuts the lineage back to the trip scan: losing an
-executor afterwards never re-reads the trips."""
+written once to the shared folder as Parquet and every report reads its own
+columns from there. Writing it cuts the lineage back to the trip scan: losing
+an executor afterwards never re-reads the trips."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from stationflow.operators.ends import filter_user_type, trip_ends
 from stationflow.operators.stations import station_stats
 from stationflow.plans.reports import VARIANTS, variant_reports
 from stationflow.schema import TOP_PER_FILE, TOP_TOTAL
-from stationflow.sources.files import shared_dir
+from stationflow.sources.files import delete_folder, new_shared_folder
 
 
-def materialized_stats(trips: DataFrame, *, user_type: int | None) -> DataFrame:
-    """:func:`station_stats` of the trips, checkpointed to the shared folder.
+class Reports(dict):
+    """Reports by name, and the stored table behind them. ``close()`` (or
+    leaving a ``with`` block) deletes that table once the reports were used."""
 
-    The trips are scanned once: the checkpoint job builds the final
-    aggregate from the shuffle output of the scan stage and writes it."""
-    shared_dir(trips.sparkSession)  # ensures spark.checkpoint.dir is usable
+    def __init__(self, reports: dict[str, DataFrame], spark: SparkSession, stored: str | None) -> None:
+        super().__init__(reports)
+        self.spark, self.stored = spark, stored
+
+    def close(self) -> None:
+        if self.stored:
+            delete_folder(self.spark, self.stored)
+            self.stored = None
+
+    def __enter__(self) -> Reports:
+        return self
+
+    def __exit__(self, *failure) -> None:
+        self.close()
+
+
+def materialized_stats(trips: DataFrame, folder: str, *, user_type: int | None) -> DataFrame:
+    """:func:`station_stats` of the trips, written to ``folder`` in one scan."""
     stats = station_stats(trip_ends(filter_user_type(trips, user_type)))
-    return stats.checkpoint(eager=True)
+    stats.write.parquet(folder)
+    return trips.sparkSession.read.schema(stats.schema).parquet(folder)
 
 
 def run_variant(
@@ -34,12 +51,14 @@ def run_variant(
     k_file: int = TOP_PER_FILE,
     k_total: int = TOP_TOTAL,
     materialize: bool = True,
-) -> dict[str, DataFrame]:
+) -> Reports:
     """Reports of one variant (``top_times``, ``top_connections`` and, for
     v2/v3, ``total_connections`` and ``total_times``)."""
+    spark = trips.sparkSession
     user_type = VARIANTS[variant]["user_type"]
-    if materialize:
-        stats = materialized_stats(trips, user_type=user_type)
+    folder = new_shared_folder(spark, "station-stats") if materialize else None
+    if folder:
+        stats = materialized_stats(trips, folder, user_type=user_type)
     else:
         stats = station_stats(trip_ends(filter_user_type(trips, user_type)))
-    return variant_reports(stats, variant, k_file=k_file, k_total=k_total)
+    return Reports(variant_reports(stats, variant, k_file=k_file, k_total=k_total), spark, folder)

@@ -17,6 +17,7 @@ FIELD_USER_TYPE = "user_type"
 ANNUAL_USER_TYPE = 1
 MONTH_LABEL_LENGTH = 6
 TRIP_FILE_GLOB = "*.json"
+TRIP_FILE_GLOBS = {"json": TRIP_FILE_GLOB, "parquet": "*.parquet"}
 TOP_PER_FILE = 10
 TOP_TOTAL = 20
 
@@ -36,6 +37,7 @@ ROLE_ORIGIN = "origin"
 ROLE_DESTINATION = "destination"
 
 # Column names used throughout the package.
+FILE = "file"
 FILE_NAME = "file_name"
 MONTH = "month"
 TRAVEL_TIME = "travel_time"
@@ -51,33 +53,16 @@ TIME_TO = "time_to"
 MEAN_TIME = "mean_time"
 RANK = "rank"
 
-# One input file is one observation (the grain of every per-file table);
-# its month label is the first six characters of the file name. Per-file
-# tables derive ``month`` from ``file_name``; a trips ``month`` column is
-# for filtering trips only.
-GRAIN = (FILE_NAME, MONTH)
-
-# Every field of one raw trip line, for writers and for users who want the
-# whole record. Readers normally use TRIP_SCHEMA, which keeps the four
-# fields the analysis reads so the JSON parser skips the rest.
-TRIP_RECORD_SCHEMA = T.StructType(
-    [
-        T.StructField("_id", T.StructType([T.StructField("$oid", T.StringType())])),
-        T.StructField("user_day_code", T.StringType()),
-        T.StructField("idplug_base", T.LongType()),
-        T.StructField(FIELD_USER_TYPE, T.LongType()),
-        T.StructField("idunplug_base", T.LongType()),
-        T.StructField(FIELD_TRAVEL_TIME, T.LongType()),
-        T.StructField(FIELD_ORIGIN, T.LongType()),
-        T.StructField("ageRange", T.LongType()),
-        T.StructField(FIELD_DESTINATION, T.LongType()),
-        T.StructField(
-            "unplug_hourTime", T.StructType([T.StructField("$date", T.StringType())])
-        ),
-        T.StructField("zip_code", T.StringType()),
-    ]
-)
+# One input file is one observation (the grain of every per-file table). Its
+# identity is ``file``: the whole path, or the path up to ``file=<name>`` when
+# the file is stored in parts. ``file_name`` (the last step of that path) and
+# ``month`` (its first six characters) are labels derived from it; the trips'
+# own label columns are for filtering trips only.
+GRAIN = (FILE, FILE_NAME, MONTH)
+LABELS = (FILE_NAME, MONTH)
 
+# The four fields of a trip record that the analysis reads; the JSON parser
+# skips the rest.
 TRIP_SCHEMA = T.StructType(
     [
         T.StructField(FIELD_TRAVEL_TIME, T.LongType()),
@@ -87,7 +72,8 @@ TRIP_SCHEMA = T.StructType(
     ]
 )
 
-# Schema of the projected trips every operator consumes.
+# Schema of projected trips that tell their files apart by name; trips read
+# from files also carry ``file``.
 TRIPS_SCHEMA = T.StructType(
     [
         T.StructField(FILE_NAME, T.StringType()),

@@ -5,11 +5,24 @@ depends on these settings."""
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 
+def ensure_shared_dir(spark: SparkSession) -> SparkSession:
+    """For programs on a local master: names a temporary folder as the shared
+    one where the session names none. A cluster's setting is never replaced,
+    and a cluster without one is left to fail."""
+    if spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir():
+        return spark
+    if spark.sparkContext.master.startswith("local") and not spark.sparkContext.master.startswith("local-cluster"):
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stationflow-"))
+    return spark
+
+
 def local_session(cores: int | str = "*", *, shuffle_partitions: int = 8, app: str = "stationflow") -> SparkSession:
-    return (
+    return ensure_shared_dir(
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")

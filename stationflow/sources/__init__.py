@@ -1,8 +1,9 @@
-from stationflow.sources.files import new_shared_folder, shared_dir, write_trip_files
+from stationflow.sources.files import delete_folder, new_shared_folder, shared_dir, write_trip_files
 from stationflow.sources.trips import (
     parse_trip_json,
     project_trips,
     read_trip_files,
+    trip_file_glob,
     trip_records,
     trip_records_from_lineitem,
     trip_records_json,
@@ -10,11 +11,13 @@ from stationflow.sources.trips import (
 )
 
 __all__ = [
+    "delete_folder",
     "new_shared_folder",
     "parse_trip_json",
     "project_trips",
     "read_trip_files",
     "shared_dir",
+    "trip_file_glob",
     "trip_records",
     "trip_records_from_lineitem",
     "trip_records_json",

@@ -1,10 +1,4 @@
-"""Writing trip files, and the shared folder they are written to.
-
-Trip files are JSON Lines named ``<yyyyMM>_usage-<n>.json``. Spark names
-its output files itself, so the writer lets each task write its rows of
-each month (``partitionBy``) and then moves the files to their final names.
-The moves are file-system metadata calls on the driver; no row passes
-through it, and no month is forced into a single task."""
+"""Writing trip files, and the shared folder they are written to."""
 
 from __future__ import annotations
 
@@ -12,36 +6,30 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stationflow.schema import MONTH
+from stationflow.functions.columns import FILE_DIR
+from stationflow.schema import FILE_NAME
 from stationflow.sources.trips import trip_records
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder for intermediate data: the session's
-    checkpoint directory (``spark.checkpoint.dir``).
-
-    The setting is read from the session. On a local master with no such
-    setting a temporary folder is set up as the checkpoint directory; on a
-    cluster the setting is required, because a machine-local folder is not
-    visible to the other executors."""
+    """The cluster's shared folder for intermediate data, as the session names
+    it in ``spark.checkpoint.dir`` (or as its checkpoint directory was set).
+    The caller gives the folder; there is no fallback, because a folder of one
+    machine is not visible to the other executors."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
     except Exception:  # a remote (Connect) session: the server owns the folder
-        if not configured:
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        return configured
-    current = sc.getCheckpointDir()
+        sc = None
+    current = sc.getCheckpointDir() if sc is not None else None
+    if not (current or configured):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     if current:
         return current
-    if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        import tempfile
-
-        configured = tempfile.mkdtemp(prefix="stationflow-ckpt-")
-    sc.setCheckpointDir(configured)
-    return sc.getCheckpointDir()
+    if sc is not None:
+        sc.setCheckpointDir(configured)
+        return sc.getCheckpointDir()
+    return configured
 
 
 def new_shared_folder(spark: SparkSession, prefix: str) -> str:
@@ -49,39 +37,23 @@ def new_shared_folder(spark: SparkSession, prefix: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
 
 
-def write_trip_files(trips: DataFrame, folder: str, *, suffix: str = "_usage") -> str:
-    """Write trips as JSON Lines trip files into ``folder`` and return it.
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder of intermediate data that the caller owns."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
 
-    Every file holds trips of one month and its name starts with that
-    month. Rows are rebalanced on the month first: with adaptive execution
-    on (the default), Spark splits a month larger than the advisory
-    partition size (``spark.sql.adaptive.advisoryPartitionSizeInBytes``)
-    over several tasks and packs small months into one, so file sizes stay
-    near that size whether a month holds a sliver or a third of all trips.
-    Each task then writes one file per month it holds."""
-    spark = trips.sparkSession
-    stage = f"{folder.rstrip('/')}/_stage"
-    records = trip_records(trips)
-    records.hint("rebalance", MONTH).write.mode("errorifexists").partitionBy(MONTH).json(stage)
+def write_trip_files(trips: DataFrame, folder: str, *, fmt: str = "json") -> str:
+    """Write trips as trip files into ``folder`` and return it.
 
-    jvm = spark._jvm
-    Path = jvm.org.apache.hadoop.fs.Path
-    stage_path = Path(stage)
-    fs = stage_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    for month_dir in fs.listStatus(stage_path):
-        if not month_dir.isDirectory():
-            continue
-        month = month_dir.getPath().getName().split("=", 1)[1]
-        parts = sorted(
-            s.getPath().getName()
-            for s in fs.listStatus(month_dir.getPath())
-            if s.getPath().getName().startswith("part-")
-        )
-        for i, name in enumerate(parts):
-            source = Path(month_dir.getPath(), name)
-            target = Path(folder, f"{month}{suffix}-{i:05d}.json")
-            # Hadoop reports a failed rename by returning false: never leave
-            # trips behind silently.
-            if not fs.rename(source, target):
-                raise OSError(f"could not move {source.toString()} to {target.toString()}")
+    A file is a directory ``file=<file_name>`` of parts, which the readers take
+    as one observation however many parts it has. Rows are rebalanced on the
+    file first: with adaptive execution on (the default), Spark splits a file
+    larger than the advisory partition size
+    (``spark.sql.adaptive.advisoryPartitionSizeInBytes``) over several tasks and
+    packs small ones into one, so part sizes stay near that size. Each task
+    writes its parts in place; nothing is renamed or moved by the driver."""
+    name = FILE_DIR.rstrip("=")
+    records = trip_records(trips).withColumnRenamed(FILE_NAME, name)
+    records.hint("rebalance", name).write.mode("errorifexists").partitionBy(name).format(fmt).save(folder)
     return folder

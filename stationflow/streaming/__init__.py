@@ -4,6 +4,7 @@ from stationflow.streaming.incremental import (
     start_incremental_reports,
     start_incremental_stats,
     stored_station_stats,
+    write_reports,
 )
 
 __all__ = [
@@ -12,4 +13,5 @@ __all__ = [
     "start_incremental_reports",
     "start_incremental_stats",
     "stored_station_stats",
+    "write_reports",
 ]

@@ -5,23 +5,32 @@ source picks up new files; every file is read whole within one micro-batch,
 so the per-file station table a batch produces is already final and needs
 no streaming state. Each batch appends its table, keyed by batch id, to a
 per-file table in the shared folder (a replayed batch rewrites the same
-key, so the sink is idempotent), and the reports run on that table."""
+key, so the sink is idempotent), and the reports run on that table. A table
+belongs to one stream checkpoint: starting a new checkpoint on a filled table,
+which would store its files twice, is refused.
+
+A file stored in parts (``file=<name>``) may reach the stream in several
+batches; its measures are stored as sums and counts, which add up."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from stationflow.operators.ends import filter_user_type, trip_ends
-from stationflow.operators.stations import station_stats
+from stationflow.operators.stations import merge_station_sums, station_stats_of_sums, station_sums
 from stationflow.plans.reports import VARIANTS, ordered, original_layout, variant_reports
-from stationflow.schema import TOP_PER_FILE, TOP_TOTAL, TRIP_FILE_GLOB, TRIP_SCHEMA
-from stationflow.sources.trips import label_trip_records
+from stationflow.schema import TOP_PER_FILE, TOP_TOTAL, TRIP_SCHEMA
+from stationflow.sources.trips import _BY_FORMAT, label_trip_records, trip_file_glob
 
 BATCH = "batch"
+# Files are read however old they are: monthly archives copied with their
+# times are the normal case. (The file source forgets files older than this.)
+_MAX_FILE_AGE = "36500d"
 
 
 def read_trip_stream(
@@ -29,7 +38,7 @@ def read_trip_stream(
     path: str,
     *,
     fmt: str = "json",
-    glob: str | None = TRIP_FILE_GLOB,
+    glob: str | None = _BY_FORMAT,
     schema: T.StructType = TRIP_SCHEMA,
     mode: str = "FAILFAST",
     max_files_per_trigger: int | None = None,
@@ -38,18 +47,19 @@ def read_trip_stream(
     options: dict[str, str] | None = None,
 ) -> DataFrame:
     """Streaming trips from the trip files that appear in ``path``, with the
-    same labelling, projection and strictness as the batch scan."""
-    reader = spark.readStream.schema(schema).options(**(options or {})).option("mode", mode)
+    same labelling, projection and strictness as the batch scan. No file is
+    left out for its age."""
+    glob = trip_file_glob(fmt, glob)
+    reader = spark.readStream.schema(schema).option("maxFileAge", _MAX_FILE_AGE)
+    reader = reader.options(**(options or {})).option("mode", mode)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     if fmt == "json":
         raw = reader.json(path)
-    elif fmt == "parquet":
-        raw = reader.parquet(path)
     else:
-        raise ValueError(f"unsupported trip file format: {fmt}")
+        raw = reader.parquet(path)
     return label_trip_records(raw, schema=schema, with_user=with_user, strict=strict)
 
 
@@ -58,13 +68,23 @@ def per_file_stats_writer(table_path: str, *, user_type: int | None) -> Callable
     written under ``batch=<id>`` (overwritten if the batch is replayed)."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        stats = station_stats(trip_ends(filter_user_type(batch, user_type)))
-        stats.write.mode("overwrite").parquet(f"{table_path}/{BATCH}={batch_id}")
+        sums = station_sums(trip_ends(filter_user_type(batch, user_type)))
+        sums.write.mode("overwrite").parquet(f"{table_path}/{BATCH}={batch_id}")
 
     return write
 
 
-def _start(trips: DataFrame, write, checkpoint_path: str, available_now: bool, processing_time: str | None):
+def _holds(spark: SparkSession, path: str, fmt: str) -> bool:
+    try:
+        return bool(spark.read.format(fmt).load(path).take(1))
+    except AnalysisException:  # the path does not exist yet, or holds no file
+        return False
+
+
+def _start(trips, write, table_path, checkpoint_path: str, available_now: bool, processing_time: str | None):
+    spark = trips.sparkSession
+    if not _holds(spark, f"{checkpoint_path}/metadata", "text") and _holds(spark, table_path, "parquet"):
+        raise ValueError(f"{table_path} was filled by another stream; use its checkpoint or an empty table")
     writer = trips.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint_path)
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -88,7 +108,7 @@ def start_incremental_stats(
     ``spark.checkpoint.dir``). ``available_now`` processes what is there and
     stops; otherwise the query runs on ``processing_time`` triggers."""
     write = per_file_stats_writer(table_path, user_type=user_type)
-    return _start(trips, write, checkpoint_path, available_now, processing_time)
+    return _start(trips, write, table_path, checkpoint_path, available_now, processing_time)
 
 
 def start_incremental_reports(
@@ -114,15 +134,35 @@ def start_incremental_reports(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         append(batch, batch_id)
-        stats = stored_station_stats(spark, table_path)
-        for name, report in variant_reports(stats, variant, k_file=k_file, k_total=k_total).items():
-            if original_headers:
-                report = original_layout(ordered(report))
-            report.write.mode("overwrite").parquet(f"{reports_path.rstrip('/')}/{name}")
+        write_reports(
+            spark, table_path, reports_path, variant=variant, k_file=k_file, k_total=k_total, original_headers=original_headers
+        )
+
+    return _start(trips, write, table_path, checkpoint_path, available_now, processing_time)
+
 
-    return _start(trips, write, checkpoint_path, available_now, processing_time)
+def write_reports(
+    spark: SparkSession,
+    table_path: str,
+    reports_path: str,
+    *,
+    variant: str = "v3",
+    k_file: int = TOP_PER_FILE,
+    k_total: int = TOP_TOTAL,
+    original_headers: bool = False,
+) -> None:
+    """The variant's reports from the stored table, replacing earlier ones.
+    Nothing is written while the table is empty."""
+    if not _holds(spark, table_path, "parquet"):
+        return
+    stats = stored_station_stats(spark, table_path)
+    for name, report in variant_reports(stats, variant, k_file=k_file, k_total=k_total).items():
+        if original_headers:
+            report = original_layout(ordered(report))
+        report.write.mode("overwrite").parquet(f"{reports_path.rstrip('/')}/{name}")
 
 
 def stored_station_stats(spark: SparkSession, table_path: str) -> DataFrame:
-    """The accumulated per-file station table written by the stream."""
-    return spark.read.parquet(table_path).drop(BATCH)
+    """The accumulated per-file station table written by the stream, the sums
+    of files that came in several batches added up."""
+    return station_stats_of_sums(merge_station_sums(spark.read.parquet(table_path).drop(BATCH)))

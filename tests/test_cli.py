@@ -71,3 +71,38 @@ def test_cli_once_original_layout(spark, fixture_dir, tmp_path):
     spark.streams.resetTerminated()
     assert spark.read.parquet(f"{out}/top_connections").columns == ["Estación", "Numero_Conexiones", "Mes"]
     assert spark.read.parquet(f"{out}/total_connections").columns == ["Estación", "Numero_conexiones"]
+
+
+def test_cli_variants_share_an_output_without_mixing(spark, fixture_dir, tmp_path):
+    out = str(tmp_path / "out")
+    for variant in ("v2", "v3"):
+        assert main([fixture_dir, "--variant", variant, "--output", out, "--once"]) == 0
+        spark.streams.resetTerminated()
+        expected = run_variant(read_trip_files(spark, fixture_dir), variant, materialize=False)
+        for name, df in expected.items():
+            assert _set(spark.read.parquet(f"{out}/{name}").select(*df.columns)) == _set(df), (variant, name)
+    assert main([fixture_dir, "--variant", "v2", "--output", out, "--once"]) == 0  # no new file: v2 again
+    spark.streams.resetTerminated()
+    expected = run_variant(read_trip_files(spark, fixture_dir), "v2", materialize=False)
+    for name, df in expected.items():
+        assert _set(spark.read.parquet(f"{out}/{name}").select(*df.columns)) == _set(df), name
+
+
+def test_cli_parquet_files(spark, fixture_dir, tmp_path):
+    folder = str(tmp_path / "pq")
+    read_trip_files(spark, fixture_dir).selectExpr(
+        "file_name as file", "travel_time", "origin as idunplug_station", "destination as idplug_station", "user_type"
+    ).write.partitionBy("file").parquet(folder)
+    expected = run_variant(read_trip_files(spark, fixture_dir), "v3", materialize=False)
+    for more in ([], ["--once"]):
+        out = str(tmp_path / f"out{len(more)}")
+        assert main([folder, "--format", "parquet", "--output", out, *more]) == 0
+        spark.streams.resetTerminated()
+        for name, df in expected.items():
+            cols = [c for c in df.columns if c != "file"]
+            assert _set(spark.read.parquet(f"{out}/{name}").select(*cols)) == _set(df.select(*cols)), name
+
+
+def test_cli_print_rows(spark, fixture_dir, capsys):
+    assert main([fixture_dir, "--variant", "v2", "--print-rows", "2"]) == 0
+    assert "only showing top 2 rows" in capsys.readouterr().out

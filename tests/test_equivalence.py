@@ -31,9 +31,9 @@ def test_join_form_equals_single_pass(spark):
 
 def test_list_path_equals_conditional_aggregates(spark):
     ends = op.trip_ends(_trips(spark))
-    leaving, reaching = op.split_connection_lists(op.connection_lists(ends))
+    split = op.split_connection_lists(op.connection_lists(ends))
     for rounded in (False, True):
-        assert _set(op.list_role_means(leaving, reaching, rounded=rounded)) == _set(
+        assert _set(op.list_role_means(split, rounded=rounded)) == _set(
             op.role_means(ends, rounded=rounded)
         )
 
@@ -42,10 +42,24 @@ def test_connection_lists_are_lossless(spark):
     ends = op.trip_ends(_trips(spark))
     lists = op.connection_lists(ends)
     assert lists.agg(F.sum("n")).first()[0] == ends.count()
-    lengths = lists.groupBy("file_name", "month", "station").agg(F.sum("n").alias("connections"))
+    lengths = lists.groupBy("file", "file_name", "month", "station").agg(F.sum("n").alias("connections"))
     assert _set(lengths) == _set(op.connections(ends))
-    leaving, reaching = op.split_connection_lists(lists)
-    assert leaving.agg(F.sum("n")).first()[0] == reaching.agg(F.sum("n")).first()[0] == _trips(spark).count()
+    split = op.split_connection_lists(lists)
+    halves = {r["side"]: r["n"] for r in split.groupBy("side").agg(F.sum("n").alias("n")).collect()}
+    assert halves == {"leaving": _trips(spark).count(), "reaching": _trips(spark).count()}
+
+
+def test_union_months_keeps_trips_without_month(spark):
+    from stationflow.plans.catalog import _union_months
+
+    trips = spark.createDataFrame(
+        [("a", None, 5, 1, 2, 1), ("a", None, 7, 2, 1, 1)],
+        "file_name string, month string, travel_time long, origin long, destination long, user_type long",
+    )
+    early = F.coalesce(F.col("month") < "199807", F.lit(False))
+    stacked = op.union_months(*[op.station_times(op.trip_ends(t), rounded=True) for t in (trips.where(early), trips.where(~early))])
+    assert _set(stacked) == _set(op.station_times(op.trip_ends(trips), rounded=True)) and stacked.count() == 2
+    assert callable(_union_months)
 
 
 def test_union_months_equals_grouped_plan(spark):

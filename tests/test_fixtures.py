@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import FIXTURE_FILES, rows, write_files
+from conftest import FIXTURE_FILES, rows, trip_line, write_files
 from stationflow import operators as op
 from stationflow import plans
 from stationflow.sources import parse_trip_json, read_trip_files
@@ -20,7 +20,7 @@ def _ends(trips, user_type=None):
 
 
 def test_scan_labels_and_projection(fixture_trips):
-    assert fixture_trips.columns == ["file_name", "month", "travel_time", "origin", "destination", "user_type"]
+    assert fixture_trips.columns == ["file", "file_name", "month", "travel_time", "origin", "destination", "user_type"]
     got = rows(fixture_trips.groupBy("file_name", "month").count(), "file_name", "month", "count")
     assert got == sorted([(E, "201802", 2), (U, "201801", 7), (X, "201802", 3)])
 
@@ -222,11 +222,12 @@ def test_parquet_trip_files_match_json(spark, fixture_dir, tmp_path):
             "zip_code": pa.array(["00000"] * len(trips)),
         })
         pq.write_table(table, folder / name.replace(".json", ".parquet"))
-    from_parquet = read_trip_files(spark, str(folder), fmt="parquet", glob="*.parquet").withColumn(
-        "file_name", F.regexp_replace("file_name", "[.]parquet$", ".json")
+    from_parquet = read_trip_files(spark, str(folder), fmt="parquet", glob="*.parquet").withColumns(
+        {c: F.regexp_replace(c, "[.]parquet$", ".json") for c in ("file", "file_name")}
     )
     from_json = read_trip_files(spark, fixture_dir)
-    assert rows(from_parquet, *from_json.columns) == rows(from_json, *from_json.columns)
+    cols = [c for c in from_json.columns if c != "file"]
+    assert rows(from_parquet, *cols) == rows(from_json, *cols)
     assert rows(plans.top_times(from_parquet, user_type=1), "file_name", "rank", "station") == rows(
         plans.top_times(from_json, user_type=1), "file_name", "rank", "station"
     )
@@ -243,7 +244,7 @@ def test_reader_options_pass_through(spark, tmp_path):
 
 
 def test_empty_folder_gives_empty_reports(spark, tmp_path):
-    folder = write_files(tmp_path / "empty", {"notes.txt": ["nothing here"]})
+    folder = write_files(tmp_path / "empty", {})
     trips = read_trip_files(spark, folder)
     assert trips.count() == 0
     for variant in ("v1", "v2", "v3"):
@@ -256,7 +257,7 @@ def test_several_folders_in_one_scan(spark, tmp_path):
     b = write_files(tmp_path / "b", {X: FIXTURE_FILES[X], E: FIXTURE_FILES[E]})
     both = read_trip_files(spark, [a, b])
     one = read_trip_files(spark, write_files(tmp_path / "all", FIXTURE_FILES))
-    assert rows(both, *both.columns) == rows(one, *one.columns)
+    assert rows(both, *both.columns[1:]) == rows(one, *one.columns[1:])
 
 
 def test_json_text_column_strict_and_failfast(spark):
@@ -270,3 +271,37 @@ def test_json_text_column_strict_and_failfast(spark):
     bad = spark.createDataFrame([("a.json", "a.json", "{not json")], "file_name string, month string, value string")
     with pytest.raises(Exception):
         parse_trip_json(bad).collect()
+
+
+def test_files_of_one_name_in_two_folders_are_two_observations(spark, tmp_path):
+    a = write_files(tmp_path / "a", {U: FIXTURE_FILES[U]})
+    b = write_files(tmp_path / "b", {U: FIXTURE_FILES[U]})
+    one = op.connections(_ends(read_trip_files(spark, a)))
+    two = op.connections(_ends(read_trip_files(spark, [a, b])))
+    assert two.count() == 2 * one.count() and two.select("file").distinct().count() == 2
+    assert rows(two, "file_name", "station", "connections") == sorted(2 * rows(one, "file_name", "station", "connections"))
+    top = plans.top_connections(read_trip_files(spark, [a, b]), user_type=None, k=1)
+    assert [r["connections"] for r in top.collect()] == [7, 7]
+
+
+def test_folder_without_matching_file_is_an_error(spark, tmp_path):
+    folder = write_files(tmp_path / "text", {"notes.txt": ["nothing here"]})
+    with pytest.raises(ValueError, match="matches"):
+        read_trip_files(spark, folder)
+
+
+def test_strict_checks_fields_that_the_report_does_not_use(spark, tmp_path):
+    lacks = write_files(tmp_path / "lacks", {U: [trip_line(..., 1, 2, 1)]})
+    wrong = write_files(tmp_path / "wrong", {U: [trip_line("abc", 1, 2, 1)]})
+    assert plans.top_connections(read_trip_files(spark, lacks)).count() == 2
+    for folder in (lacks, wrong):
+        with pytest.raises(Exception, match="lacks field|MALFORMED|Malformed|CANNOT_PARSE"):
+            plans.top_connections(read_trip_files(spark, folder, strict=True)).collect()
+
+
+def test_loose_scan_reads_only_the_fields_of_the_report(spark, fixture_dir):
+    def plan(strict):
+        df = plans.top_connections(read_trip_files(spark, fixture_dir, strict=strict))
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    assert "travel_time" not in plan(False) and "travel_time" in plan(True)

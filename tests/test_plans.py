@@ -58,7 +58,15 @@ def test_variant_run_reports_do_not_rescan_trips(spark):
     trips = trips_from_lineitem(spark, SF001)
     for name, df in plans.run_variant(trips, "v3").items():
         p = _plan(df)
-        assert "FileScan" not in p, name
+        assert "l_suppkey" not in p and "n_from" in p, name
+
+
+def test_split_lists_scan_once(spark):
+    import __spark_entry__ as entry
+
+    for key in ("list_role_means", "list_role_means_rounded"):
+        p = _plan(entry.queries()[key](spark, SF001))
+        assert p.count("FileScan") == 1 and p.count("Exchange hashpartitioning") == 2, key
 
 
 def test_reports_use_fixed_width_hash_aggregation(spark):

@@ -80,8 +80,8 @@ nullable_trip = st.tuples(
 @given(st.lists(nullable_trip, min_size=1, max_size=40), st.booleans())
 def test_list_path_equals_single_pass_with_nulls(spark, rows, rounded):
     ends = op.trip_ends(_df(spark, rows))
-    leaving, reaching = op.split_connection_lists(op.connection_lists(ends))
-    assert _set(op.list_role_means(leaving, reaching, rounded=rounded)) == _set(
+    split = op.split_connection_lists(op.connection_lists(ends))
+    assert _set(op.list_role_means(split, rounded=rounded)) == _set(
         op.role_means(ends, rounded=rounded)
     )
 
@@ -99,8 +99,8 @@ def test_list_path_rounds_fractional_times_like_single_pass(spark, rows):
     # halves exercise the ties of half-even rounding
     trips = spark.createDataFrame([("f.json", "f.json", h / 2, o, d, 1) for o, d, h in rows], schema)
     ends = op.trip_ends(trips)
-    leaving, reaching = op.split_connection_lists(op.connection_lists(ends))
-    assert _set(op.list_role_means(leaving, reaching, rounded=True)) == _set(op.role_means(ends, rounded=True))
+    split = op.split_connection_lists(op.connection_lists(ends))
+    assert _set(op.list_role_means(split, rounded=True)) == _set(op.role_means(ends, rounded=True))
 
 
 @settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

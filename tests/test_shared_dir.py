@@ -1,10 +1,11 @@
-"""The shared folder comes from the session; a machine-local temporary
-folder is used only on a local master, never on a cluster."""
+"""The shared folder comes from the session; programs make a temporary one
+only on a local master, never on a cluster."""
 
 from __future__ import annotations
 
 import pytest
 
+from stationflow.session import ensure_shared_dir
 from stationflow.sources.files import shared_dir
 
 
@@ -47,9 +48,16 @@ def test_cluster_setting_is_used():
     assert shared_dir(_Session("yarn", {"spark.checkpoint.dir": "hdfs:///ckpt"})) == "hdfs:///ckpt"
 
 
-def test_local_master_gets_a_temporary_folder():
-    path = shared_dir(_Session("local[4]"))
-    assert "stationflow-ckpt-" in path
+def test_no_fallback_on_a_local_master_either():
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_dir(_Session("local[4]"))
+
+
+def test_programs_on_a_local_master_name_a_folder():
+    assert "stationflow-" in shared_dir(ensure_shared_dir(_Session("local[4]")))
+    for master in ("spark://cluster:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            shared_dir(ensure_shared_dir(_Session(master)))
 
 
 def test_remote_session_uses_the_setting():

@@ -96,3 +96,50 @@ def test_incremental_reports_equal_batch_reports(spark, tmp_path):
     expected = plans.run_variant(read_trip_files(spark, files), "v2", materialize=False)
     for name, df in expected.items():
         assert _set(spark.read.parquet(f"{reports_path}/{name}").select(*df.columns)) == _set(df), name
+
+
+def test_old_files_are_not_left_out(spark, tmp_path):
+    """Archives copied with their times: a file a month older than the newest
+    one seen still enters the table and the reports."""
+    import os
+    import time
+
+    files = write_files(tmp_path / "in", {"201802_usage.json": [(5, 2, 1, 1)]})
+    table, ckpt = str(tmp_path / "stats"), str(tmp_path / "ckpt")
+    _run(spark, files, table, ckpt)
+    write_files(tmp_path / "in", {"201801_usage.json": [(9, 1, 2, 1)]})
+    old = time.time() - 30 * 86400
+    os.utime(tmp_path / "in" / "201801_usage.json", (old, old))
+    _run(spark, files, table, ckpt)
+    assert {r["month"] for r in stored_station_stats(spark, table).collect()} == {"201801", "201802"}
+
+
+def test_new_checkpoint_on_a_filled_table_is_refused(spark, tmp_path):
+    import pytest
+
+    files = write_files(tmp_path / "in", FIXTURE_FILES)
+    table = str(tmp_path / "stats")
+    _run(spark, files, table, str(tmp_path / "ckpt"))
+    with pytest.raises(ValueError, match="another stream"):
+        _run(spark, files, table, str(tmp_path / "fresh"))
+    batch = op.station_stats(op.trip_ends(read_trip_files(spark, files)))
+    assert _set(stored_station_stats(spark, table).select(*batch.columns)) == _set(batch)
+
+
+def test_parts_of_a_file_in_several_batches_add_up(spark, tmp_path):
+    from conftest import SF001
+
+    from stationflow.sources import trips_from_lineitem, write_trip_files
+
+    folder = str(tmp_path / "parts")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "8KB")
+    try:
+        write_trip_files(trips_from_lineitem(spark, SF001).where("month < '199505'").repartition(4), folder)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    stream = read_trip_stream(spark, folder, max_files_per_trigger=7)
+    q = start_incremental_stats(stream, str(tmp_path / "t"), str(tmp_path / "c"), available_now=True)
+    assert q.awaitTermination(120)
+    spark.streams.resetTerminated()
+    batch = op.station_stats(op.trip_ends(read_trip_files(spark, folder)))
+    assert _set(stored_station_stats(spark, str(tmp_path / "t")).select(*batch.columns)) == _set(batch)
