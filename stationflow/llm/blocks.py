@@ -17,6 +17,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,15 +30,27 @@ REPLY = "block int, bucket int, payload binary"
 
 
 class Blocks:
-    """Stored texts: ``block, k, doc_id, t, z`` (t: xxhash64 of the text, z: its
-    bytes compressed; a null text is empty). ``k`` numbers rows for good, with
-    the block's number from bit 33 on; blocks follow the order of doc_id, rows
-    of one doc_id are in one block."""
+    """Stored texts, one row ``block, payload`` for each block (payload: its
+    rows, compressed together). Blocks follow the order of doc_id; rows of one
+    doc_id are in one block."""
 
     def __init__(self, table: DataFrame, count: int, text_bytes: int, id_type: str) -> None:
         self.table, self.count, self.text_bytes, self.id_type = table, count, text_bytes, id_type
 
 
+class Rows:
+    """A block's rows in order of doc_id (null first): ids, xxhash64 of the
+    texts (``t``), texts as bytes (a null text is empty), and row numbers
+    ``k``, which hold the block's number from bit 33 on."""
+
+    def __init__(self, block: int, payload: bytes) -> None:
+        import zstandard
+
+        table = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(payload)).read_all()
+        self.ids, self.t, self.texts = (table[c].to_pylist() for c in ("doc_id", "t", "text"))
+        self.k = [(block << 33) + i for i in range(table.num_rows)]
+
+
 def text_blocks(documents: DataFrame, *, block_bytes: int = BLOCK_BYTES) -> Blocks:
     total = documents.agg(F.sum(F.octet_length("text").cast("long") + 1)).first()[0] or 0
     count = max(1, -(-total // block_bytes))
@@ -46,50 +59,58 @@ def text_blocks(documents: DataFrame, *, block_bytes: int = BLOCK_BYTES) -> Bloc
     def compressed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        packer = zstandard.ZstdCompressor(level=1)
+        packer = zstandard.ZstdCompressor(level=3)
         for batch in batches:
             z = pa.array([packer.compress(t.as_py() or b"") for t in batch.column(2)], pa.binary())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), z], ["doc_id", "t", "z"])
 
+    def laid(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        tables = [pa.Table.from_batches([b]) for b in batches if b.num_rows]
+        if not tables:
+            return
+        table = pa.concat_tables(tables).combine_chunks()
+        # Rows of equal id and text are alike, so this order is the same in every attempt.
+        keys = pa.table({"some": table["doc_id"].is_valid().cast(pa.int8()), "doc_id": table["doc_id"], "t": table["t"]})
+        table = table.take(pa.compute.sort_indices(keys, sort_keys=[(c, "ascending") for c in keys.column_names]))
+        unpack = zstandard.ZstdDecompressor().decompress
+        texts = pa.array([unpack(z.as_py()) for z in table["z"]], pa.large_binary())
+        rows = pa.table({"doc_id": table["doc_id"], "t": table["t"], "text": texts}).combine_chunks()
+        sink = pa.BufferOutputStream()
+        with pa.ipc.new_stream(sink, rows.schema) as out:
+            out.write_table(rows)
+        payload = zstandard.ZstdCompressor(level=5).compress(sink.getvalue().to_pybytes())
+        yield pa.RecordBatch.from_arrays([table["block"].chunk(0)[:1] if table["block"].num_chunks else table["block"], pa.array([payload], pa.binary())], ["block", "payload"])
+
     rows = documents.select("doc_id", F.xxhash64("text").alias("t"), F.col("text").cast("binary").alias("text")).mapInArrow(
         compressed, f"doc_id {id_type}, t long, z binary"
     )
-    laid = rows.repartitionByRange(count, "doc_id").select(
-        F.spark_partition_id().alias("block"), F.monotonically_increasing_id().alias("k"), "doc_id", "t", "z"
-    )
-    table = stored(laid, "text-blocks")
+    ranged = rows.repartitionByRange(count, "doc_id").select(F.spark_partition_id().alias("block"), "doc_id", "t", "z")
+    table = stored(ranged.mapInArrow(laid, "block int, payload binary"), "text-blocks")
     last = table.agg(F.max("block")).first()[0]
     return Blocks(table, 0 if last is None else last + 1, int(total), id_type)
 
 
-def _rows(table: pa.Table) -> tuple[list, list, list[bytes]]:
-    """k, doc_id and text of a block's rows, in order of doc_id and k."""
-    import zstandard
-
-    unpack = zstandard.ZstdDecompressor().decompress
-    table = table.sort_by([("doc_id", "ascending"), ("k", "ascending")])
-    if table["doc_id"].null_count:  # null is the smallest id
-        first = pa.compute.sort_indices(pa.table({"n": table["doc_id"].is_valid().cast(pa.int8())}), sort_keys=[("n", "ascending")])
-        table = table.take(first)
-    return table["k"].to_pylist(), table["doc_id"].to_pylist(), [unpack(z.as_py()) for z in table["z"]]
-
-
-BlockFunction = Callable[[int, list, list, list[bytes], pa.Table | None], pa.Table]
+BlockFunction = Callable[[int, Rows, pa.Table | None], pa.Table]
 
 
 def each_block(blocks: Blocks, fn: BlockFunction, schema: str, replies: DataFrame | None = None) -> DataFrame:
-    """``fn(block, ks, ids, texts, replies)`` for each block; ``replies`` are
-    the rows of that frame with the block's number."""
-    import pyarrow.compute  # noqa: F401
+    """``fn(block, rows, replies)`` for each block; ``replies`` are the rows of
+    that frame with the block's number. Without replies the stored blocks are
+    read where they lie; with them, blocks and replies meet by shuffle."""
+    if replies is None:
 
-    def alone(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-        return fn(key[0].as_py(), *_rows(t), None)
+        def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for block, payload in zip(batch.column(0), batch.column(1), strict=True):
+                    yield from fn(block.as_py(), Rows(block.as_py(), payload.as_py()), None).to_batches()
 
-    if replies is None:
-        return blocks.table.groupBy("block").applyInArrow(alone, schema)
+        return blocks.table.select("block", "payload").mapInArrow(alone, schema)
 
     def both(key: tuple[pa.Scalar, ...], t: pa.Table, r: pa.Table) -> pa.Table:
-        return fn(key[0].as_py(), *_rows(t), r)
+        block = key[0].as_py()
+        return fn(block, Rows(block, t["payload"][0].as_py()), r)
 
     return blocks.table.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(both, schema)
 

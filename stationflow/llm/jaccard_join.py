@@ -33,10 +33,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from stationflow.llm.blocks import Blocks, bucket_bits, each_block, gathered, pack, requests_table, text_blocks, unpack
+from stationflow.llm.blocks import Blocks, Rows, bucket_bits, each_block, gathered, pack, requests_table, text_blocks, unpack
 from stationflow.llm.components import connected_components
-from stationflow.llm.shared import stored
+from stationflow.llm.shared import fresh, stored
 from stationflow.llm.text import mixed, sequence_hashes, word_hashes
 
 SHINGLE_WORDS = 3
@@ -206,20 +207,22 @@ def join_rows(documents: DataFrame, *, percent: int = PERCENT, words: int = SHIN
     blocks = text_blocks(documents, **({"block_bytes": block_bytes} if block_bytes else {}))
     scheme = Scheme(percent)
 
-    def cards(block: int, ks: list, ids: list, texts: list[bytes], _: pa.Table | None) -> pa.Table:
+    def cards(block: int, docs: Rows, _: pa.Table | None) -> pa.Table:
+        ks, ids, texts = docs.k, docs.ids, docs.texts
         sets = shingle_sets(texts, words)
         with np.errstate(over="ignore"):
             sums = [[int(mixed(s + np.uint64(c)).sum(dtype=np.uint64).view(np.int64)) for s in sets] for c in (1, 2)]
-        return pa.table({"k": pa.array(ks, pa.int64()), "n": pa.array([len(s) for s in sets], pa.int64()), "d1": pa.array(sums[0], pa.int64()), "d2": pa.array(sums[1], pa.int64())})
+        return pa.table({"k": pa.array(ks, pa.int64()), "doc_id": pa.array(ids, id_arrow), "t": pa.array(docs.t, pa.int64()), "n": pa.array([len(s) for s in sets], pa.int64()), "d1": pa.array(sums[0], pa.int64()), "d2": pa.array(sums[1], pa.int64())})
 
-    card = stored(each_block(blocks, cards, "k long, n long, d1 long, d2 long"), "set-cards")
-    card = card.join(blocks.table.select("k", "doc_id", "t"), "k")
+    id_arrow = to_arrow_type(documents.schema["doc_id"].dataType)
+    card = stored(each_block(blocks, cards, f"k long, doc_id {blocks.id_type}, t long, n long, d1 long, d2 long"), "set-cards")
     classes = stored(card.where("n > 0").groupBy("n", "d1", "d2").agg(F.min(F.struct("doc_id", "k")).alias("least")), "set-classes")
     leaders = classes.selectExpr("cast(shiftright(least.k, 33) as int) as block", "least.k as k", "least.doc_id as doc_id", "n")
     bits = bucket_bits(blocks.text_bytes // 22)
 
-    def enter(block: int, ks: list, ids: list, texts: list[bytes], wanted: pa.Table) -> pa.Table:
+    def enter(block: int, docs: Rows, wanted: pa.Table) -> pa.Table:
         """Keys of the block's representatives with the block's star hubs."""
+        ks, ids, texts = docs.k, docs.ids, docs.texts
         mine = set(wanted["k"].to_pylist())
         own = [i for i, k in enumerate(ks) if k in mine]
         sets = shingle_sets([texts[i] for i in own], words)
@@ -255,7 +258,8 @@ def _links(blocks: Blocks, leaders: DataFrame, clusters: DataFrame, percent: int
     held = members.groupBy("cluster").agg(F.sum(F.col("n") * 8 + 64).alias("bytes"))
     sized = stored(members.join(held, "cluster").withColumn("chunks", F.expr(f"cast(ceil(bytes / {tile_bytes}) as int)")), "cluster-members")
 
-    def sets_of(block: int, ks: list, ids: list, texts: list[bytes], wanted: pa.Table) -> pa.Table:
+    def sets_of(block: int, docs: Rows, wanted: pa.Table) -> pa.Table:
+        ks, ids, texts = docs.k, docs.ids, docs.texts
         mine = set(wanted["k"].to_pylist())
         own = [i for i, k in enumerate(ks) if k in mine]
         sets = shingle_sets([texts[i] for i in own], words)
@@ -297,7 +301,9 @@ def drop_near_copies(documents: DataFrame, **options) -> DataFrame:
     """One document of each component, the one of smallest doc_id, unchanged."""
     rows = stored(join_rows(documents, **options).select("doc_id", "t", "first"), "component-rows")
     kept = rows.where("first").selectExpr("doc_id as _d", "t as _t").distinct()
-    out = documents.withColumn("_x", F.xxhash64("text")).join(kept, F.expr("doc_id <=> _d and _x = _t"), "left_semi")
+    mark = fresh(documents, "_mark")
+    marked = documents.withColumn(mark, F.xxhash64("text"))
+    out = marked.join(kept, marked["doc_id"].eqNullSafe(kept["_d"]) & (marked[mark] == kept["_t"]), "left_semi")
     if rows.where("first").count() < rows.join(kept, F.expr("doc_id <=> _d and t = _t"), "left_semi").count():
-        out = out.dropDuplicates(["doc_id", "_x"])  # rows repeated as a whole
-    return out.drop("_x")
+        out = out.dropDuplicates(["doc_id", mark])  # rows of equal id and text
+    return out.drop(mark)

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.llm.blocks import each_block, text_blocks
+from stationflow.llm.blocks import Rows, each_block, text_blocks
 from stationflow.llm.shared import stored
 
 FOLDS, HELD_OUT_FOLD = 7, 2
@@ -127,7 +127,8 @@ def score_documents(documents: DataFrame, vocabulary_path: str, *, block_bytes:
     shared = context.broadcast(model)
     blocks = text_blocks(documents, **({"block_bytes": block_bytes} if block_bytes else {}))
 
-    def count(block: int, ks: list, ids: list, texts: list[bytes], _: pa.Table | None) -> pa.Table:
+    def count(block: int, docs: Rows, _: pa.Table | None) -> pa.Table:
+        ks, ids, texts = docs.k, docs.ids, docs.texts
         train, rest = Counter(), set()
         for i, text in zip(ids, texts, strict=True):
             if held_out(i):
@@ -176,7 +177,8 @@ def score_documents(documents: DataFrame, vocabulary_path: str, *, block_bytes:
     answers = listed.select("block", "word").join(known, "word").select("block", "word", "c", "p")
     floor = n + v + 1
 
-    def judged(block: int, ks: list, ids: list, texts: list[bytes], words: pa.Table) -> pa.Table:
+    def judged(block: int, docs: Rows, words: pa.Table) -> pa.Table:
+        ks, ids, texts = docs.k, docs.ids, docs.texts
         log10 = math.log10
         base = {w: (log10((c + 1) / floor), c > 0, p) for w, c, p in zip(words["word"].to_pylist(), words["c"].to_pylist(), words["p"].to_pylist(), strict=True)}
         rows = []

@@ -23,6 +23,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the frame does not have."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def ship_package(spark: SparkSession) -> None:
     """Give the executors' Python this package, once per application: worker
     functions refer to it by import. Harmless where it is installed."""

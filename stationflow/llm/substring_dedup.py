@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from stationflow.llm.blocks import (
     REPLY,
     REQUEST,
+    Rows,
     bucket_bits,
     each_block,
     gathered,
@@ -69,7 +70,8 @@ def merged_sketch(blocks, width: int, rows: int, n: int) -> np.ndarray:
     """Bits (rows x width) of the cells that count two or more windows."""
     slices = -(-width // SLICE)
 
-    def counted(block: int, ks: list, ids: list, texts: list[bytes], _: pa.Table | None) -> pa.Table:
+    def counted(block: int, docs: Rows, _: pa.Table | None) -> pa.Table:
+        ks, ids, texts = docs.k, docs.ids, docs.texts
         _, _, h, _ = _windows(texts, n)
         out = []
         for row in range(rows):
@@ -146,7 +148,8 @@ def remove_repeated_windows(
         new[1:] = (h[1:] != h[:-1]) | (check[1:] != check[:-1])
         return owner, place, h, check, new
 
-    def ask(block: int, ks: list, ids: list, texts: list[bytes], _: pa.Table | None) -> pa.Table:
+    def ask(block: int, docs: Rows, _: pa.Table | None) -> pa.Table:
+        ks, ids, texts = docs.k, docs.ids, docs.texts
         _, _, h, check, new = candidates(texts)
         return requests_table(block, h[new], [check[new]], bits)
 
@@ -161,7 +164,8 @@ def remove_repeated_windows(
 
     replies = stored(each_block(blocks, ask, REQUEST).groupBy("bucket").applyInArrow(answer, REPLY), "window-replies")
 
-    def removed(block: int, ks: list, ids: list, texts: list[bytes], replies: pa.Table | None) -> pa.Table:
+    def removed(block: int, docs: Rows, replies: pa.Table | None) -> pa.Table:
+        ks, ids, texts = docs.k, docs.ids, docs.texts
         owner, place, h, check, new = candidates(texts)
         (earlier,) = replied(replies, 1)
         group = np.cumsum(new) - 1

@@ -35,6 +35,7 @@ from pyspark.sql import DataFrame
 
 from stationflow.llm.blocks import (
     Blocks,
+    Rows,
     bucket_bits,
     each_block,
     gathered,
@@ -201,7 +202,8 @@ def remove_repeated_bytes(documents: DataFrame, *, length: int = LENGTH, block_b
     blocks = text_blocks(documents, **({"block_bytes": block_bytes} if block_bytes else {}))
     bits = bucket_bits(blocks.text_bytes // (SPREAD // 2))
 
-    def ask_phrases(block: int, ks: list, ids: list, texts: list[bytes], _: pa.Table | None) -> pa.Table:
+    def ask_phrases(block: int, docs: Rows, _: pa.Table | None) -> pa.Table:
+        ks, ids, texts = docs.k, docs.ids, docs.texts
         rows = _Runs(texts, length)
         keys = rows.phrase_keys()
         order, _, firsts, size = _distinct(keys)
@@ -220,7 +222,8 @@ def remove_repeated_bytes(documents: DataFrame, *, length: int = LENGTH, block_b
         out[order] = rank[group]
         return _tagged(replies_table(bucket, numbers, n, [out]), 0)
 
-    def ask_pairs(block: int, ks: list, ids: list, texts: list[bytes], replies: pa.Table) -> pa.Table:
+    def ask_pairs(block: int, docs: Rows, replies: pa.Table) -> pa.Table:
+        ks, ids, texts = docs.k, docs.ids, docs.texts
         rows = _Runs(texts, length, _of_round(replies, RUNS)["payload"][0].as_py())
         *_, size, keys = _pairs(rows, _ranked(rows, replies))
         return _tagged(requests_table(block, keys[0], [*keys[1:], (size > 1).astype(np.uint8)], bits), 1)
@@ -244,7 +247,8 @@ def remove_repeated_bytes(documents: DataFrame, *, length: int = LENGTH, block_b
         out[order[firsts[stands]]] = 3
         return _tagged(replies_table(key[0].as_py(), numbers, n, [out]), 1)
 
-    def ask_windows(block: int, ks: list, ids: list, texts: list[bytes], replies: pa.Table) -> pa.Table:
+    def ask_windows(block: int, docs: Rows, replies: pa.Table) -> pa.Table:
+        ks, ids, texts = docs.k, docs.ids, docs.texts
         rows = _Runs(texts, length, _of_round(replies, RUNS)["payload"][0].as_py())
         i, order, group, firsts, size, _ = _pairs(rows, _ranked(rows, replies))
         (flag,) = replied(_of_round(replies, 1), 1)
@@ -259,7 +263,8 @@ def remove_repeated_bytes(documents: DataFrame, *, length: int = LENGTH, block_b
         out[order] = many[group]
         return _tagged(replies_table(key[0].as_py(), numbers, n, [out]), 2)
 
-    def removed(block: int, ks: list, ids: list, texts: list[bytes], replies: pa.Table) -> pa.Table:
+    def removed(block: int, docs: Rows, replies: pa.Table) -> pa.Table:
+        ks, ids, texts = docs.k, docs.ids, docs.texts
         rows = _Runs(texts, length, _of_round(replies, RUNS)["payload"][0].as_py())
         i, order, group, firsts, size, _ = _pairs(rows, _ranked(rows, replies))
         (flag,) = replied(_of_round(replies, 1), 1)
