@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationflow.llm.shared import stored
+from stationflow.llm.shared import fresh, stored
 
 LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
 #: Share of a group that the concentration steps keep, their number, the size
@@ -190,12 +190,12 @@ def robust_estimates(rows: DataFrame, *, features: tuple[str, ...] = FEATURES, f
     now = stored(scale.selectExpr("g", f"array({', '.join(f'm{i}' for i in range(p))}) as mu", f"array({pr}) as pr"), "mcd-0")
     for step in range(steps):
         bins = f"cast(floor({_BINS_PER_OCTAVE} * log2(1e-6 + {_squared(features)})) as int)"
-        placed = rows.join(now, "g").withColumn("b", F.expr(bins))
-        counts = placed.groupBy("g", "b").agg(F.count("*").alias("c"))
+        placed = rows.join(now, "g").withColumn("_bin", F.expr(bins))
+        counts = placed.groupBy("g", "_bin").agg(F.count("*").alias("c"))
         # A group has at most a few thousand bins, whatever its number of rows.
-        upto = counts.selectExpr("g", "b", "sum(c) over (partition by g order by b) as u", "sum(c) over (partition by g) as t")
-        edge = upto.where(f"u >= {keep} * t").groupBy("g").agg(F.min("b").alias("edge"))
-        inner = placed.join(edge, "g").where("b <= edge").groupBy("g").agg(*_moments(features))
+        upto = counts.selectExpr("g", "_bin", "sum(c) over (partition by g order by _bin) as u", "sum(c) over (partition by g) as t")
+        edge = upto.where(f"u >= {keep} * t").groupBy("g").agg(F.min("_bin").alias("_edge"))
+        inner = placed.join(edge, "g").where("_bin <= _edge").groupBy("g").agg(*_moments(features))
         now = stored(_estimates(inner, floors, keep), f"mcd-{step + 1}")
     return now
 
@@ -221,10 +221,11 @@ def judge_quality(documents: DataFrame, *, cutoff: float = CUTOFF, least_group:
 def drop_low_quality(documents: DataFrame, *, cutoff: float = CUTOFF, least_group: int = LEAST_GROUP) -> DataFrame:
     """Documents that the rules keep, unchanged. Rows are told apart by id,
     language, source and text, so repeated ids are judged row by row."""
-    mark = F.xxhash64("text")
-    keyed = documents.withColumn("_row", F.struct("doc_id", mark.alias("t")))
-    gone = (
-        _judged(keyed.select(F.col("_row").alias("doc_id"), "lang", "source", "text"), cutoff, least_group)
-        .where("not kept").select(F.col("doc_id").alias("_r"), F.col("lang").alias("_l"), F.col("source").alias("_s")).distinct()
-    )
-    return keyed.join(gone, F.expr("_row <=> _r and lang <=> _l and source <=> _s"), "left_anti").drop("_row")
+    mark = fresh(documents, "_mark")
+    marked = documents.withColumn(mark, F.xxhash64("text"))
+    row = F.struct("doc_id", mark).alias("doc_id")
+    judged = _judged(marked.select(row, "lang", "source", "text"), cutoff, least_group)
+    gone = judged.where("not kept").select(F.col(f"doc_id.{mark}").alias("_m"), F.col("doc_id.doc_id").alias("_d"), F.col("lang").alias("_l"), F.col("source").alias("_s")).distinct()
+    same = marked["doc_id"].eqNullSafe(gone["_d"]) & (marked[mark] == gone["_m"])
+    same = same & marked["lang"].eqNullSafe(gone["_l"]) & marked["source"].eqNullSafe(gone["_s"])
+    return marked.join(gone, same, "left_anti").drop(mark)

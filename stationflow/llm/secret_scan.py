@@ -20,6 +20,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stationflow.llm.shared import fresh
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -158,21 +160,32 @@ def secret_report(documents: DataFrame, rules: tuple[Rule, ...] = RULES) -> Data
 def redact_secrets(documents: DataFrame, rules: tuple[Rule, ...] = RULES, *, mark: str = "[secret]") -> DataFrame:
     """Documents with every found span replaced by ``mark`` (overlapping spans
     as one) and ``n_chars`` counted again; rows without findings stay as they are."""
-    addressed, findings, _ = scan_versions(documents, rules)
-    per_blob = spans_by_blob(findings, rules).select("blob", "found")
-    # Walk over the spans in order: text before the span, then the mark.
-    walked = F.aggregate(
-        "found",
-        F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out")),
-        lambda a, s: F.when(
-            s["start"] >= a["at"],
-            F.struct(s["stop"].alias("at"), F.concat(a["out"], F.substring(F.col("text"), (a["at"] + 1).cast("int"), (s["start"] - a["at"]).cast("int")), F.lit(mark)).alias("out")),
-        ).otherwise(F.struct(F.greatest(a["at"], s["stop"]).alias("at"), a["out"].alias("out"))),
+    _, findings, _ = scan_versions(documents.select("text"), rules)
+    before = "max(stop) over (partition by blob order by start, stop rows between unbounded preceding and 1 preceding)"
+    opened = findings.selectExpr("blob", "start", "stop", f"coalesce(cast(start >= {before} as int), 1) as opens")
+    numbered = opened.selectExpr("blob", "start", "stop", "sum(opens) over (partition by blob order by start, stop rows between unbounded preceding and current row) as part")
+    parts = numbered.groupBy("blob", "part").agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    cuts = parts.groupBy("blob").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("cuts"))
+    cuts = cuts.select(F.col("blob").alias("_blob"), F.col("cuts").alias("_cuts"))
+    address = fresh(documents, "_address")
+    addressed = documents.withColumn(address, F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256))
+    joined = addressed.join(cuts, addressed[address] == cuts["_blob"], "left")
+    found = cuts["_cuts"].isNotNull()
+    text = addressed["text"]
+    # What stands between the cuts: from the end of one to the start of the next.
+    between = F.transform(
+        F.sequence(F.lit(0), F.size(cuts["_cuts"])),
+        lambda i: F.substring(
+            text,
+            (F.when(i == 0, F.lit(0)).otherwise(F.get(cuts["_cuts"], i - 1)["stop"]) + 1).cast("int"),
+            (
+                F.when(i == F.size(cuts["_cuts"]), F.length(text)).otherwise(F.get(cuts["_cuts"], i)["start"])
+                - F.when(i == 0, F.lit(0)).otherwise(F.get(cuts["_cuts"], i - 1)["stop"])
+            ).cast("int"),
+        ),
     )
-    kept = [c for c in documents.columns]
-    joined = addressed.join(per_blob, "blob", "left").withColumn("_w", F.when(F.col("found").isNotNull(), walked))
-    text = F.when(F.col("_w").isNotNull(), F.concat("_w.out", F.expr("substring(text, cast(_w.at + 1 as int))"))).otherwise(F.col("text"))
-    out = joined.withColumn("text", text)
-    if "n_chars" in kept:
-        out = out.withColumn("n_chars", F.when(F.col("_w").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.select(*kept)
+    redacted = F.when(found, F.concat_ws(mark, between)).otherwise(text)
+    changed = {"text": redacted}
+    if "n_chars" in documents.columns:
+        changed["n_chars"] = F.when(found, F.length(redacted).cast(dict(documents.dtypes)["n_chars"])).otherwise(addressed["n_chars"])
+    return joined.select(*[changed[c].alias(c) if c in changed else addressed[c] for c in documents.columns])

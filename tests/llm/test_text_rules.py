@@ -1,0 +1,343 @@
+"""Token counts, quality rules, secret scans, URL filter, decontamination and
+the lattice model against brute force."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from conftest_llm import SCHEMA, UPPER, WORD, clashing, docs, empty, llm, prose, rows, words  # noqa: F401
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+from stationflow.llm import url_filter
+from stationflow.llm.decontaminate import drop_contaminated, find_benchmark
+from stationflow.llm.lattice_lm import Lattice, score_documents
+from stationflow.llm.quality_rules import FEATURES, drop_low_quality, judge_quality, robust_estimates, text_statistics
+from stationflow.llm.secret_scan import BASE_RULES, RULES, Rule, redact_secrets, scan_versions, secret_report
+from stationflow.llm.token_counts import PieceCounts, count_tokens
+from stationflow.llm.url_filter import DigestIndex, blocked_hosts, filter_urls, with_host_path, write_index
+
+BPE, PIECES = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+def _sorted(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+# --- token counts -----------------------------------------------------------------
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    return PieceCounts(open(BPE, encoding="utf-8").read())
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(BPE)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(max_size=60) | st.text("ab e's<|>endoftx\n\t 09", max_size=60))
+def test_counts_equal_the_library(pieces, tokenizer, text):
+    text = text.encode("utf-8", "ignore").decode()
+    assert pieces.count(text) == len(tokenizer.encode(text, add_special_tokens=False).ids)
+
+
+def test_special_strings_and_long_pieces(pieces, tokenizer):
+    for text in ["a<|endoftext|>b", "<|endoftext|><|endoftext|>", "x" * 5000, "ab" * 3000, " " * 1000 + "z", "é😀" * 400]:
+        assert pieces.count(text) == len(tokenizer.encode(text, add_special_tokens=False).ids)
+
+
+def test_count_tokens_rows(docs, rows, tokenizer, empty, clashing):
+    want = sorted(((r[0], len((r[1] or "").encode()), n := len(tokenizer.encode(r[1] or "", add_special_tokens=False).ids), n > 512) for r in rows), key=repr)
+    assert _sorted(count_tokens(docs, BPE)) == want
+    assert _sorted(count_tokens(clashing, BPE)) == want
+    assert count_tokens(empty, BPE).count() == 0
+
+
+# --- quality rules ----------------------------------------------------------------
+
+
+def brute_statistics(text):
+    w = words(text)
+    grams = Counter(zip(w, w[1:], w[2:], strict=False))
+    covered = {i + j for i in range(len(w) - 2) if grams[w[i], w[i + 1], w[i + 2]] > 1 for j in range(3)}
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text or ""), sum(x in lines[:i] for i, x in enumerate(lines)), len(covered)
+
+
+def test_statistics_equal_brute_force(rows):
+    more = ["a b c\na b c\n \na b c", "l|ne\nl|ne\r\nl|ne", "x y x y x y", "a a a a", "a a a", "#$ %\t&|<>*", "\n\n", "É ß\u2003x y z"]
+    for text in [r[1] for r in rows if len(r[1] or "") < 5000] + more:
+        assert text_statistics(text)[:5] == brute_statistics(text)
+
+
+def test_estimates_are_robust(llm):
+    """Three tenths of a group are far outliers: the estimate is that of the rest."""
+    rng = np.random.default_rng(5)
+    clean = rng.multivariate_normal([1, 2], [[1, 0.6], [0.6, 2]], 4000)
+    junk = rng.normal([30, -20], 0.5, (1200, 2))
+    rows = [("g", *map(float, x)) for x in np.concatenate([clean, junk])] + [("tiny", 1.0, 1.0), ("same", 2.0, 3.0), ("same", 2.0, 3.0)]
+    got = {r["g"]: r for r in robust_estimates(llm.createDataFrame(rows, "g string, a double, b double"), features=("a", "b"), floors=[0.05, 0.05]).collect()}
+    assert np.allclose(got["g"]["mu"], [1, 2], atol=0.15)
+    cov = np.linalg.inv(np.array(got["g"]["pr"]).reshape(2, 2))
+    # The consistency factor supposes a clean group, so nearly a quarter of
+    # outliers widens the estimate, by less than twofold; it does not tilt it.
+    assert (0.8 < np.diag(cov) / [1, 2]).all() and (np.diag(cov) / [1, 2] < 2).all()
+    assert abs(cov[0, 1] / np.sqrt(cov[0, 0] * cov[1, 1]) - 0.6 / np.sqrt(2)) < 0.05
+    assert np.allclose(got["same"]["mu"], [2, 3]) and got["tiny"]["pr"][0] == pytest.approx(1 / 0.05**2)
+
+
+def test_quality_keeps_clean_and_rejects_junk(llm, docs, rows, empty, clashing):
+    import random
+
+    rng = random.Random(2)
+    made = [(1000 + i, prose(rng, 150).capitalize(), "en", "big", 0) for i in range(300)]
+    made += [(2000 + i, " ".join(w + "$$$" for w in prose(rng, 90).split()), "en", "big", 0) for i in range(30)]
+    made += [(3000 + i, " ".join(w.upper() + "!!" for w in prose(rng, 90).split()), "en", "big", 0) for i in range(30)]
+    got = {r["doc_id"]: r for r in judge_quality(llm.createDataFrame(made + rows, SCHEMA)).collect()}
+    assert all(got[1000 + i]["kept"] for i in range(300))
+    assert not any(got[2000 + i]["kept"] or got[3000 + i]["kept"] for i in range(30))
+    for doc, text, *_ in rows:
+        n, chars, symbols, dups, repeats = brute_statistics(text)
+        r = got[doc]
+        assert (r["n_words"], r["word_chars"], r["n_symbols"], r["n_dup_lines"], r["n_repeat_words"]) == (n, chars, symbols, dups, repeats)
+        assert r["base_failed"] == (n < 50 or 100 * repeats > 50 * n) and not (r["base_failed"] and r["kept"])
+    assert judge_quality(empty).count() == 0
+    kept = drop_low_quality(clashing)
+    assert kept.columns == clashing.columns
+    judged = judge_quality(docs)
+    assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r["doc_id"] for r in judged.where("kept").collect())
+    assert drop_low_quality(empty).count() == 0 and len(FEATURES) == 6
+
+
+# --- secret scans -------------------------------------------------------------------
+
+BASE = [
+    ("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 6),
+    ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 20),
+    ("hex", re.compile(r"[0-9a-f]+"), 0, 24),
+]
+SECRETS = [
+    None, "", "password=abcdef", "PassWord : 'abc123xyz", "token=token:abcdefgh", "secret=abc secret=abcdefg", "api_key==a.b_c/d",
+    "x AKIA" + "Z9" * 8 + " AKIAshort AKIAAKIA" + "Q" * 16, "é😀 0123456789abcdef0123456789abcdef é", "apikey\"= \"" + "f" * 30,
+    "-----BEGIN RSA PRIVATE KEY-----\nxx ghp_" + "a1B2" * 9 + " eyJab.eyJcd.sig xoxb-1234567890ab", "passwd=" + "0a" * 40 + "password=zzzzzz",
+]
+
+
+def brute_spans(text):
+    return sorted((m.start(), i, kind, m.end()) for i, (kind, p, g, n) in enumerate(BASE) for m in p.finditer(text or "") if len(m.group(g)) >= n)
+
+
+def test_secret_report_equals_brute_force(llm, empty):
+    rows = [(i, t) for i, t in enumerate(SECRETS * 2)] + [(None, SECRETS[2])]
+    got = _sorted(secret_report(llm.createDataFrame(rows, "doc_id long, text string")))
+    want = []
+    for doc, text in rows:
+        s = brute_spans(text)
+        digest = hashlib.sha256(",".join(f"{k}:{a}:{b}" for a, _, k, b in s).encode()).hexdigest()
+        want.append((doc, *[sum(x[2] == k for x in s) for k in ("assign", "access", "hex")], digest))
+    assert [r[:5] for r in got] == sorted(want, key=repr)
+    spans = {r[0]: r[5] for r in got}
+    assert {x.split(":")[0] for x in spans[10].split(",")} == {"private_key", "code_host", "web_token", "chat"}
+    assert secret_report(empty).count() == 0
+
+
+def test_ledger_scans_only_unseen_pairs(llm):
+    first = llm.createDataFrame([("a", 1, SECRETS[2]), ("b", 1, SECRETS[8]), ("c", 1, SECRETS[2])], "path string, rev int, text string")
+    _, found, ledger = scan_versions(first, BASE_RULES)
+    known, ledger = llm.createDataFrame(found.collect(), found.schema), llm.createDataFrame(ledger.collect(), ledger.schema)
+    assert ledger.count() == 2 * len(BASE_RULES) and known.count() == 2
+    # a new version of one path, and one rule changed
+    rules = (*BASE_RULES[:2], Rule("hex", r"[0-9a-f]+", 0, 33, version="2"))
+    second = first.union(llm.createDataFrame([("a", 2, SECRETS[7])], first.schema))
+    from stationflow.llm.secret_scan import unseen_blobs, with_blob
+
+    due = {r["body"]: sorted(r["todo"]) for r in unseen_blobs(with_blob(second), rules, ledger).collect()}
+    assert due == {SECRETS[2]: ["hex:2"], SECRETS[8]: ["hex:2"], SECRETS[7]: ["access:1", "assign:1", "hex:2"]}
+    paths, every, after = scan_versions(second, rules, ledger=ledger, findings=known)
+    by_path = paths.join(every, "blob").select("path", "rev", "kind").collect()
+    assert after.count() == ledger.count() + 2 + 3
+    assert sorted((r["path"], r["kind"]) for r in by_path) == [("a", "access"), ("a", "access"), ("a", "assign"), ("c", "assign")]
+
+
+def test_redaction(llm, clashing, empty):
+    rows = [(i, t, len(t or "")) for i, t in enumerate(SECRETS)]
+    got = redact_secrets(llm.createDataFrame(rows, "doc_id long, text string, n_chars long").withColumn("blob", F.lit(1)))
+    assert got.columns == ["doc_id", "text", "n_chars", "blob"]
+    for doc, text, n, _ in _sorted(got):
+        given = SECRETS[doc]
+        spans = [(a, b) for a, _, _, b in brute_spans(given)]
+        if doc == 10:
+            assert "PRIVATE KEY" not in text and text.count("[secret]") == 4
+            continue
+        want, at = "", 0
+        merged = []
+        for a, b in spans:
+            if merged and a < merged[-1][1]:
+                merged[-1][1] = max(b, merged[-1][1])
+            else:
+                merged.append([a, b])
+        for a, b in merged:
+            want, at = want + (given or "")[at:a] + "[secret]", b
+        assert text == (given if not merged else want + given[at:]) and n == len(text or "")
+    same = redact_secrets(clashing)
+    plain = [r for r in _sorted(clashing.select("doc_id", "text")) if not brute_spans(r[1])]
+    assert same.columns == clashing.columns and set(plain) < set(_sorted(same.select("doc_id", "text")))
+    assert redact_secrets(empty).count() == 0
+
+
+def test_secret_plans_hold_no_python(docs):
+    for df in (secret_report(docs), redact_secrets(docs), find_benchmark(docs, docs.selectExpr("doc_id as item_id", "text"))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not re.search("Python|Pandas|Arrow(?!.*Cached)", plan.replace("InMemoryTableScan", ""))
+
+
+# --- URL filter ---------------------------------------------------------------------
+
+URLS = [
+    None, "", "no scheme", "http://", "HTTP://Example.COM/en/x", "https://www.example.com/en/", "http://a.www.example.com/en/y?z", "http://example.com", "http://example.com/en",
+    "http://a.example.net/es/1", "http://a.net/fr/", "http://notnet/es/", "http://xnet.org/de", "http://blog.casino-win.example.org/a", "http://casino-win.org", "ftp://h#f/en/", "http://h?q=/es/://",
+    "http://spam-farm.example.com/de/", "x://É.net/es/é#", "http://com/", "http://..com/", "//example.com/en/", "http://example.com//en/",
+]
+
+
+def brute_url(url):
+    host = path = ""
+    if url and "://" in url:
+        rest = url[url.index("://") + 3 :]
+        cut = re.match(r"[^/?#]*", rest).group()
+        host, path = cut.translate(UPPER), re.match(r"[^?#]*", rest[len(cut) :]).group()
+    fits = []
+    for rule, verdict in url_filter.RULES:
+        h, p = rule[: rule.index("/")], rule[rule.index("/") :]
+        if (host == h or host.endswith("." + h)) and path.startswith(p):
+            fits.append((len(rule), rule, verdict))
+    if fits:
+        return host, path, max(fits)[1], max(fits)[2]
+    return host, path, None, "block" if set(host.split(".")) & set(url_filter.BLOCKED_LABELS) else "allow"
+
+
+@pytest.mark.parametrize("bound", [url_filter.MOST_INDEX_BYTES, 0])
+def test_urls_equal_brute_force(llm, bound):
+    pages = llm.createDataFrame([(i, u, 7) for i, u in enumerate(URLS * 2)], "page_id long, url string, host int")
+    block = blocked_hosts(with_host_path(pages.select("url")))
+    got = _sorted(filter_urls(pages, block, most_index_bytes=bound))
+    assert got == sorted(((i, *brute_url(u)) for i, u in enumerate(URLS * 2)), key=repr)
+    assert filter_urls(pages.limit(0), block).count() == 0
+    assert {r["verdict"] for r in filter_urls(pages).where("rule is null").collect()} == {"allow"}
+
+
+def test_digest_index_confirms_hits(tmp_path, monkeypatch):
+    keys = [f"host{i}.net".encode() for i in range(500)]
+    for collide in (False, True):
+        if collide:  # every digest is equal: only the stored strings decide
+            monkeypatch.setattr(url_filter, "_digests", lambda ks: np.zeros(len(ks), dtype=np.uint64))
+        path = str(tmp_path / f"index{collide}")
+        write_index(keys, path)
+        index = DigestIndex(path)
+        assert index.contains(keys).all() and not index.contains([b"host1.ne", b"", b"host500.net"]).any()
+
+
+# --- decontamination -----------------------------------------------------------------
+
+
+def brute_containment(rows, items, percent=80):
+    def shingles(text):
+        w = words((text or "").translate(UPPER))
+        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else ({tuple(w)} if w else set())
+
+    out = []
+    for doc, text, *_ in rows:
+        have = shingles(text)
+        for item, body in items:
+            want = shingles(body)
+            if want and 100 * len(have & want) >= percent * len(want):
+                out.append((doc, item, len(want), len(have & want), len(have & want) / len(want)))
+    return sorted(out, key=repr)
+
+
+def test_containment_equals_brute_force(llm, docs, rows, empty, clashing):
+    import random
+
+    rng = random.Random(4)
+    items = [(0, None), (1, ""), (2, "Two WORDS"), (3, "one"), (4, prose(rng, 30))]
+    for text in [r[1] for r in rows if r[1] and len(r[1]) > 300][:12]:
+        w = text.split(" ")
+        n = rng.choice([6, 12, 25, 40])
+        piece = w[5 : 5 + n]
+        if n > 20:
+            piece[n // 2] = "other"
+        items.append((len(items), "".join(c.upper() if c.isascii() else c for c in " ".join(piece))))
+    bench = llm.createDataFrame([(*x, 1) for x in items], "item_id long, text string, k int")
+    want = brute_containment(rows, items)
+    assert len(want) > 12
+    assert _sorted(find_benchmark(docs, bench)) == want
+    assert _sorted(find_benchmark(clashing, bench.union(bench), most_broadcast_rows=0)) == want
+    gone = {r[0] for r in want}
+    left = drop_contaminated(clashing, bench)
+    assert left.columns == clashing.columns
+    assert sorted(r["doc_id"] for r in left.collect()) == sorted(r[0] for r in rows if r[0] not in gone)
+    assert find_benchmark(empty, bench).count() == 0 and find_benchmark(docs, bench.limit(0)).count() == 0
+
+
+# --- lattice model --------------------------------------------------------------------
+
+
+def test_forward_recursion_sums_all_segmentations():
+    scores = {p: math.log(x) for p, x in {"▁": 0.1, "a": 0.2, "b": 0.05, "ab": 0.3, "▁a": 0.02, "ba": 0.07, "▁ab": 0.01}.items()}
+    lattice = Lattice(scores, [math.log(1e-3)] * 256)
+
+    def brute(text):
+        if not text:
+            return 1.0
+        total = sum(math.exp(scores[text[:j]]) * brute(text[j:]) for j in range(1, len(text) + 1) if text[:j] in scores)
+        if text[0] not in scores:
+            total += (1e-3) ** len(text[0].encode()) * brute(text[1:])
+        return total
+
+    for word in ["a", "ab", "abba", "baab", "é", "aébab", "ab" * 8]:
+        assert lattice.log_probability(word) == pytest.approx(math.log(brute("▁" + word)))
+    assert math.isfinite(lattice.log_probability("ab" * 5000))
+
+
+def test_scores(llm, docs, rows, empty, clashing):
+    got = {r["doc_id"]: r for r in score_documents(docs, PIECES, block_bytes=20_000).collect()}
+    tokens = {r[0]: [*words((r[1] or "").translate(UPPER)), " "] for r in rows}
+    held = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d in tokens}
+    count = Counter(t for d, ts in tokens.items() if not held[d] for t in ts)
+    n, v = sum(count.values()), len(count)
+    for d, ts in tokens.items():
+        r = got[d]
+        assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (held[d], len(ts), sum(count[t] > 0 for t in ts), n)
+        assert r["base_score"] == pytest.approx(sum(math.log10((count[t] + 1) / (n + v + 1)) for t in ts))
+        assert r["score"] < 0
+    short = {tuple(ts): got[d]["score"] for d, ts in tokens.items()}
+    assert short["one", " "] < short[" ",]  # each word lowers the probability
+    again = score_documents(clashing, PIECES)
+    assert [tuple(r) for r in again.orderBy("doc_id").collect()] == [tuple(got[d]) for d in sorted(got)]
+    assert score_documents(empty, PIECES).count() == 0
+
+
+def test_model_prefers_the_text_it_was_trained_on(llm):
+    """Held-out prose of the corpus scores higher per word than shuffled letters."""
+    import random
+
+    rng = random.Random(9)
+    rows = [(i, prose(rng, 80)) for i in range(120)]
+    held = [i for i in range(120) if zlib.crc32(str(i).encode()) % 7 == 2]
+    for i in held[::2]:
+        w = rows[i][1].split()
+        rows[i] = (i, " ".join("".join(rng.sample(x, len(x))) for x in w))
+    got = {r["doc_id"]: r["score"] / r["n_tokens"] for r in score_documents(llm.createDataFrame(rows, "doc_id long, text string"), PIECES).collect()}
+    assert min(got[i] for i in held[1::2]) > max(got[i] for i in held[::2])
