@@ -27,7 +27,7 @@ def _spark_reports(spark, trips, variant, k_file, k_total, materialize=False):
     out = {}
     reports = run_variant(df, variant, k_file=k_file, k_total=k_total, materialize=materialize)
     for name, rep in reports.items():
-        out[name] = sorted((tuple(r) for r in rep.collect()), key=repr)
+        out[name] = sorted((tuple(r) for r in rep.drop("file").collect()), key=repr)
     return out
 
 

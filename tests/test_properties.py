@@ -50,7 +50,7 @@ def test_reversing_trips_swaps_directions(spark, rows):
     )
     fwd = op.role_means(op.trip_ends(trips))
     rev = op.role_means(op.trip_ends(reversed_trips))
-    swapped = rev.select("file_name", "month", "station", "connections",
+    swapped = rev.select("file", "file_name", "month", "station", "connections",
                          F.col("time_to").alias("time_from"), F.col("time_from").alias("time_to"))
     assert _set(fwd) == _set(swapped)
 
