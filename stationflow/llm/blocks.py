@@ -13,6 +13,7 @@ even: no key, text or group of copies is ever gathered row by row."""
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -92,6 +93,15 @@ def text_blocks(documents: DataFrame, *, block_bytes: int = BLOCK_BYTES) -> Bloc
     return Blocks(table, 0 if last is None else last + 1, int(total), id_type)
 
 
+def give_back() -> None:
+    """Return memory that a finished block held to the system: Python workers
+    live on between tasks, and an executor's share is limited."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 BlockFunction = Callable[[int, Rows, pa.Table | None], pa.Table]
 
 
@@ -104,13 +114,17 @@ def each_block(blocks: Blocks, fn: BlockFunction, schema: str, replies: DataFram
         def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for block, payload in zip(batch.column(0), batch.column(1), strict=True):
-                    yield from fn(block.as_py(), Rows(block.as_py(), payload.as_py()), None).to_batches()
+                    out = fn(block.as_py(), Rows(block.as_py(), payload.as_py()), None)
+                    give_back()
+                    yield from out.to_batches()
 
         return blocks.table.select("block", "payload").mapInArrow(alone, schema)
 
     def both(key: tuple[pa.Scalar, ...], t: pa.Table, r: pa.Table) -> pa.Table:
         block = key[0].as_py()
-        return fn(block, Rows(block, t["payload"][0].as_py()), r)
+        out = fn(block, Rows(block, t["payload"][0].as_py()), r)
+        give_back()
+        return out
 
     return blocks.table.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(both, schema)
 

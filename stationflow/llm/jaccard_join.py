@@ -44,6 +44,8 @@ SHINGLE_WORDS = 3
 #: Linked if 100 * intersection >= PERCENT * union.
 PERCENT = 90
 TILE_BYTES = 8 << 20
+#: Bytes of text in a block: sets and keys take several times their text.
+BLOCK_BYTES = 6 << 20
 _SEEDS = 32
 
 
@@ -200,11 +202,11 @@ def _unpacked_edges(rows: DataFrame) -> DataFrame:
 REQUEST = "bucket int, block int, n int, payload binary"
 
 
-def join_rows(documents: DataFrame, *, percent: int = PERCENT, words: int = SHINGLE_WORDS, tile_bytes: int = TILE_BYTES, block_bytes: int | None = None) -> DataFrame:
+def join_rows(documents: DataFrame, *, percent: int = PERCENT, words: int = SHINGLE_WORDS, tile_bytes: int = TILE_BYTES, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``k, doc_id, t, n_shingles, component_id, first`` per row: k numbers the
     rows, t is the text's xxhash64, ``first`` tells the one row of a component
     that has its smallest doc_id (rows of equal id: the first)."""
-    blocks = text_blocks(documents, **({"block_bytes": block_bytes} if block_bytes else {}))
+    blocks = text_blocks(documents, block_bytes=block_bytes)
     scheme = Scheme(percent)
 
     def cards(block: int, docs: Rows, _: pa.Table | None) -> pa.Table:
