@@ -128,7 +128,7 @@ def score_documents(documents: DataFrame, vocabulary_path: str, *, block_bytes:
     blocks = text_blocks(documents, **({"block_bytes": block_bytes} if block_bytes else {}))
 
     def count(block: int, docs: Rows, _: pa.Table | None) -> pa.Table:
-        ks, ids, texts = docs.k, docs.ids, docs.texts
+        ids, texts = docs.ids, docs.texts
         train, rest = Counter(), set()
         for i, text in zip(ids, texts, strict=True):
             if held_out(i):
@@ -178,7 +178,7 @@ def score_documents(documents: DataFrame, vocabulary_path: str, *, block_bytes:
     floor = n + v + 1
 
     def judged(block: int, docs: Rows, words: pa.Table) -> pa.Table:
-        ks, ids, texts = docs.k, docs.ids, docs.texts
+        ids, texts = docs.ids, docs.texts
         log10 = math.log10
         base = {w: (log10((c + 1) / floor), c > 0, p) for w, c, p in zip(words["word"].to_pylist(), words["c"].to_pylist(), words["p"].to_pylist(), strict=True)}
         rows = []

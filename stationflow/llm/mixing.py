@@ -9,8 +9,8 @@ end to end in seeded order, cuts them into blocks and takes its quota: whole
 passes first, then the blocks with the lowest seeded hashes.
 
 Defined cases: a null text has size 0 and takes nothing; a null source is a
-source of its own, last in code-point order; repeated rows are separate
-documents; an empty table gives no rows; a source without words has target 0.
+source of its own, last in code-point order; a null doc_id is one more id;
+repeated rows are separate documents; an empty table gives no rows; a source without words has target 0.
 Columns other than the three named ones are ignored."""
 
 from __future__ import annotations
@@ -20,6 +20,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -166,11 +167,9 @@ def mix_sources(
 
     quota = per_shard.groupBy("shard").applyInArrow(quotas, "shard int, place int, quota long")
 
-    def take(key, docs: pa.Table, quota: pa.Table) -> pa.Table:
-        doc_id = docs.column("doc_id").to_numpy(zero_copy_only=False)
+    def take(key: tuple[pa.Scalar, ...], docs: pa.Table, quota: pa.Table) -> pa.Table:
         sizes = docs.column("size").to_numpy()
-        hashes = docs.column("h").to_numpy()
-        order = np.lexsort((sizes, doc_id, hashes))
+        order = pc.sort_indices(docs, sort_keys=[(c, "ascending") for c in ("h", "doc_id", "size")]).to_numpy()
         mixed = seed + 1_000_003 * key[0].as_py() + 7_919 * key[1].as_py()
         taken = np.zeros(len(sizes), dtype=np.int64)
         taken[order] = taken_by_blocks(sizes[order], quota.column("quota")[0].as_py() if quota.num_rows else 0, block, mixed)

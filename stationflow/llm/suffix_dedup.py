@@ -203,7 +203,7 @@ def remove_repeated_bytes(documents: DataFrame, *, length: int = LENGTH, block_b
     bits = bucket_bits(blocks.text_bytes // (SPREAD // 2))
 
     def ask_phrases(block: int, docs: Rows, _: pa.Table | None) -> pa.Table:
-        ks, ids, texts = docs.k, docs.ids, docs.texts
+        texts = docs.texts
         rows = _Runs(texts, length)
         keys = rows.phrase_keys()
         order, _, firsts, size = _distinct(keys)
@@ -223,7 +223,7 @@ def remove_repeated_bytes(documents: DataFrame, *, length: int = LENGTH, block_b
         return _tagged(replies_table(bucket, numbers, n, [out]), 0)
 
     def ask_pairs(block: int, docs: Rows, replies: pa.Table) -> pa.Table:
-        ks, ids, texts = docs.k, docs.ids, docs.texts
+        texts = docs.texts
         rows = _Runs(texts, length, _of_round(replies, RUNS)["payload"][0].as_py())
         *_, size, keys = _pairs(rows, _ranked(rows, replies))
         return _tagged(requests_table(block, keys[0], [*keys[1:], (size > 1).astype(np.uint8)], bits), 1)
@@ -248,7 +248,7 @@ def remove_repeated_bytes(documents: DataFrame, *, length: int = LENGTH, block_b
         return _tagged(replies_table(key[0].as_py(), numbers, n, [out]), 1)
 
     def ask_windows(block: int, docs: Rows, replies: pa.Table) -> pa.Table:
-        ks, ids, texts = docs.k, docs.ids, docs.texts
+        texts = docs.texts
         rows = _Runs(texts, length, _of_round(replies, RUNS)["payload"][0].as_py())
         i, order, group, firsts, size, _ = _pairs(rows, _ranked(rows, replies))
         (flag,) = replied(_of_round(replies, 1), 1)
@@ -264,7 +264,7 @@ def remove_repeated_bytes(documents: DataFrame, *, length: int = LENGTH, block_b
         return _tagged(replies_table(key[0].as_py(), numbers, n, [out]), 2)
 
     def removed(block: int, docs: Rows, replies: pa.Table) -> pa.Table:
-        ks, ids, texts = docs.k, docs.ids, docs.texts
+        ids, texts = docs.ids, docs.texts
         rows = _Runs(texts, length, _of_round(replies, RUNS)["payload"][0].as_py())
         i, order, group, firsts, size, _ = _pairs(rows, _ranked(rows, replies))
         (flag,) = replied(_of_round(replies, 1), 1)

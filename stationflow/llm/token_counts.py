@@ -17,6 +17,7 @@ import json
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -123,17 +124,12 @@ def count_tokens(documents: DataFrame, vocabulary_path: str, *, limit: int = LIM
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = _LOADED.get(hash(shared.value)) or _LOADED.setdefault(hash(shared.value), PieceCounts(shared.value))
         for batch in batches:
-            n = pa.array([counts.count(t) if t else 0 for t in map(_text, batch.column(1))], pa.int64())
+            n = pa.array([counts.count(t.as_py()) if t.is_valid else 0 for t in batch.column(1)], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), n, pa.compute.greater(n, limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"]
+                [batch.column(0), batch.column(2), n, pc.greater(n, limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"]
             )
 
-    import pyarrow.compute  # noqa: F401
-
     kind = dict(documents.dtypes)["doc_id"]
     rows = documents.select("doc_id", "text", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
     return rows.mapInArrow(counted, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean")
 
-
-def _text(value: pa.Scalar) -> str | None:
-    return value.as_py()

@@ -74,3 +74,9 @@ def test_mix_rows(llm, docs, rows, clashing, empty):
 def test_mix_of_tiny_and_wordless_sources(llm):
     rows = [(1, "a b c d e", "en", "x", 0), (2, None, "en", "y", 0), (3, " ", "en", None, 0), (4, "w " * 5000, "en", "z", 0), (4, "w " * 5000, "en", "z", 0), (6, "q r s", "en", "\U0001f600", 0), (7, "m n", "en", "\ufffd", 0)]
     _check(rows, mix_sources(llm.createDataFrame(rows, SCHEMA)).collect())
+
+
+def test_ids_of_any_type(llm):
+    rows = [(None, "a b c " * 40, None, "x", 0), ("k", "d e " * 50, None, "x", 0), ("k", "d e " * 50, None, "x", 0), (None, "f", None, "y", 0)]
+    got = mix_sources(llm.createDataFrame(rows, SCHEMA.replace("doc_id long", "doc_id string"))).collect()
+    assert sorted(r["size"] for r in got) == [1, 100, 100, 120] and all(r["taken"] <= 2 * r["size"] for r in got)

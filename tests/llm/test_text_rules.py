@@ -20,7 +20,7 @@ from stationflow.llm import url_filter
 from stationflow.llm.decontaminate import drop_contaminated, find_benchmark
 from stationflow.llm.lattice_lm import Lattice, score_documents
 from stationflow.llm.quality_rules import FEATURES, drop_low_quality, judge_quality, robust_estimates, text_statistics
-from stationflow.llm.secret_scan import BASE_RULES, RULES, Rule, redact_secrets, scan_versions, secret_report
+from stationflow.llm.secret_scan import BASE_RULES, Rule, redact_secrets, scan_versions, secret_report
 from stationflow.llm.token_counts import PieceCounts, count_tokens
 from stationflow.llm.url_filter import DigestIndex, blocked_hosts, filter_urls, with_host_path, write_index
 
