@@ -71,7 +71,7 @@ def merged_sketch(blocks, width: int, rows: int, n: int) -> np.ndarray:
     slices = -(-width // SLICE)
 
     def counted(block: int, docs: Rows, _: pa.Table | None) -> pa.Table:
-        ks, ids, texts = docs.k, docs.ids, docs.texts
+        texts = docs.texts
         _, _, h, _ = _windows(texts, n)
         out = []
         for row in range(rows):
@@ -87,7 +87,7 @@ def merged_sketch(blocks, width: int, rows: int, n: int) -> np.ndarray:
             "payload": pa.array([x[2] for x in out], pa.binary()),
         })
 
-    def merged(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+    def merge(key: tuple[pa.Scalar, ...], table: pa.Table, last: bool) -> pa.Table:
         total = np.zeros(SLICE, dtype=np.uint8)
         for p in table["payload"]:
             a, b = unpack(p.as_py())
@@ -95,21 +95,27 @@ def merged_sketch(blocks, width: int, rows: int, n: int) -> np.ndarray:
                 total[a] = np.minimum(total[a] + 1 + np.unpackbits(b, count=len(a)), 2)
             else:  # bits of merged blocks: once or more, twice or more
                 total = np.minimum(total + np.unpackbits(a) + np.unpackbits(b), 2)
-        payload = pack(np.packbits(total > 0), np.packbits(total > 1))
+        twice = np.packbits(total > 1)
+        payload = pack(twice) if last else pack(np.packbits(total > 0), twice)
         return pa.table({"slice": pa.array([key[0].as_py()], pa.int32()), "part": pa.array([key[1].as_py() // FAN_IN], pa.int32()), "payload": [payload]})
 
+    def merged(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        return merge(key, table, last=False)
+
+    def merged_last(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        return merge(key, table, last=True)
+
     schema = "slice int, part int, payload binary"
     sketches = each_block(blocks, counted, schema)
     parts = -(-blocks.count // FAN_IN)
-    while True:  # a tree of merges: each task takes at most FAN_IN sketches
+    while parts > 1:  # a tree of merges: each task takes at most FAN_IN sketches
         sketches = sketches.groupBy("slice", "part").applyInArrow(merged, schema)
-        if parts <= 1:
-            break
         parts = -(-parts // FAN_IN)
+    sketches = sketches.groupBy("slice", "part").applyInArrow(merged_last, schema)
     bits = np.zeros((rows, slices * SLICE // 8), dtype=np.uint8)
     for r in sketches.select("slice", "payload").collect():  # at most rows * MOST_CELLS bits
         row, s = divmod(r["slice"], slices)
-        bits[row, s * SLICE // 8 : (s + 1) * SLICE // 8] = unpack(bytes(r["payload"]))[1]
+        bits[row, s * SLICE // 8 : (s + 1) * SLICE // 8] = unpack(bytes(r["payload"]))[0]
     return bits
 
 
@@ -149,7 +155,7 @@ def remove_repeated_windows(
         return owner, place, h, check, new
 
     def ask(block: int, docs: Rows, _: pa.Table | None) -> pa.Table:
-        ks, ids, texts = docs.k, docs.ids, docs.texts
+        texts = docs.texts
         _, _, h, check, new = candidates(texts)
         return requests_table(block, h[new], [check[new]], bits)
 
@@ -165,7 +171,7 @@ def remove_repeated_windows(
     replies = stored(each_block(blocks, ask, REQUEST).groupBy("bucket").applyInArrow(answer, REPLY), "window-replies")
 
     def removed(block: int, docs: Rows, replies: pa.Table | None) -> pa.Table:
-        ks, ids, texts = docs.k, docs.ids, docs.texts
+        ids, texts = docs.ids, docs.texts
         owner, place, h, check, new = candidates(texts)
         (earlier,) = replied(replies, 1)
         group = np.cumsum(new) - 1

@@ -95,6 +95,14 @@ def test_full_sketch_loses_nothing(docs, rows, monkeypatch):
     assert _sorted(remove_repeated_windows(docs, most_cells=64, rows=1)) == brute_windows(rows)
 
 
+def test_sketches_merge_in_a_tree(docs, rows, monkeypatch):
+    from stationflow.llm import substring_dedup
+
+    monkeypatch.setattr(substring_dedup, "FAN_IN", 2)
+    monkeypatch.setattr(substring_dedup, "SLICE", 4096)
+    assert _sorted(remove_repeated_windows(docs, block_bytes=20_000)) == brute_windows(rows)
+
+
 def test_windows_odd_inputs(llm, empty, clashing, rows):
     assert remove_repeated_windows(empty).count() == 0
     assert _sorted(remove_repeated_windows(clashing)) == brute_windows(rows)
