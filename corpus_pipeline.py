@@ -16,6 +16,9 @@ from stationflow.llm.quality_rules import drop_low_quality
 from stationflow.llm.secret_scan import redact_secrets
 from stationflow.llm.shared import ship_package, stored
 
+#: The stage's near copies (op7's own query compares three-word shingles at 0.9).
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep."""
@@ -24,9 +27,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the smallest doc_id."""
+    """One document of each group of near copies: the smallest doc_id. Near is
+    a Jaccard of 0.8 or more over five-word shingles."""
     ship_package(spark)
-    return drop_near_copies(docs)
+    return drop_near_copies(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

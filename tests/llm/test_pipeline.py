@@ -9,7 +9,7 @@ import sys
 from pathlib import Path
 
 import corpus_pipeline
-from conftest_llm import SCHEMA, llm, make_rows, prose, words  # noqa: F401
+from conftest_llm import SCHEMA, UPPER, llm, make_rows, prose, words  # noqa: F401
 from test_dedup import brute_components
 from test_text_rules import BASE, brute_containment, brute_statistics
 
@@ -69,6 +69,29 @@ def test_pipeline_equals_brute_force(llm, tmp_path):
     assert run == {(d, r["taken"]) for d, r in have.items()}
 
 
+def test_near_copies_of_five_word_shingles_go(llm):
+    """Copies with three to six scattered edits in 200 words: with four, five-word
+    shingles are at 0.81 and three-word ones at 0.89."""
+    rows = make_rows(3)
+    for edits in (3, 4, 5, 6):
+        base = [f"w{edits}x{i}" for i in range(200)]
+        copy = ["changed" if i % 30 == 15 and i // 30 < edits else w for i, w in enumerate(base)]
+        rows += [(1000 + edits, " ".join(base), "en", "s1", 0), (2000 + edits, " ".join(copy), "en", "s1", 0)]
+    sets = []
+    for r in rows:
+        w = [x.translate(UPPER) for x in words(r[1])]
+        sets.append({tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set())
+    label = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and 100 * len(a & b) >= 80 * len(a | b):
+                label = [label[j] if x == label[i] else x for x in label]
+    want = {min(rows[j][0] for j in range(len(rows)) if label[j] == x) for x in set(label)}
+    got = corpus_pipeline.jaccard_join(llm, llm.createDataFrame(rows, SCHEMA), "")
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(want)
+    assert not want & {2003, 2004} and want >= {2005, 2006}
+
+
 def test_entry_imports_without_the_training_data_folders(tmp_path):
     copy = tmp_path / "repo"
     shutil.copytree(ROOT, copy, ignore=shutil.ignore_patterns(".git", "llm", "corpus_pipeline.py", "__pycache__", "spark-warehouse"))
