@@ -5,14 +5,17 @@ the minimum-covariance-determinant estimate is found by concentration steps
 that Spark runs over all rows at once: from a median/MAD start, distances under
 the present estimate, the bin of the h-quantile per group (counts of binned
 distances, so no group is ever sorted or gathered), then moments of the rows
-within it. A group's rows meet only in partial sums, so a group that holds a
-third of all rows costs no more per task than any other. Small groups share an
+within it. h is half of the group, so the estimate holds until outliers are
+nearly half; a last step takes the moments of all rows within a chi-square
+quantile of it. A group's rows meet only in partial sums, so a group that holds
+a third of all rows costs no more per task than any other. Small groups share an
 estimate with the other small groups of their language, and very small languages
 one estimate together. Rows far out by Mahalanobis distance are rejected.
 
 Defined cases: a null or empty text fails the base rule (under 50 words); null
-lang or source are groups of their own; ties and repeated rows count as often as
-they occur; an empty table gives no rows; statistics that do not vary within a
+lang or source are groups of their own; rows of one group with equal statistics
+(copies) count once in its estimate and its size, and are judged one by one; an
+empty table gives no rows; statistics that do not vary within a
 group get a floor of variance instead of a singular estimate."""
 
 from __future__ import annotations
@@ -30,7 +33,9 @@ from stationflow.llm.shared import fresh, stored
 LEAST_WORDS, MOST_REPEATED_PERCENT = 50, 50
 #: Share of a group that the concentration steps keep, their number, the size
 #: from which a group has its own estimate.
-KEEP, STEPS, LEAST_GROUP = 0.75, 3, 200
+KEEP, STEPS, LEAST_GROUP = 0.5, 5, 200
+#: Chi-square quantile within which rows enter the reweighted estimate.
+REWEIGHT = 0.975
 #: Standard deviation that each statistic has at least.
 FLOORS = {"f_chars": 0.05, "f_symbols": 0.25, "f_dups": 0.08, "f_repeats": 0.08, "f_upper": 0.08, "f_marks": 0.10}
 #: Rejected beyond this squared distance (chi-square quantile 1 - 1e-9 for six
@@ -113,7 +118,7 @@ def _grouped(stats: DataFrame, least: int) -> DataFrame:
     """Adds ``g``, the group whose estimate a row is judged by."""
     own = F.concat(F.coalesce(F.concat(F.lit("l"), "lang"), F.lit("-")), F.lit("\x00"), F.coalesce(F.concat(F.lit("s"), "source"), F.lit("-")))
     of_lang = F.concat(F.coalesce(F.concat(F.lit("l"), "lang"), F.lit("-")), F.lit("\x00*"))
-    counts = stats.where("not base_failed").groupBy("lang", "source").agg(F.count("*").alias("n"))
+    counts = stats.where("not base_failed").select("lang", "source", *FEATURES).distinct().groupBy("lang", "source").agg(F.count("*").alias("n"))
     small = counts.withColumn("g", F.when(F.col("n") >= least, own).otherwise(of_lang))
     pooled = small.groupBy("g").agg(F.sum("n").alias("m"))
     named = small.join(pooled, "g").withColumn("g", F.when(F.col("m") >= least, F.col("g")).otherwise(F.lit("*")))
@@ -168,16 +173,29 @@ def _inner_share(keep: float, p: int) -> float:
     """E[x | x within the keep-quantile] / p for chi-square x with p degrees."""
     if keep >= 1:
         return 1.0
-    x = np.linspace(1e-9, 80, 400_001)
-    w = x ** (p / 2 - 1) * np.exp(-x / 2)
+    x, w = _chi_square(p)
     inner = np.cumsum(w) / w.sum() <= keep
     return float((x * w)[inner].sum() / w[inner].sum() / p)
 
 
+def _quantile(share: float, p: int) -> float:
+    """Quantile of chi-square with p degrees."""
+    x, w = _chi_square(p)
+    return float(x[np.searchsorted(np.cumsum(w) / w.sum(), share)])
+
+
+def _chi_square(p: int) -> tuple[np.ndarray, np.ndarray]:
+    """A grid and the density on it, up to a factor."""
+    x = np.linspace(1e-9, 80, 400_001)
+    return x, x ** (p / 2 - 1) * np.exp(-x / 2)
+
+
 def robust_estimates(rows: DataFrame, *, features: tuple[str, ...] = FEATURES, floors: list[float] | None = None, keep: float = KEEP, steps: int = STEPS) -> DataFrame:
     """``g, mu, pr``: the estimate of each group of ``rows`` (columns ``g`` and
-    the features), stored after each step so that lineage stays short."""
+    the features; equal rows count once), stored after each step so that lineage
+    stays short."""
     floors = floors or [FLOORS[f] for f in features]
+    rows = stored(rows.select("g", *features).distinct(), "mcd-rows")
     middle = [F.percentile_approx(f, 0.5, 1000).alias(f"m{i}") for i, f in enumerate(features)]
     start = stored(rows.groupBy("g").agg(*middle), "mcd-start")
     spread = [
@@ -197,7 +215,8 @@ def robust_estimates(rows: DataFrame, *, features: tuple[str, ...] = FEATURES, f
         edge = upto.where(f"u >= {keep} * t").groupBy("g").agg(F.min("_bin").alias("_edge"))
         inner = placed.join(edge, "g").where("_bin <= _edge").groupBy("g").agg(*_moments(features))
         now = stored(_estimates(inner, floors, keep), f"mcd-{step + 1}")
-    return now
+    near = rows.join(now, "g").where(f"{_squared(features)} <= {_quantile(REWEIGHT, p)}")
+    return stored(_estimates(near.groupBy("g").agg(*_moments(features)), floors, REWEIGHT), "mcd-reweighted")
 
 
 def _judged(documents: DataFrame, cutoff: float, least_group: int) -> DataFrame:

@@ -98,6 +98,40 @@ def test_estimates_are_robust(llm):
     assert np.allclose(got["same"]["mu"], [2, 3]) and got["tiny"]["pr"][0] == pytest.approx(1 / 0.05**2)
 
 
+@pytest.mark.parametrize("share", [0.33, 0.45])
+def test_estimates_hold_up_to_nearly_half_outliers(llm, share):
+    """Outliers all over, in one heap, and as copies of one row or of three."""
+    rng = np.random.default_rng(6)
+    clean = rng.multivariate_normal([1, 2], [[1, 0.6], [0.6, 2]], 2000)
+    n = round(2000 * share / (1 - share))
+    far = rng.normal(0, 1, (n, 2))
+    far *= (rng.uniform(15, 60, n) / np.linalg.norm(far, axis=1))[:, None]
+    heaps = {"all over": far, "heap": rng.normal([12, 1], 0.5, (n, 2)), "copies": np.tile([8.0, 2.0], (n, 1)), "three": np.tile([[8.0, 2.0], [1.0, 14.0], [9.0, 9.0]], (n // 3, 1))}
+    rows = [(g, *map(float, x)) for g, junk in heaps.items() for x in np.concatenate([clean, junk])]
+    got = robust_estimates(llm.createDataFrame(rows, "g string, a double, b double"), features=("a", "b"), floors=[0.05, 0.05]).collect()
+    assert {r["g"] for r in got} == heaps.keys()
+    for r in got:
+        pr = np.array(r["pr"]).reshape(2, 2)
+        squared = lambda x, mu=np.array(r["mu"]), pr=pr: np.einsum("ij,jk,ik->i", x - mu, pr, x - mu)
+        assert np.allclose(r["mu"], [1, 2], atol=0.25), r["g"]
+        assert (0.7 < np.diag(np.linalg.inv(pr)) / [1, 2]).all() and (np.diag(np.linalg.inv(pr)) / [1, 2] < 1.5).all(), r["g"]
+        assert np.quantile(squared(clean), 0.999) < 20 < squared(heaps[r["g"]]).min(), r["g"]
+
+
+@pytest.mark.parametrize("share", [0.33, 0.45])
+def test_junk_up_to_nearly_half_of_a_source_is_rejected(llm, share):
+    import random
+
+    rng = random.Random(4)
+    n = round(300 * share / (1 - share))
+    shout = " ".join(w.upper() + "$$" for w in prose(rng, 90).split())
+    rows = [(i, prose(rng, 150).capitalize(), "en", s, 0) for s in ("copies", "each") for i in range(300)]
+    rows += [(1000 + i, shout, "en", "copies", 0) for i in range(n)]
+    rows += [(1000 + i, " ".join(w.upper() + "$$" for w in prose(rng, 90).split()), "en", "each", 0) for i in range(n)]
+    kept = drop_low_quality(llm.createDataFrame(rows, SCHEMA)).select("doc_id", "source").collect()
+    assert sorted(map(tuple, kept)) == sorted((r[0], r[3]) for r in rows if r[0] < 1000)
+
+
 def test_quality_keeps_clean_and_rejects_junk(llm, docs, rows, empty, clashing):
     import random
 
