@@ -38,9 +38,9 @@ KEEP, STEPS, LEAST_GROUP = 0.5, 5, 200
 REWEIGHT = 0.975
 #: Standard deviation that each statistic has at least.
 FLOORS = {"f_chars": 0.05, "f_symbols": 0.25, "f_dups": 0.08, "f_repeats": 0.08, "f_upper": 0.08, "f_marks": 0.10}
-#: Rejected beyond this squared distance (chi-square quantile 1 - 1e-9 for six
-#: statistics is 52.5; clean prose has heavier tails, so twice that).
-CUTOFF = 105.0
+#: Rejected beyond this squared distance: the chi-square quantile 1 - 1e-9 for
+#: six statistics.
+CUTOFF = 53.34
 FEATURES = tuple(FLOORS)
 _BINS_PER_OCTAVE = 64
 

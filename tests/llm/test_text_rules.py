@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from stationflow.llm import url_filter
 from stationflow.llm.decontaminate import drop_contaminated, find_benchmark
 from stationflow.llm.lattice_lm import Lattice, score_documents
-from stationflow.llm.quality_rules import FEATURES, drop_low_quality, judge_quality, robust_estimates, text_statistics
+from stationflow.llm.quality_rules import CUTOFF, FEATURES, _quantile, drop_low_quality, judge_quality, robust_estimates, text_statistics
 from stationflow.llm.secret_scan import BASE_RULES, Rule, redact_secrets, scan_versions, secret_report
 from stationflow.llm.token_counts import PieceCounts, count_tokens
 from stationflow.llm.url_filter import DigestIndex, blocked_hosts, filter_urls, with_host_path, write_index
@@ -132,6 +132,27 @@ def test_junk_up_to_nearly_half_of_a_source_is_rejected(llm, share):
     assert sorted(map(tuple, kept)) == sorted((r[0], r[3]) for r in rows if r[0] < 1000)
 
 
+def test_each_statistic_alone_rejects(llm):
+    import random
+
+    rng = random.Random(8)
+    assert abs(_quantile(1 - 1e-9, len(FEATURES)) - CUTOFF) < 0.01
+    kinds = {
+        "long words": lambda w: " ".join(x * 3 for x in w),
+        "symbols": lambda w: " ".join(x + "$" * (i % 4 == 0) for i, x in enumerate(w)),
+        "lines": "\n".join,
+        "repeats": lambda w: " ".join(w[:120] + w[:35]),
+        "capitals": lambda w: " ".join(x.upper() if i % 10 else x for i, x in enumerate(w)),
+        "marks": lambda w: " ".join(x + "," for x in w),
+    }
+    stems = "lorem ipsum dólor sit amet Eà tempor magna velit quis nulla esse".split()
+    made = [(i, prose(rng, 150, stems), "en", "s", 0) for i in range(400)]
+    made += [(1000 * k + i, f(prose(rng, 150, stems).split()), "en", "s", 0) for k, f in enumerate(kinds.values(), 1) for i in range(10)]
+    got = judge_quality(llm.createDataFrame(made, SCHEMA)).collect()
+    assert not any(r["base_failed"] for r in got)
+    assert {r["doc_id"] for r in got if r["kept"]} == set(range(400))
+
+
 def test_quality_keeps_clean_and_rejects_junk(llm, docs, rows, empty, clashing):
     import random
 
