@@ -5,13 +5,16 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from stationflow.llm.conversations import repair_conversations
 from stationflow.llm.decontaminate import find_benchmark
 from stationflow.llm.jaccard_join import jaccard_components
 from stationflow.llm.lattice_lm import score_documents
 from stationflow.llm.mixing import mix_sources
+from stationflow.llm.packing import pack_documents
 from stationflow.llm.quality_rules import judge_quality
 from stationflow.llm.secret_scan import secret_report
 from stationflow.llm.shared import ship_package
+from stationflow.llm.spelling import spelling_variants
 from stationflow.llm.substring_dedup import remove_repeated_windows
 from stationflow.llm.suffix_dedup import remove_repeated_bytes
 from stationflow.llm.token_counts import count_tokens
@@ -64,6 +67,18 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_benchmark(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_conversations(_table(spark, sf_dir, "conversations"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(_table(spark, sf_dir, "documents"))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -75,6 +90,9 @@ QUERIES = {
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
     "op10_decontamination": op10_decontamination,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_best_fit_packing": op13_best_fit_packing,
 }
 
 _HOST_PATH = """
