@@ -49,12 +49,16 @@ from stationflow.llm.shared import stored
 #: Costs of the edits (fixed values).
 REROLE, DELETE, INSERT, TRUNCATED = 2, 3, 2, 1
 #: Rows searched at a time.
-CHUNK = 64
+CHUNK = 16
 #: What the roles so far read: nothing, ``s``, ``..u`` or ``..a``.
 NOTHING, SYSTEM, USER, ASSISTANT = range(4)
 _INITIAL = {SYSTEM: "s", USER: "u", ASSISTANT: "a"}
 #: The state that a user's or assistant's row leads to.
 _TURN = {NOTHING: USER, SYSTEM: USER, USER: ASSISTANT, ASSISTANT: USER}
+#: The last initial read, as far as it matters to the next one, and the initial
+#: that follows an end (None: a conversation's).
+_READ = {NOTHING: "a", SYSTEM: "a", USER: "u", ASSISTANT: "a"}
+_THEN = {None: "u", NOTHING: "-", SYSTEM: "-", USER: "a", ASSISTANT: "u"}
 #: Inserts that end a conversation, from each state.
 _END = {NOTHING: 0, SYSTEM: 2, USER: 1, ASSISTANT: 0}
 LEGAL = {"su", "ua", "au"}
@@ -88,20 +92,32 @@ class Search:
 
     def __init__(self, rows: list[Row]) -> None:
         self.rows, self.n = rows, len(rows)
-        self.least = [0] * (self.n + 1)
-        follow = ""  # initial of the next row that need not go
+        # From each row on: costs that no edits avoid; neighbours of one role,
+        # among rows that need not go; the initials of the first and last of these.
+        self.forced, self.pairs, self.head = [0] * (self.n + 1), [0] * (self.n + 1), [""] * (self.n + 1)
+        self.tail = ""
         for i in range(self.n - 1, -1, -1):
-            r, cost = rows[i], 0
-            if r.gone:
-                cost = DELETE
-            else:
-                if r.initial not in "sua":
-                    cost = REROLE
-                elif r.initial in "ua" and r.initial == follow:
-                    cost = 1  # an edit of cost c mends at most c such pairs
-                cost += TRUNCATED * r.truncated
-                follow = r.initial
-            self.least[i] = self.least[i + 1] + cost
+            r = rows[i]
+            cost, pair, head = DELETE, 0, self.head[i + 1]
+            if not r.gone:
+                cost = TRUNCATED * r.truncated + REROLE * (r.initial not in "sua")
+                pair = r.initial in "ua" and r.initial == head
+                head = r.initial
+                self.tail = self.tail or head
+            self.forced[i], self.pairs[i], self.head[i] = self.forced[i + 1] + cost, self.pairs[i + 1] + pair, head
+
+    def estimate(self, i: int, state: int, end: int | None) -> int:
+        """No more than the edits from row i on cost. Beside the forced costs,
+        every edit costs two at least and mends at most two illegal pairs; what is
+        behind and what must follow the rows count as neighbours. To read nothing
+        (more), all rows go, but for one that may be kept as ``s``."""
+        if end in (NOTHING, SYSTEM):
+            kept = state != end
+            return DELETE * (self.n - i - kept) if state in (NOTHING, end) and i + kept <= self.n else _INFINITE
+        read, then = _READ[state], _THEN[end]
+        head = self.head[i]
+        pairs = self.pairs[i] + (read == (head or then)) + (head != "" and self.tail == then)
+        return self.forced[i] + 2 * ((pairs + 1) // 2)
 
     def steps(self, i: int, state: int, closing: bool) -> Iterator[tuple[str, int, int, int]]:
         """(initial, cost, next row, next state) of the edits, in ASCII order."""
@@ -134,7 +150,7 @@ class Search:
         """Cost and initials of the cheapest edits from ``state`` to ``end``
         (None: to the end of a conversation)."""
         accepting = {NOTHING, ASSISTANT} if end is None else {end}
-        closing, bound = end is None, self.least[0]
+        closing, bound = end is None, self.estimate(0, state, end)
         while True:
             failed: dict[tuple[int, int], int] = {}
             beyond = _INFINITE
@@ -147,9 +163,9 @@ class Search:
                     return bound - rest, "".join(path)
                 for edit, cost, j, then in steps:
                     left = rest - cost
-                    short = self.least[j] - left
+                    short = self.estimate(j, then, end) - left
                     if short > 0:
-                        beyond = min(beyond, bound + short)
+                        beyond = min(beyond, bound + short)  # the least cost that exceeds the bound
                     elif failed.get((j, then), -1) < left:
                         path.append(edit)
                         stack.append((j, then, left, self.steps(j, then, closing)))
