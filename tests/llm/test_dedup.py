@@ -10,7 +10,7 @@ import pytest
 from conftest_llm import UPPER, clashing, docs, empty, llm, rows, words  # noqa: F401
 from stationflow.llm.blocks import bucket_bits, pack, unpack
 from stationflow.llm.components import connected_components
-from stationflow.llm.jaccard_join import Scheme, drop_near_copies, jaccard_components, signatures
+from stationflow.llm.jaccard_join import Scheme, boundary, drop_near_copies, jaccard_components, prefix, subset_keys
 from stationflow.llm.substring_dedup import remove_repeated_windows
 from stationflow.llm.suffix_dedup import remove_repeated_bytes
 from stationflow.llm.text import sequence_hashes, word_hashes
@@ -123,8 +123,8 @@ def brute_sets(rows, n=3):
     return out
 
 
-def brute_components(rows):
-    sets = brute_sets(rows)
+def brute_components(rows, n=3, percent=90):
+    sets = brute_sets(rows, n)
     label = list(range(len(rows)))
 
     def find(i):
@@ -135,7 +135,7 @@ def brute_components(rows):
     for i, a in enumerate(sets):
         for j in range(i):
             b = sets[j]
-            if a and b and 100 * len(a & b) >= 90 * len(a | b):
+            if a and b and 100 * len(a & b) >= percent * len(a | b):
                 label[find(i)] = find(j)
     groups = defaultdict(list)
     for i in range(len(rows)):
@@ -147,7 +147,8 @@ def test_components_equal_brute_force(docs, rows):
     want = brute_components(rows)
     assert any(d != c for d, _, c in want)
     assert _sorted(jaccard_components(docs)) == want
-    # many blocks, and clusters dealt out in tiles of a few sets
+    assert _sorted(jaccard_components(docs, words=5, percent=80)) == brute_components(rows, 5, 80)
+    # many blocks, and lists dealt out in tiles of a few sets
     assert _sorted(jaccard_components(docs, block_bytes=20_000, tile_bytes=2_000)) == want
 
 
@@ -163,17 +164,56 @@ def test_small_sets_at_the_boundary(llm):
     assert _sorted(jaccard_components(df)) == brute_components(rows)
 
 
-def test_linked_sets_always_share_a_signature():
-    scheme, rng = Scheme(), np.random.default_rng(3)
-    assert scheme.light == 20
-    for n in [9, 10, 18, 19, 20, 21, 22, 23, 30, 47, 80, 200, 540]:
-        for _ in range(30):
-            a = np.unique(rng.integers(1, 2**63, n, dtype=np.uint64))
-            lost = int(rng.integers(0, scheme.spare(n) + 1))
-            b = np.unique(np.concatenate([a[lost:], rng.integers(1, 2**63, int(rng.integers(0, max(1, scheme.spare(n)) + 1)), dtype=np.uint64)]))
-            both = len(np.intersect1d(a, b))
-            if 100 * both >= 90 * (len(a) + len(b) - both):
-                assert np.intersect1d(signatures(a, scheme), signatures(b, scheme)).size, (n, lost)
+def test_linked_sets_always_meet():
+    rng = np.random.default_rng(3)
+    for percent in (80, 90):
+        scheme = Scheme(percent, 12)
+        for n in [4, 5, 9, 10, 11, 12, 13, 14, 15, 18, 19, 20, 21, 30, 47, 80, 200, 540]:
+            for _ in range(30):
+                a = np.unique(rng.integers(1, 2**63, n, dtype=np.uint64))
+                lost = int(rng.integers(0, scheme.spare(n) + 1))
+                b = np.unique(np.concatenate([a[lost:], rng.integers(1, 2**63, int(rng.integers(0, max(1, scheme.spare(n)) + 1)), dtype=np.uint64)]))
+                both = len(np.intersect1d(a, b))
+                if 100 * both < percent * (len(a) + len(b) - both):
+                    continue
+                sets_with = {int(x): int(rng.integers(1, 300)) for x in np.union1d(a, b)}
+                ends = [x[prefix(x, np.array([min(255, sets_with[int(y)]) for y in x], dtype=np.uint8), scheme)] for x in (a, b)]
+                lists = scheme.enters_lists(len(a)) and scheme.enters_lists(len(b))
+                subsets = scheme.lists_subsets(len(a)) and scheme.lists_subsets(len(b))
+                assert lists or subsets
+                assert not lists or np.intersect1d(*ends).size, (n, lost)
+                assert not subsets or np.intersect1d(subset_keys(a, scheme), subset_keys(b, scheme)).size, (n, lost)
+
+
+def test_boundary_follows_the_lists():
+    short, long = {n: (10, 10) for n in range(1, 25)}, {n: (10, 10**9) for n in range(1, 25)}
+    assert boundary(short, 90) == 1  # nothing is gained by subsets
+    assert boundary(long, 90) == 24 and 10 < boundary(long, 80) < 20  # 80: subsets become too many
+    assert boundary({}, 80) == 1
+
+
+@pytest.mark.parametrize(("words", "percent"), [(3, 90), (5, 80)])
+def test_similar_but_unlinked_texts(llm, words, percent):
+    """Texts over one template, each a quarter its own: all of one list, no link
+    but a few; sent bytes stay in proportion to the texts."""
+    import random
+
+    rng = random.Random(5)
+    template = [f"t{i}" for i in range(80)]
+
+    def text(i):
+        w = list(template)
+        for at in rng.sample(range(16), 2):
+            w[at * 5] = f"own{i}x{at}"
+        return " ".join(w)
+
+    rows = [(i, text(i), "en", "s", 0) for i in range(300)]
+    rows += [(1000 + i, rows[i][1] + f" tail{i}", "en", "s", 0) for i in range(0, 300, 10)]
+    df = llm.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    want = brute_components(rows, words, percent)
+    assert any(c != d for d, _, c in want) and len({c for *_, c in want}) > 250
+    assert _sorted(jaccard_components(df, words=words, percent=percent)) == want
+    assert _sorted(jaccard_components(df, words=words, percent=percent, block_bytes=20_000, tile_bytes=30_000)) == want
 
 
 def test_near_copies_odd_inputs(llm, empty, clashing, rows):
