@@ -16,16 +16,25 @@ from stationflow import operators as op
 from stationflow.functions.columns import month_label
 from stationflow.plans import reports
 from stationflow.schema import CONNECTIONS, FILE, FILE_NAME, MONTH, STATION
-from stationflow.sources.files import new_shared_folder, write_trip_files
+from stationflow.sources.files import delete_folder, new_shared_folder, write_trip_files
+from stationflow.sources.rejected import LINE, REASON, split_trip_files
 from stationflow.sources.trips import (
     parse_trip_json,
     project_trips,
     read_trip_files,
+    trip_records,
     trip_records_from_lineitem,
     trip_records_json,
     trips_from_lineitem,
 )
-from stationflow.streaming import read_trip_stream, start_incremental_stats, stored_station_stats
+from stationflow.streaming import (
+    read_trip_stream,
+    refresh_station_table,
+    refreshed_station_stats,
+    running_totals,
+    start_incremental_stats,
+    stored_station_stats,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -86,6 +95,76 @@ def _stream_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stats.groupBy(MONTH, STATION).agg(F.expr(f"sum({CONNECTIONS}) AS {CONNECTIONS}"))
 
 
+def _mixed_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips of one folder that holds every second month plainly and the others
+    in parts, read by one scan."""
+    folder = new_shared_folder(spark, "mixed-layout")
+    trips = _trips(spark, sf_dir)
+    plain = f"coalesce(CAST({MONTH} AS INT), 0) % 2 = 1"
+    write_trip_files(trips.where(f"NOT ({plain})"), folder)
+    _write_plain_files(trips.where(plain), folder)
+    return read_trip_files(spark, folder).drop(FILE_NAME)
+
+
+def _write_plain_files(trips: DataFrame, folder: str) -> None:
+    """One plain file ``<name>.json`` for each file name: written as a part each,
+    then renamed (the input's months are few)."""
+    spark = trips.sparkSession
+    staging = new_shared_folder(spark, "plain-files")
+    trip_records(trips).withColumnRenamed(FILE_NAME, "name").repartition("name").write.partitionBy("name").json(staging)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(staging).getFileSystem(spark._jsc.hadoopConfiguration())
+    for part in system.globStatus(path(f"{staging}/name=*/*.json")):
+        name = part.getPath().getParent().getName().removeprefix("name=")
+        if not system.rename(part.getPath(), path(f"{folder}/{name}.json")):
+            raise OSError(f"{folder}/{name}.json could not be written")
+
+
+def _rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejected lines of trip files in which some lines are cut short, lack a
+    field or hold text for a number."""
+    records = trip_records_from_lineitem(spark, sf_dir)
+    read = trip_records_json(project_trips(records)).withColumn("r", F.expr("from_json(value, 'travel_time long, idunplug_station long, idplug_station long')"))
+    lines = read.withColumn("k", F.expr("(7 * r.travel_time + 13 * r.idunplug_station + r.idplug_station) % 97"))
+    damaged = lines.selectExpr(
+        FILE_NAME,
+        "CASE k WHEN 0 THEN left(value, length(value) - 1) WHEN 1 THEN replace(value, '\"travel_time\":', '\"travel_time\":\"x\",\"t\":')"
+        " WHEN 2 THEN replace(value, 'idplug_station', 'station') ELSE value END AS value",
+    )
+    folder = new_shared_folder(spark, "damaged-lines")
+    damaged.withColumnRenamed(FILE_NAME, "file").write.partitionBy("file").text(folder)
+    return split_trip_files(spark, folder, glob="*.txt").rejected.select(MONTH, LINE, REASON)
+
+
+# Months that come shortened first and whole later, and one that goes.
+_REDELIVERED_FROM, _REMOVED = "199601", "199808"
+
+
+def _refreshed_folder(spark: SparkSession, sf_dir: str) -> str:
+    """A station table refreshed twice: from a first delivery, in which later
+    months hold few trips, then after these came again and one month went."""
+    base = new_shared_folder(spark, "refreshed")
+    trips = _trips(spark, sf_dir)
+    later = F.coalesce(F.col(MONTH) >= F.lit(_REDELIVERED_FROM), F.lit(False))
+    write_trip_files(trips.where(~later | (F.col("user_type") <= 2)), f"{base}/files")
+    refresh_station_table(spark, f"{base}/files", f"{base}/table")
+    whole = trip_records(trips.where(later)).withColumnRenamed(FILE_NAME, "file")
+    whole.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("file").json(f"{base}/files")
+    delete_folder(spark, f"{base}/files/file={_REMOVED}")
+    refresh_station_table(spark, f"{base}/files", f"{base}/table")
+    return f"{base}/table"
+
+
+def _refreshed_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Connections per file of the refreshed station table."""
+    return op.connections_of(refreshed_station_stats(spark, _refreshed_folder(spark, sf_dir)))
+
+
+def _running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals over all files that ran along with the refreshes."""
+    return running_totals(spark, _refreshed_folder(spark, sf_dir))
+
+
 def _split_lists(spark: SparkSession, sf_dir: str, rounded: bool = False) -> DataFrame:
     return op.split_connection_lists(op.connection_lists(_ends(spark, sf_dir)), rounded=rounded)
 
@@ -99,6 +178,8 @@ def _labels_only(query: Query) -> Query:
 _QUERIES: dict[str, Query] = {
     # sources and projections
     "scan_trip_files": _scan_trip_files,
+    "scan_mixed_layout": _mixed_layout,
+    "rejected_lines": _rejected_lines,
     "parse_trip_json": lambda s, d: parse_trip_json(trip_records_json(_trips(s, d))),
     "project_trips": lambda s, d: project_trips(trip_records_from_lineitem(s, d), with_user=False),
     "project_trips_with_user": lambda s, d: project_trips(trip_records_from_lineitem(s, d)),
@@ -130,6 +211,8 @@ _QUERIES: dict[str, Query] = {
     "station_times_annual": lambda s, d: op.station_times(_annual_ends(s, d), rounded=True),
     "union_months": _union_months,
     "stream_connections": _stream_connections,
+    "refreshed_connections": _refreshed_connections,
+    "running_totals": _running_totals,
     # per-file rankings (Q1, Q3, Q7, Q2, Q4, Q8)
     "top_times_raw": lambda s, d: reports.top_times(_trips(s, d), user_type=None, rounded=False),
     "top_times_rounded": lambda s, d: reports.top_times(_trips(s, d), user_type=None, rounded=True),
@@ -351,3 +434,22 @@ LIMIT 20""",
 }
 ORACLE_SQL["json_top_connections_annual"] = ORACLE_SQL["top_connections_annual"]
 ORACLE_SQL["json_total_connections_all"] = ORACLE_SQL["total_connections_all"]
+
+ORACLE_SQL["scan_mixed_layout"] = _with(_TRIPS) + "SELECT month, travel_time, origin, destination, user_type FROM trips"
+
+# The damage done to the lines of ``rejected_lines``, and what is said of it.
+ORACLE_SQL["rejected_lines"] = _with(_TRIPS) + """SELECT month,
+       CASE k WHEN 0 THEN line[:-2] WHEN 1 THEN replace(line, '"travel_time":', '"travel_time":"x","t":')
+              ELSE replace(line, 'idplug_station', 'station') END AS line,
+       CASE k WHEN 0 THEN 'malformed' WHEN 1 THEN 'wrong type: travel_time' ELSE 'lacks: idplug_station' END AS reason
+FROM (SELECT month, (7 * travel_time + 13 * origin + destination) % 97 AS k,
+             '{"travel_time":' || travel_time || ',"idunplug_station":' || origin || ',"idplug_station":' || destination || ',"user_type":' || user_type || '}' AS line
+      FROM trips) x
+WHERE k < 3"""
+_KEPT = f"kept AS (SELECT * FROM trips WHERE month IS DISTINCT FROM '{_REMOVED}')"
+ORACLE_SQL["refreshed_connections"] = _with(_TRIPS, _KEPT, _ends_cte("kept"), _conn_cte()) + "SELECT * FROM conn"
+ORACLE_SQL["running_totals"] = _with(_TRIPS, _KEPT, _ends_cte("kept"), _role_means_cte(True), _direction_means("kept", True)) + f"""
+SELECT a.station, a.connections, a.mean_time, b.time_from, b.time_to
+FROM (SELECT station, {_rnd('avg(connections)')} AS connections, {_rnd(f'avg({_MID})')} AS mean_time FROM rm GROUP BY station) a
+LEFT JOIN (SELECT station, {_rnd('avg(time_from)')} AS time_from, {_rnd('avg(time_to)')} AS time_to FROM times GROUP BY station) b
+  ON a.station IS NOT DISTINCT FROM b.station"""

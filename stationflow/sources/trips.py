@@ -27,6 +27,7 @@ from stationflow.schema import (
     TRIP_SCHEMA,
     USER_TYPE,
 )
+from stationflow.sources.manifest import LISTED_THROUGH, belongs, input_roots, is_trip_file
 
 _FIELDS = {
     TRAVEL_TIME: FIELD_TRAVEL_TIME,
@@ -92,20 +93,25 @@ def read_trip_files(
     same record schema (``fmt="parquet"``). ``schema`` may widen a field
     type (for example a DOUBLE ``travel_time``) but keeps the field names.
     ``options`` go to the reader as they are (for example ``encoding``).
-    Only the files directly in ``path`` are read, not those of
-    subfolders."""
+    A folder may hold plain files and ``file=<name>`` directories side by side;
+    files of other subfolders are not read."""
     glob = trip_file_glob(fmt, glob)
-    reader = spark.read.schema(schema).options(**(options or {}))
+    reader = spark.read.schema(schema).options(**LISTED_THROUGH, **(options or {}))
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     paths = [path] if isinstance(path, str) else list(path)
+    roots = input_roots(spark, paths)
     if fmt == "json":
         raw = reader.option("mode", mode).json(paths)
     else:
         raw = reader.parquet(*paths)
-    if glob and not raw.inputFiles() and spark.read.format("binaryFile").load(paths).inputFiles():
+    if glob and not _any_trip_file(roots, raw) and _any_trip_file(roots, spark.read.format("binaryFile").options(**LISTED_THROUGH).load(paths)):
         raise ValueError(f"no file in {', '.join(paths)} matches {glob}")
-    return label_trip_records(raw, schema=schema, with_user=with_user, strict=strict)
+    return label_trip_records(raw.where(belongs(roots)), schema=schema, with_user=with_user, strict=strict)
+
+
+def _any_trip_file(roots: list[str], scan: DataFrame) -> bool:
+    return any(is_trip_file(roots, f) for f in scan.inputFiles())
 
 
 def label_trip_records(

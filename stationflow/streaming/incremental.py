@@ -25,7 +25,9 @@ from stationflow.operators.ends import filter_user_type, trip_ends
 from stationflow.operators.stations import merge_station_sums, station_stats_of_sums, station_sums
 from stationflow.plans.reports import VARIANTS, ordered, original_layout, variant_reports
 from stationflow.schema import TOP_PER_FILE, TOP_TOTAL, TRIP_SCHEMA
+from stationflow.sources.manifest import LISTED_THROUGH, belongs, input_roots
 from stationflow.sources.trips import _BY_FORMAT, label_trip_records, trip_file_glob
+from stationflow.streaming.snapshots import publish_reports
 
 BATCH = "batch"
 # Files are read however old they are: monthly archives copied with their
@@ -51,7 +53,7 @@ def read_trip_stream(
     left out for its age."""
     glob = trip_file_glob(fmt, glob)
     reader = spark.readStream.schema(schema).option("maxFileAge", _MAX_FILE_AGE)
-    reader = reader.options(**(options or {})).option("mode", mode)
+    reader = reader.options(**LISTED_THROUGH, **(options or {})).option("mode", mode)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
@@ -60,6 +62,7 @@ def read_trip_stream(
         raw = reader.json(path)
     else:
         raw = reader.parquet(path)
+    raw = raw.where(belongs(input_roots(spark, [path])))
     return label_trip_records(raw, schema=schema, with_user=with_user, strict=strict)
 
 
@@ -121,6 +124,7 @@ def start_incremental_reports(
     k_file: int = TOP_PER_FILE,
     k_total: int = TOP_TOTAL,
     original_headers: bool = False,
+    snapshots: bool = False,
     available_now: bool = False,
     processing_time: str | None = None,
 ) -> StreamingQuery:
@@ -128,14 +132,16 @@ def start_incremental_reports(
     and after every batch the variant's reports are recomputed from the
     stored per-file table (files x stations rows, never the trips) and
     written to ``reports_path/<report>``, replacing the previous version
-    (in the original table layout with ``original_headers``)."""
+    (in the original table layout with ``original_headers``). With ``snapshots``
+    they are published as a version instead, which readers see whole or not at
+    all (:func:`published_reports`)."""
     spark = trips.sparkSession
     append = per_file_stats_writer(table_path, user_type=VARIANTS[variant]["user_type"])
 
     def write(batch: DataFrame, batch_id: int) -> None:
         append(batch, batch_id)
         write_reports(
-            spark, table_path, reports_path, variant=variant, k_file=k_file, k_total=k_total, original_headers=original_headers
+            spark, table_path, reports_path, variant=variant, k_file=k_file, k_total=k_total, original_headers=original_headers, snapshots=snapshots
         )
 
     return _start(trips, write, table_path, checkpoint_path, available_now, processing_time)
@@ -150,15 +156,20 @@ def write_reports(
     k_file: int = TOP_PER_FILE,
     k_total: int = TOP_TOTAL,
     original_headers: bool = False,
+    snapshots: bool = False,
 ) -> None:
-    """The variant's reports from the stored table, replacing earlier ones.
-    Nothing is written while the table is empty."""
+    """The variant's reports from the stored table, replacing earlier ones, or
+    published as a new version. Nothing is written while the table is empty."""
     if not _holds(spark, table_path, "parquet"):
         return
     stats = stored_station_stats(spark, table_path)
-    for name, report in variant_reports(stats, variant, k_file=k_file, k_total=k_total).items():
-        if original_headers:
-            report = original_layout(ordered(report))
+    reports = variant_reports(stats, variant, k_file=k_file, k_total=k_total)
+    if original_headers:
+        reports = {name: original_layout(ordered(report)) for name, report in reports.items()}
+    if snapshots:
+        publish_reports(spark, reports_path, reports)
+        return
+    for name, report in reports.items():
         report.write.mode("overwrite").parquet(f"{reports_path.rstrip('/')}/{name}")
 
 
