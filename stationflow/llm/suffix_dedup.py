@@ -1,4 +1,10 @@
-"""Removal of repeated byte strings by distributed prefix doubling.
+"""Removal of repeated byte strings by ranked suffixes and one doubling.
+
+The dealt method, distributed prefix doubling, ranks position pairs at offsets 1, 2,
+4, ... until unique or past the threshold. Ranking every byte so moves many times
+the text, so this module keeps its first step and one doubling, on phrases instead
+of bytes, and lets hashes of whole strings decide past the threshold: with phrases
+of some 48 bytes a pair is already half a string of L bytes. The result is the same.
 
 Suffixes are ranked at the places that repeats must share, not at every byte.
 Each window of W bytes names its anchor, the place of the smallest hash in it,
@@ -9,7 +15,7 @@ From anchor to anchor the text is cut into phrases.
 * Rank 0: Spark sorts all (anchor, phrase) pairs by hash range; equal phrases
   get one rank, unique phrases none. An anchor without a rank is dropped: no
   string of L bytes through it repeats.
-* Doubling: pairs (rank of an anchor's phrase, rank one phrase on) are sorted
+* One doubling: pairs (rank of an anchor's phrase, rank one phrase on) are sorted
   and ranked again, which compares twice the length; unique pairs are dropped.
 * Past the threshold: equal pairs are told apart by the bytes that all windows
   of the run share, then by all bytes that any window of the run covers. Where
