@@ -1,4 +1,5 @@
 from stationflow.operators.ends import filter_user_type, trip_ends
+from stationflow.operators.list_chunks import connection_list_chunks
 from stationflow.operators.rank import top_k, top_k_per_file
 from stationflow.operators.stations import (
     avg_time_from,
@@ -25,6 +26,7 @@ from stationflow.operators.totals import total_connections, total_times, union_m
 __all__ = [
     "avg_time_from",
     "avg_time_to",
+    "connection_list_chunks",
     "connection_lists",
     "connections",
     "connections_of",

@@ -38,6 +38,9 @@ from stationflow.streaming import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Most elements of a chunk in ``connection_list_chunks``.
+_CHUNK_SIZE = 25
+
 # Months of the first of two separately processed batches in ``union_months``.
 _FIRST_BATCH_BEFORE = "199807"
 # Files per micro-batch read by the stream query.
@@ -165,6 +168,13 @@ def _running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return running_totals(spark, _refreshed_folder(spark, sf_dir))
 
 
+def _list_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Connection lists in chunks, each shown as ``other:time`` in order."""
+    chunks = op.connection_list_chunks(op.connection_lists(_ends(spark, sf_dir)), size=_CHUNK_SIZE)
+    shown = "concat_ws(',', transform(elements, e -> concat(e.other_station, ':', e.travel_time))) AS elements"
+    return chunks.selectExpr(FILE, FILE_NAME, MONTH, STATION, "role", "chunk", "CAST(size(elements) AS BIGINT) AS length", shown)
+
+
 def _split_lists(spark: SparkSession, sf_dir: str, rounded: bool = False) -> DataFrame:
     return op.split_connection_lists(op.connection_lists(_ends(spark, sf_dir)), rounded=rounded)
 
@@ -196,6 +206,7 @@ _QUERIES: dict[str, Query] = {
     "connections_all": lambda s, d: op.connections(_ends(s, d)),
     "connections_annual": lambda s, d: op.connections(_annual_ends(s, d)),
     "connection_lists": lambda s, d: op.connection_lists(_ends(s, d)),
+    "connection_list_chunks": _list_chunks,
     "split_connection_lists": _split_lists,
     "split_connection_lists_rounded": lambda s, d: _split_lists(s, d, rounded=True),
     "list_role_means": lambda s, d: op.list_role_means(_split_lists(s, d)),
@@ -368,6 +379,12 @@ FROM trips GROUP BY file_name, month, destination""",
     "connection_lists": _with(_TRIPS, _ends_cte("trips"))
     + """SELECT file_name, month, station, role, other_station, travel_time, count(*) AS n
 FROM ends GROUP BY file_name, month, station, role, other_station, travel_time""",
+    "connection_list_chunks": _with(_TRIPS, _ends_cte("trips"))
+    + f"""SELECT file_name, month, station, role, chunk, count(*) AS length,
+       string_agg(other_station || ':' || travel_time, ',' ORDER BY place) AS elements
+FROM (SELECT *, (place - 1) // {_CHUNK_SIZE} AS chunk
+      FROM (SELECT *, row_number() OVER (PARTITION BY file_name, month, station, role ORDER BY other_station, travel_time) AS place FROM ends))
+GROUP BY file_name, month, station, role, chunk""",
     "split_connection_lists": _with(_TRIPS, _SPLIT) + "SELECT * FROM split",
     "split_connection_lists_rounded": _with(_TRIPS, _SPLIT)
     + "SELECT * REPLACE (CAST(round_even(travel_time, 0) AS BIGINT) AS travel_time) FROM split",
