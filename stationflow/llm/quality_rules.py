@@ -7,8 +7,10 @@ the present estimate, the bin of the h-quantile per group (counts of binned
 distances, so no group is ever sorted or gathered), then moments of the rows
 within it. h is half of the group, so the estimate holds until outliers are
 nearly half; a last step takes the moments of all rows within a chi-square
-quantile of it. A group's rows meet only in partial sums, so a group that holds
-a third of all rows costs no more per task than any other. Small groups share an
+quantile of it. What is known of a group (one row) goes to its rows, by broadcast
+up to a measured size and by a salted join beyond, so rows are never shuffled by
+their group: they meet only in partial sums, and a group that holds a third of
+all rows costs no more per task than any other. Small groups share an
 estimate with the other small groups of their language, and very small languages
 one estimate together. Rows far out by Mahalanobis distance are rejected.
 
@@ -42,6 +44,11 @@ FLOORS = {"f_chars": 0.05, "f_symbols": 0.25, "f_dups": 0.08, "f_repeats": 0.08,
 #: six statistics.
 CUTOFF = 53.34
 FEATURES = tuple(FLOORS)
+#: Bytes of a table of groups up to which it is broadcast, and the number of
+#: parts that the rows of a group are dealt into where it is not.
+MOST_BROADCAST_BYTES, SALTS = 16 << 20, 64
+#: A group's estimate: six means and 36 entries of its precision, with their heads.
+_GROUP_BYTES = 512
 _BINS_PER_OCTAVE = 64
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -114,7 +121,28 @@ def _transformed(stats: DataFrame) -> DataFrame:
     )
 
 
-def _grouped(stats: DataFrame, least: int) -> DataFrame:
+def _is_small(groups: DataFrame, most: int) -> bool:
+    """Whether a table of one row per group (stored before) may be broadcast."""
+    names = [F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in groups.dtypes if kind == "string"]
+    return (groups.agg(F.sum(sum(names, F.lit(_GROUP_BYTES)))).first()[0] or 0) <= most
+
+
+def _with_group(rows: DataFrame, groups: DataFrame, small: bool, how: str = "inner", keys: dict[str, str] | None = None) -> DataFrame:
+    """Rows with what ``groups`` knows of their group. ``keys``: null-safe pairs
+    of a column of rows and one of groups (default: ``g``)."""
+    pairs = keys or {"g": "_g"}
+    if keys is None:
+        groups = groups.withColumnRenamed("g", "_g")
+    same = [f"{a} <=> {b}" for a, b in pairs.items()]
+    if small:
+        return rows.join(F.broadcast(groups), F.expr(" and ".join(same)), how).drop(*pairs.values())
+    dealt = rows.withColumn("_salt", F.expr(f"pmod(xxhash64({', '.join(f'`{c}`' for c in rows.columns)}), {SALTS})"))
+    each = groups.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    joined = dealt.join(each.hint("merge"), F.expr(" and ".join(["_salt = _part", *same])), how)
+    return joined.drop("_salt", "_part", *pairs.values())
+
+
+def _grouped(stats: DataFrame, least: int, most_broadcast: int) -> DataFrame:
     """Adds ``g``, the group whose estimate a row is judged by."""
     own = F.concat(F.coalesce(F.concat(F.lit("l"), "lang"), F.lit("-")), F.lit("\x00"), F.coalesce(F.concat(F.lit("s"), "source"), F.lit("-")))
     of_lang = F.concat(F.coalesce(F.concat(F.lit("l"), "lang"), F.lit("-")), F.lit("\x00*"))
@@ -122,8 +150,8 @@ def _grouped(stats: DataFrame, least: int) -> DataFrame:
     small = counts.withColumn("g", F.when(F.col("n") >= least, own).otherwise(of_lang))
     pooled = small.groupBy("g").agg(F.sum("n").alias("m"))
     named = small.join(pooled, "g").withColumn("g", F.when(F.col("m") >= least, F.col("g")).otherwise(F.lit("*")))
-    named = named.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), "g")
-    return stats.join(named, F.expr("lang <=> _l and source <=> _s"), "left").drop("_l", "_s")
+    named = stored(named.select(F.col("lang").alias("_l"), F.col("source").alias("_s"), "g"), "quality-groups")
+    return _with_group(stats, named, _is_small(named, most_broadcast), "left", {"lang": "_l", "source": "_s"})
 
 
 def _squared(features: tuple[str, ...]) -> str:
@@ -190,7 +218,10 @@ def _chi_square(p: int) -> tuple[np.ndarray, np.ndarray]:
     return x, x ** (p / 2 - 1) * np.exp(-x / 2)
 
 
-def robust_estimates(rows: DataFrame, *, features: tuple[str, ...] = FEATURES, floors: list[float] | None = None, keep: float = KEEP, steps: int = STEPS) -> DataFrame:
+def robust_estimates(
+    rows: DataFrame, *, features: tuple[str, ...] = FEATURES, floors: list[float] | None = None, keep: float = KEEP, steps: int = STEPS,
+    most_broadcast: int = MOST_BROADCAST_BYTES,
+) -> DataFrame:
     """``g, mu, pr``: the estimate of each group of ``rows`` (columns ``g`` and
     the features; equal rows count once), stored after each step so that lineage
     stays short."""
@@ -198,41 +229,46 @@ def robust_estimates(rows: DataFrame, *, features: tuple[str, ...] = FEATURES, f
     rows = stored(rows.select("g", *features).distinct(), "mcd-rows")
     middle = [F.percentile_approx(f, 0.5, 1000).alias(f"m{i}") for i, f in enumerate(features)]
     start = stored(rows.groupBy("g").agg(*middle), "mcd-start")
+    # One row per group here and in every later step.
+    small = _is_small(start, most_broadcast)
     spread = [
         F.percentile_approx(F.abs(F.col(f) - F.col(f"m{i}")), 0.5, 1000).alias(f"a{i}") for i, f in enumerate(features)
     ]
-    scale = rows.join(start, "g").groupBy("g").agg(*spread).join(start, "g")
+    scale = _with_group(rows, start, small).groupBy("g").agg(*spread).join(start, "g")
     p = len(features)
     var = [f"(pow(1.4826 * a{i}, 2) + pow({fl}, 2))" for i, fl in enumerate(floors)]
     pr = ", ".join(f"1 / {var[i]}" if i == j else "0d" for i in range(p) for j in range(p))
     now = stored(scale.selectExpr("g", f"array({', '.join(f'm{i}' for i in range(p))}) as mu", f"array({pr}) as pr"), "mcd-0")
+    bins = f"cast(floor({_BINS_PER_OCTAVE} * log2(1e-6 + {_squared(features)})) as int)"
     for step in range(steps):
-        bins = f"cast(floor({_BINS_PER_OCTAVE} * log2(1e-6 + {_squared(features)})) as int)"
-        placed = rows.join(now, "g").withColumn("_bin", F.expr(bins))
-        counts = placed.groupBy("g", "_bin").agg(F.count("*").alias("c"))
+        counts = _with_group(rows, now, small).withColumn("_bin", F.expr(bins)).groupBy("g", "_bin").agg(F.count("*").alias("c"))
         # A group has at most a few thousand bins, whatever its number of rows.
         upto = counts.selectExpr("g", "_bin", "sum(c) over (partition by g order by _bin) as u", "sum(c) over (partition by g) as t")
         edge = upto.where(f"u >= {keep} * t").groupBy("g").agg(F.min("_bin").alias("_edge"))
-        inner = placed.join(edge, "g").where("_bin <= _edge").groupBy("g").agg(*_moments(features))
+        bounded = stored(now.join(edge, "g"), f"mcd-edge-{step}")
+        inner = _with_group(rows, bounded, small).where(f"{bins} <= _edge").groupBy("g").agg(*_moments(features))
         now = stored(_estimates(inner, floors, keep), f"mcd-{step + 1}")
-    near = rows.join(now, "g").where(f"{_squared(features)} <= {_quantile(REWEIGHT, p)}")
+    near = _with_group(rows, now, small).where(f"{_squared(features)} <= {_quantile(REWEIGHT, p)}")
     return stored(_estimates(near.groupBy("g").agg(*_moments(features)), floors, REWEIGHT), "mcd-reweighted")
 
 
-def _judged(documents: DataFrame, cutoff: float, least_group: int) -> DataFrame:
+def _judged(documents: DataFrame, cutoff: float, least_group: int, most_broadcast: int = MOST_BROADCAST_BYTES) -> DataFrame:
     base = f"n_words < {LEAST_WORDS} or 100 * n_repeat_words > {MOST_REPEATED_PERCENT} * n_words"
     stats = stored(_transformed(with_statistics(documents)).withColumn("base_failed", F.expr(base)), "quality-statistics")
-    rows = _grouped(stats, least_group)
-    estimates = robust_estimates(rows.where("not base_failed").select("g", *FEATURES))
-    judged = rows.join(estimates, "g", "left").withColumn("distance", F.when(~F.col("base_failed"), F.expr(_squared(FEATURES))))
+    rows = _grouped(stats, least_group, most_broadcast)
+    estimates = robust_estimates(rows.where("not base_failed").select("g", *FEATURES), most_broadcast=most_broadcast)
+    judged = _with_group(rows, estimates, _is_small(estimates, most_broadcast), "left")
+    judged = judged.withColumn("distance", F.when(~F.col("base_failed"), F.expr(_squared(FEATURES))))
     return judged.withColumn("kept", ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= cutoff))
 
 
-def judge_quality(documents: DataFrame, *, cutoff: float = CUTOFF, least_group: int = LEAST_GROUP) -> DataFrame:
+def judge_quality(
+    documents: DataFrame, *, cutoff: float = CUTOFF, least_group: int = LEAST_GROUP, most_broadcast: int = MOST_BROADCAST_BYTES
+) -> DataFrame:
     """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, kept, distance`` per row (distance squared; null if the base
     rule failed)."""
-    return _judged(documents, cutoff, least_group).select(
+    return _judged(documents, cutoff, least_group, most_broadcast).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "distance"
     )
 
