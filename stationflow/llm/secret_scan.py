@@ -17,29 +17,37 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stationflow.llm.shared import fresh
+from stationflow.sources import new_shared_folder
 
 
 @dataclass(frozen=True)
 class Rule:
     """Leftmost non-overlapping matches of ``pattern`` whose ``group`` has at
-    least ``least`` characters. ``version`` changes when the rule does."""
+    least ``least`` characters. ``version`` changes when the rule does.
+    ``screen`` matches every text that has a finding; other texts are not cut."""
 
     kind: str
     pattern: str
     group: int = 0
     least: int = 1
     version: str = "1"
+    screen: str = ""
 
 
-#: Base rules (patterns fixed by the contract).
+_ASSIGN = r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+#: Base rules (patterns fixed by the contract). A run that is too short for
+#: ``access`` or ``hex`` holds no later start that is long enough, so the least
+#: length stands in the pattern; an ``assign`` match that is dropped for its
+#: length still takes its characters, so there it stands in the screen only.
 BASE_RULES = (
-    Rule("assign", r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 2, 6),
-    Rule("access", r"AKIA[A-Z0-9]+", 0, 20),
-    Rule("hex", r"[0-9a-f]+", 0, 24),
+    Rule("assign", _ASSIGN, 2, 6, screen=_ASSIGN.removesuffix("+)") + "{6,})"),
+    Rule("access", r"AKIA[A-Z0-9]{16,}", 0, 20),
+    Rule("hex", r"[0-9a-f]{24,}", 0, 24),
 )
 #: Further public formats of credentials (fixed values).
 MORE_RULES = (
@@ -51,6 +59,8 @@ MORE_RULES = (
 RULES = BASE_RULES + MORE_RULES
 LEDGER_SCHEMA = "blob string, kind string, version string"
 FINDING_SCHEMA = "blob string, kind string, version string, start long, stop long"
+#: Batches that a report scans its table in, one after the other.
+BATCHES = 2
 
 
 def with_blob(versions: DataFrame, text: str = "text") -> DataFrame:
@@ -79,7 +89,7 @@ def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
     none = F.array().cast("array<int>")
     cuts = []
     for r in rules:
-        due = F.array_contains("todo", f"{r.kind}:{r.version}") & body.rlike(r.pattern)
+        due = F.array_contains("todo", f"{r.kind}:{r.version}") & body.rlike(r.screen or r.pattern)
         cuts.append(
             F.struct(
                 F.lit(r.kind).alias("kind"),
@@ -91,7 +101,7 @@ def scan_blobs(blobs: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
             )
         )
     found = (
-        blobs.where(" or ".join(["false"] + [f"body rlike {_quoted(r.pattern)}" for r in rules]))
+        blobs.where(" or ".join(["false"] + [f"body rlike {_quoted(r.screen or r.pattern)}" for r in rules]))
         .select("blob", F.explode(F.array(*cuts)).alias("c"))
         .where(F.exists("c.good", lambda x: x))
         .select("blob", "c.kind", "c.version", F.posexplode(F.arrays_zip("c.gaps", "c.lens", "c.good")).alias("i", "m"))
@@ -123,15 +133,66 @@ def scan_versions(
     addressed = with_blob(versions, text)
     due = unseen_blobs(addressed, rules, ledger)
     new = scan_blobs(due, rules)
-    done = due.select("blob", F.explode("todo").alias("t")).select(
-        "blob", F.substring_index("t", ":", 1).alias("kind"), F.expr("substring(t, locate(':', t) + 1)").alias("version")
-    )
-    current = " or ".join(f"(kind = '{r.kind}' and version = '{r.version}')" for r in rules)
-    every = new if findings is None else findings.where(current).select(*new.columns).unionByName(new)
+    done = _pairs(due)
+    every = new if findings is None else findings.where(_current(rules)).select(*new.columns).unionByName(new)
     known = done if ledger is None else ledger.select("blob", "kind", "version").unionByName(done)
     return addressed.drop("_body"), every, known
 
 
+def _pairs(due: DataFrame) -> DataFrame:
+    """The ledger's rows for blobs that are scanned."""
+    return due.select("blob", F.explode("todo").alias("t")).select(
+        "blob", F.substring_index("t", ":", 1).alias("kind"), F.expr("substring(t, locate(':', t) + 1)").alias("version")
+    )
+
+
+def _current(rules: tuple[Rule, ...]) -> str:
+    return " or ".join(f"(kind = '{r.kind}' and version = '{r.version}')" for r in rules)
+
+
+def _stored_rows(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    schema = f"{schema}, run long"
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException:  # no run yet
+        return spark.createDataFrame([], schema)
+
+
+def stored_ledger(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(ledger, findings) of the complete runs under ``path``, with their run."""
+    ledger = _stored_rows(spark, f"{path}/ledger", LEDGER_SCHEMA)
+    last = ledger.agg(F.max("run")).first()[0] or 0
+    return ledger, _stored_rows(spark, f"{path}/findings", FINDING_SCHEMA).where(F.col("run") <= last)
+
+
+def scan_into_ledger(versions: DataFrame, path: str, rules: tuple[Rule, ...] = RULES, *, text: str = "text") -> None:
+    """Scan the (blob, rule, version) pairs of ``versions`` that the ledger under
+    ``path`` lacks and add them to it. A run writes its findings, then its ledger
+    rows, which complete it: a run that was killed before is unknown and the next
+    one takes its number and overwrites its findings. Runs must not overlap."""
+    spark = versions.sparkSession
+    ledger, _ = stored_ledger(spark, path)
+    run = (ledger.agg(F.max("run")).first()[0] or 0) + 1
+    due = unseen_blobs(with_blob(versions, text), rules, ledger)
+    scan_blobs(due, rules).write.mode("overwrite").parquet(f"{path}/findings/run={run}")
+    _pairs(due).write.mode("overwrite").parquet(f"{path}/ledger/run={run}")
+
+
+def findings_through_ledger(
+    versions: DataFrame, rules: tuple[Rule, ...] = RULES, *, ledger_path: str | None = None, batches: int = BATCHES
+) -> DataFrame:
+    """All findings of the present rules after ``versions`` (columns ``doc_id``
+    and ``text``) were scanned through the ledger, in batches of whole documents;
+    a blob of an earlier batch or run is not scanned again. Without
+    ``ledger_path`` the ledger is a new one in the shared folder."""
+    spark = versions.sparkSession
+    path = ledger_path or new_shared_folder(spark, "secret-ledger")
+    for i in range(batches):
+        batch = versions if batches == 1 else versions.where(F.pmod(F.xxhash64("doc_id"), F.lit(batches)) == i)
+        scan_into_ledger(batch, path, rules)
+    return stored_ledger(spark, path)[1].where(_current(rules)).drop("run")
+
+
 def spans_by_blob(findings: DataFrame, rules: tuple[Rule, ...] = RULES, base: int = len(BASE_RULES)) -> DataFrame:
     """Per blob: counts of the base kinds and the spans as text, ordered by
     start and then as the rules are listed. A group is one text's findings."""
@@ -146,9 +207,14 @@ def spans_by_blob(findings: DataFrame, rules: tuple[Rule, ...] = RULES, base: in
     )
 
 
-def secret_report(documents: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """``doc_id, n_assign, n_access, n_hex, base_sha256, spans`` per row."""
-    addressed, findings, _ = scan_versions(documents.select("doc_id", "text"), rules)
+def secret_report(
+    documents: DataFrame, rules: tuple[Rule, ...] = RULES, *, ledger_path: str | None = None, batches: int = BATCHES
+) -> DataFrame:
+    """``doc_id, n_assign, n_access, n_hex, base_sha256, spans`` per row, from
+    the findings that the ledger holds after the scan."""
+    versions = documents.select("doc_id", "text")
+    findings = findings_through_ledger(versions, rules, ledger_path=ledger_path, batches=batches)
+    addressed = with_blob(versions)
     per_blob = spans_by_blob(findings, rules).drop("found")
     counts = [F.coalesce(f"n_{r.kind}", F.lit(0)).cast("long").alias(f"n_{r.kind}") for r in rules[: len(BASE_RULES)]]
     digest = F.sha2(F.coalesce("base_spans", F.lit("")).cast("binary"), 256)
@@ -157,10 +223,12 @@ def secret_report(documents: DataFrame, rules: tuple[Rule, ...] = RULES) -> Data
     )
 
 
-def redact_secrets(documents: DataFrame, rules: tuple[Rule, ...] = RULES, *, mark: str = "[secret]") -> DataFrame:
+def redact_secrets(
+    documents: DataFrame, rules: tuple[Rule, ...] = RULES, *, mark: str = "[secret]", ledger_path: str | None = None, batches: int = BATCHES
+) -> DataFrame:
     """Documents with every found span replaced by ``mark`` (overlapping spans
     as one) and ``n_chars`` counted again; rows without findings stay as they are."""
-    _, findings, _ = scan_versions(documents.select("text"), rules)
+    findings = findings_through_ledger(documents.select("doc_id", "text"), rules, ledger_path=ledger_path, batches=batches)
     before = "max(stop) over (partition by blob order by start, stop rows between unbounded preceding and 1 preceding)"
     opened = findings.selectExpr("blob", "start", "stop", f"coalesce(cast(start >= {before} as int), 1) as opens")
     numbered = opened.selectExpr("blob", "start", "stop", "sum(opens) over (partition by blob order by start, stop rows between unbounded preceding and current row) as part")
