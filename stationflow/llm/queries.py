@@ -120,8 +120,12 @@ with words as (
   union all
   select 'b', item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') from benchmark),
 sh as (
-  select distinct kind, id, unnest(case when len(w) >= 5 then list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))
-                                        when len(w) > 0 then [array_to_string(w, ' ')] else [] end) as s from words),
+  select distinct kind, id, unnest(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i+4], ' '))) as s from words where len(w) >= 5
+  union all
+  select distinct kind, id, array_to_string(w, ' ') from words where kind = 'b' and len(w) between 1 and 4
+  union all
+  select distinct 'd', id, unnest(list_transform(range(1, len(w) - n + 2), lambda i: array_to_string(w[i:i+n-1], ' '))) as s
+  from words, (select distinct len(w) as n from words where kind = 'b' and len(w) between 1 and 4) where kind = 'd' and len(w) >= n),
 n as (select id, count(*) as n_item from sh where kind = 'b' group by id)
 select d.id as doc_id, b.id as item_id, n.n_item, count(*) as n_shared, count(*) / n.n_item as containment
 from sh d join sh b on d.s = b.s and d.kind = 'd' and b.kind = 'b' join n on n.id = b.id
