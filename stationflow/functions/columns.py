@@ -60,12 +60,17 @@ def file_key_sql(path: str = "_metadata.file_path") -> str:
     ``_metadata`` paths come URL-encoded (a space shows as ``%20``).
     ``url_decode`` would also turn a literal ``+`` into a space, so ``+`` is
     protected as ``%2B`` first; paths without any escape are kept as they
-    are. Directory names are escaped once more by the partition writer."""
+    are. Directory names are escaped once more by the partition writer.
+
+    The expression runs once per trip, so the directory is found by string
+    functions from the path's end, without a regular expression."""
     def decoded(x: str) -> str:
         return f"CASE WHEN contains({x}, '%') THEN url_decode(replace({x}, '+', '%2B')) ELSE {x} END"
 
-    whole = f"regexp_extract({path}, '^(.*/{FILE_DIR}[^/]+)/[^/]*$', 1)"
-    return f"CASE WHEN {whole} = '' THEN {decoded(path)} ELSE {decoded(f'({decoded(whole)})')} END"
+    steps = f"substring_index({path}, '/', -2)"
+    in_parts = f"startswith({steps}, '{FILE_DIR}') AND NOT startswith({steps}, '{FILE_DIR}/')"
+    whole = f"substring({path}, 1, length({path}) - length(substring_index({path}, '/', -1)) - 1)"
+    return f"CASE WHEN {in_parts} THEN {decoded(f'({decoded(whole)})')} ELSE {decoded(path)} END"
 
 
 def file_name_sql(file: str) -> str:
