@@ -28,6 +28,7 @@ from stationflow.sources.trips import (
     trips_from_lineitem,
 )
 from stationflow.streaming import (
+    compact_station_table,
     read_trip_stream,
     refresh_station_table,
     refreshed_station_stats,
@@ -168,6 +169,13 @@ def _running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return running_totals(spark, _refreshed_folder(spark, sf_dir))
 
 
+def _compacted_connections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Connections per file after the slices of two refreshes became one."""
+    table = _refreshed_folder(spark, sf_dir)
+    compact_station_table(spark, table, fan_in=2)
+    return op.connections_of(refreshed_station_stats(spark, table))
+
+
 def _list_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Connection lists in chunks, each shown as ``other:time`` in order."""
     chunks = op.connection_list_chunks(op.connection_lists(_ends(spark, sf_dir)), size=_CHUNK_SIZE)
@@ -223,6 +231,7 @@ _QUERIES: dict[str, Query] = {
     "union_months": _union_months,
     "stream_connections": _stream_connections,
     "refreshed_connections": _refreshed_connections,
+    "compacted_connections": _compacted_connections,
     "running_totals": _running_totals,
     # per-file rankings (Q1, Q3, Q7, Q2, Q4, Q8)
     "top_times_raw": lambda s, d: reports.top_times(_trips(s, d), user_type=None, rounded=False),
@@ -465,6 +474,7 @@ FROM (SELECT month, (7 * travel_time + 13 * origin + destination) % 97 AS k,
 WHERE k < 3"""
 _KEPT = f"kept AS (SELECT * FROM trips WHERE month IS DISTINCT FROM '{_REMOVED}')"
 ORACLE_SQL["refreshed_connections"] = _with(_TRIPS, _KEPT, _ends_cte("kept"), _conn_cte()) + "SELECT * FROM conn"
+ORACLE_SQL["compacted_connections"] = ORACLE_SQL["refreshed_connections"]
 ORACLE_SQL["running_totals"] = _with(_TRIPS, _KEPT, _ends_cte("kept"), _role_means_cte(True), _direction_means("kept", True)) + f"""
 SELECT a.station, a.connections, a.mean_time, b.time_from, b.time_to
 FROM (SELECT station, {_rnd('avg(connections)')} AS connections, {_rnd(f'avg({_MID})')} AS mean_time FROM rm GROUP BY station) a

@@ -43,6 +43,14 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def partition_values(spark: SparkSession, path: str, column: str) -> list[int]:
+    """The integer values of a table's ``column=<value>`` folders, in order."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    found = target.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(target)
+    names = [s.getPath().getName().partition("=") for s in found]
+    return sorted(int(value) for name, _, value in names if name == column and value.isdigit())
+
+
 def write_trip_files(trips: DataFrame, folder: str, *, fmt: str = "json") -> str:
     """Write trips as trip files into ``folder`` and return it.
 

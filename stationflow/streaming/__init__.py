@@ -6,10 +6,17 @@ from stationflow.streaming.incremental import (
     stored_station_stats,
     write_reports,
 )
-from stationflow.streaming.ledger import folder_changes, refresh_station_table, refreshed_station_stats, running_totals
+from stationflow.streaming.ledger import (
+    compact_station_table,
+    folder_changes,
+    refresh_station_table,
+    refreshed_station_stats,
+    running_totals,
+)
 from stationflow.streaming.snapshots import publish_reports, published_reports
 
 __all__ = [
+    "compact_station_table",
     "folder_changes",
     "per_file_stats_writer",
     "publish_reports",

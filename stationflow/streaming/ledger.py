@@ -15,7 +15,14 @@ however many files there are.
 A run writes its sums under ``sums/run=<n>`` and totals under ``totals/run=<n>``,
 then its ledger rows under ``ledger/run=<n>``, which is what completes it: a run that was killed before is
 unknown to readers, and the next one overwrites its slice. Runs of one table must
-not overlap."""
+not overlap.
+
+``compact_station_table`` merges slices by levels: as many slices of one order of
+magnitude (counted in files that they still hold) as the fan-in become one, so after
+any number of refreshes each order has fewer slices than that. A compaction is a run
+like any other: merged sums, totals, then a ledger of all files that says which slice
+holds each. Killed before its ledger, it leaves the table as it was. What it replaces
+stays until the next one, for readers that planned before it."""
 
 from __future__ import annotations
 
@@ -27,22 +34,32 @@ from stationflow.functions.columns import half_even_sql
 from stationflow.operators.ends import filter_user_type, trip_ends
 from stationflow.operators.stations import connections_with_time_of, station_stats_of_sums, station_sums, station_times_of
 from stationflow.schema import CONNECTIONS, FILE, MEAN_TIME, STATION, TIME_FROM, TIME_TO, TRIP_SCHEMA
-from stationflow.sources.files import new_shared_folder
+from stationflow.sources.files import delete_folder, new_shared_folder, partition_values
 from stationflow.sources.manifest import LISTED_THROUGH, literal_path, trip_file_manifest
 from stationflow.sources.trips import _BY_FORMAT, label_trip_records, trip_file_glob
 
 RUN = "run"
-_LEDGER = f"{FILE} string, print string, gone boolean, {RUN} long"
+SLICE = "slice"
+_LEDGER = f"{FILE} string, print string, gone boolean, {SLICE} long, {RUN} long"
+#: Slices of one order of magnitude that are merged into one.
+FAN_IN = 8
 
 
 def _ledger(spark: SparkSession, table_path: str) -> DataFrame:
-    """The last complete run's entry of each file."""
+    """The last complete run's entry of each file, with the slice that holds the
+    file's sums: the run's own, unless a compaction names another. Entries from
+    before the last compaction, which lists all files, are not read."""
     try:
         rows = spark.read.schema(_LEDGER).parquet(f"{table_path}/ledger")
     except AnalysisException:  # no run yet
         rows = spark.createDataFrame([], _LEDGER)
-    last = rows.groupBy(FILE).agg(F.max(F.struct(RUN, "print", "gone")).alias("last"))
-    return last.select(FILE, "last.*")
+    last = rows.where(F.col(RUN) >= _compacted(rows)).groupBy(FILE).agg(F.max(F.struct(RUN, "print", "gone", SLICE)).alias("last"))
+    return last.select(FILE, "last.*").withColumn(SLICE, F.coalesce(SLICE, RUN))
+
+
+def _compacted(rows: DataFrame) -> int:
+    """The run of the last compaction (0: none)."""
+    return rows.where(F.col(SLICE).isNotNull()).agg(F.max(RUN)).first()[0] or 0
 
 
 def folder_changes(spark: SparkSession, folder: str | list[str], table_path: str, *, glob: str | None = None) -> DataFrame:
@@ -116,7 +133,7 @@ def _totals(spark: SparkSession, table_path: str, changes: DataFrame, run: int,
     last = known.agg(F.max(RUN)).first()[0]
     if last:
         parts.append(spark.read.schema(_STATE).parquet(f"{table_path}/totals/{RUN}={last}"))
-        before = known.where("NOT gone").join(changes.select(FILE), FILE, "left_semi").select(F.col(FILE).alias("_file"), F.col(RUN).alias("_run"))
+        before = known.where("NOT gone").join(changes.select(FILE), FILE, "left_semi").select(F.col(FILE).alias("_file"), F.col(SLICE).alias("_run"))
         runs = [r["_run"] for r in before.select("_run").distinct().collect()]
         if runs:
             sums = spark.read.parquet(f"{table_path}/sums").where(F.col(RUN).isin(runs))
@@ -144,7 +161,73 @@ def running_totals(spark: SparkSession, table_path: str) -> DataFrame:
 def refreshed_station_stats(spark: SparkSession, table_path: str) -> DataFrame:
     """The per-file station table (as ``station_stats`` gives it) of the files
     that the last complete run saw."""
-    live = _ledger(spark, table_path).where("NOT gone").select(F.col(FILE).alias("_file"), F.col(RUN).alias("_run"))
-    sums = spark.read.option("mergeSchema", "false").parquet(f"{table_path}/sums")
-    current = sums.join(live, (F.col(FILE) == F.col("_file")) & (F.col(RUN) == F.col("_run")), "left_semi")
-    return station_stats_of_sums(current.drop(RUN))
+    return station_stats_of_sums(_live_sums(spark, table_path, _ledger(spark, table_path).where("NOT gone")))
+
+
+def _live_sums(spark: SparkSession, table_path: str, files: DataFrame) -> DataFrame:
+    """Stored sums of those entries of the ledger."""
+    live = files.select(F.col(FILE).alias("_file"), F.col(SLICE).alias("_run"))
+    slices = [r["_run"] for r in live.select("_run").distinct().collect()]  # few, other slices are not opened
+    if not slices:
+        return spark.read.parquet(f"{table_path}/sums").where("false").drop(RUN)
+    sums = spark.read.option("mergeSchema", "false").parquet(f"{table_path}/sums").where(F.col(RUN).isin(slices))
+    return sums.join(live, (F.col(FILE) == F.col("_file")) & (F.col(RUN) == F.col("_run")), "left_semi").drop(RUN)
+
+
+# --- compaction -------------------------------------------------------------------
+
+
+def slices_to_merge(files: dict[int, int], fan_in: int = FAN_IN) -> list[int]:
+    """Slices to merge, given the files that each still holds: those of the lowest
+    order of magnitude (to the base of the fan-in) that has ``fan_in`` of them, and
+    of higher ones that the merged slice would fill up in turn."""
+    def order(n: int) -> int:
+        return next(i for i in range(n.bit_length() + 1) if n < fan_in ** (i + 1))
+
+    chosen: list[int] = []
+    for level in sorted({order(n) for n in files.values()}):
+        own = [s for s in sorted(files) if order(files[s]) == level]
+        merged = order(sum(files[s] for s in chosen)) if chosen else -1
+        if len(own) + (merged == level) >= fan_in:
+            chosen += own
+        elif chosen and merged <= level:
+            break
+    return chosen
+
+
+def compact_station_table(spark: SparkSession, table_path: str, *, fan_in: int = FAN_IN) -> int:
+    """Merge small slices of the table; gives the number of slices merged (0:
+    there was nothing to do). Results don't change."""
+    if fan_in < 2:
+        raise ValueError("fan_in must be 2 or more")
+    live = _ledger(spark, table_path).where("NOT gone")
+    # One row per slice: fewer than fan_in of each order, and those since the last compaction.
+    files = {r[SLICE]: r["n"] for r in live.groupBy(SLICE).agg(F.count(F.lit(1)).alias("n")).collect()}
+    chosen = slices_to_merge(files, fan_in)
+    if not chosen:
+        return 0
+    last = _ledger(spark, table_path).agg(F.max(RUN)).first()[0]
+    run = last + 1
+    moved = F.col(SLICE).isin(chosen)
+    merged = _live_sums(spark, table_path, live.where(moved)).hint("rebalance")
+    merged.write.mode("overwrite").parquet(f"{table_path}/sums/{RUN}={run}")
+    totals = spark.read.schema(_STATE).parquet(f"{table_path}/totals/{RUN}={last}")
+    totals.write.mode("overwrite").parquet(f"{table_path}/totals/{RUN}={run}")
+    noted = live.select(FILE, "print", "gone", F.when(moved, F.lit(run)).otherwise(F.col(SLICE)).alias(SLICE))
+    noted.write.mode("overwrite").parquet(f"{table_path}/ledger/{RUN}={run}")
+    _drop_replaced(spark, table_path, set(files), run)
+    return len(chosen)
+
+
+def _drop_replaced(spark: SparkSession, table_path: str, live: set[int], run: int) -> None:
+    """Remove what no reader needs since the compaction before this one: slices
+    that held no file any more when this one began, ledgers and totals before that
+    one. Ledgers go oldest first, so a removal that breaks off revives no file."""
+    for old in partition_values(spark, f"{table_path}/sums", RUN):
+        if old < run and old not in live:
+            delete_folder(spark, f"{table_path}/sums/{RUN}={old}")
+    before = _compacted(spark.read.schema(_LEDGER).parquet(f"{table_path}/ledger").where(F.col(RUN) < run))
+    for part in ("ledger", "totals"):
+        for old in partition_values(spark, f"{table_path}/{part}", RUN):
+            if old < before:
+                delete_folder(spark, f"{table_path}/{part}/{RUN}={old}")

@@ -11,6 +11,7 @@ from stationflow import operators as op
 from stationflow import plans
 from stationflow.sources import read_trip_files, rejected_counts, split_trip_files
 from stationflow.streaming import (
+    compact_station_table,
     publish_reports,
     published_reports,
     read_trip_stream,
@@ -127,6 +128,66 @@ def test_only_changed_files_are_opened(spark, tmp_path):
     assert refreshed_station_stats(spark, table).select("file").distinct().count() == 4
 
 
+# --- compaction -----------------------------------------------------------------------
+
+
+def test_slices_stay_few_per_order():
+    """Two hundred refreshes of one or a few files, compacted after each."""
+    slices = {}
+    for run in range(1, 201):
+        slices[2 * run] = 1 + run % 3
+        chosen = ledger.slices_to_merge(slices, 4)
+        if chosen:
+            slices[2 * run + 1] = sum(slices.pop(s) for s in chosen)
+        orders = [next(i for i in range(20) if n < 4 ** (i + 1)) for n in slices.values()]
+        assert max(map(orders.count, orders)) < 4, (run, slices)
+    assert sum(slices.values()) == sum(1 + run % 3 for run in range(1, 201))
+    assert ledger.slices_to_merge({}) == [] and ledger.slices_to_merge({1: 5}, 2) == []
+
+
+def test_compaction_changes_nothing(spark, tmp_path, monkeypatch):
+    folder, table, merged = str(tmp_path / "in"), str(tmp_path / "table"), []
+    os.makedirs(folder)
+    for i in range(9):
+        write_files(folder, {f"2018{i + 1:02}_u.json": [(i + 1, 1, 2, 1), (i, 2, 3, 1)]})
+        if i in (4, 6):
+            os.remove(os.path.join(folder, f"2018{i:02}_u.json"))
+        if i == 5:
+            write_files(folder, {"201801_u.json": [(7, 1, 3, 1)]})  # delivered again
+        refresh_station_table(spark, folder, table)
+        before = _set(refreshed_station_stats(spark, table))
+        if i == 1:  # killed after the merged sums, before the ledger
+            monkeypatch.setattr(ledger, "_STATE", "no schema at all")
+            with pytest.raises(Exception, match="(?i)parse|syntax"):
+                compact_station_table(spark, table, fan_in=2)
+            monkeypatch.undo()
+            assert "run=3" in os.listdir(f"{table}/sums") and _set(refreshed_station_stats(spark, table)) == before
+        planned = refreshed_station_stats(spark, table)
+        merged.append(compact_station_table(spark, table, fan_in=2))
+        assert _set(planned) == before == _set(refreshed_station_stats(spark, table))
+        assert refresh_station_table(spark, folder, table) == {"read": 0, "gone": 0}
+        _same_as_batch(spark, folder, table)
+    assert merged[:2] == [0, 2] and sum(n > 0 for n in merged) >= 4
+    stored = {part: len(os.listdir(os.path.join(table, part))) for part in ("sums", "totals", "ledger")}
+    assert all(n <= 8 for n in stored.values()), stored
+    with pytest.raises(ValueError, match="fan_in"):
+        compact_station_table(spark, table, fan_in=1)
+
+
+def test_a_gone_file_stays_gone(spark, tmp_path):
+    folder, table = write_files(tmp_path / "in", FIXTURE_FILES), str(tmp_path / "table")
+    refresh_station_table(spark, folder, table)
+    os.remove(os.path.join(folder, NAMES[0]))
+    for i in range(5):
+        write_files(folder, {f"20190{i + 1}_n.json": [(4, 1, 2, 1)]})
+        refresh_station_table(spark, folder, table)
+        compact_station_table(spark, table, fan_in=2)
+        _same_as_batch(spark, folder, table)
+    write_files(folder, {NAMES[0]: FIXTURE_FILES[NAMES[0]]})
+    assert refresh_station_table(spark, folder, table) == {"read": 1, "gone": 0}
+    _same_as_batch(spark, folder, table)
+
+
 # --- published reports ----------------------------------------------------------------
 
 
