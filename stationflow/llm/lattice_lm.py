@@ -28,6 +28,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -179,13 +180,17 @@ def score_documents(documents: DataFrame, vocabulary_path: str, *, block_bytes:
 
     def judged(block: int, docs: Rows, words: pa.Table) -> pa.Table:
         ids, texts = docs.ids, docs.texts
-        log10 = math.log10
-        base = {w: (log10((c + 1) / floor), c > 0, p) for w, c, p in zip(words["word"].to_pylist(), words["c"].to_pylist(), words["p"].to_pylist(), strict=True)}
-        rows = []
+        number = {w: i for i, w in enumerate(words["word"].to_pylist())}
+        c, p = words["c"].to_numpy(), words["p"].to_numpy()
+        base, known = np.log10((c + 1) / floor), c > 0
+        n_tokens, n_known, base_score, score = [], [], [], []
         for text in texts:
-            own = [base[t] for t in tokens(text)]
-            rows.append((len(own), sum(x[1] for x in own), math.fsum(x[0] for x in own), math.fsum(x[2] for x in own)))
-        n_tokens, n_known, base_score, score = zip(*rows, strict=True) if rows else ([],) * 4
+            found = tokens(text)
+            own = np.fromiter(map(number.__getitem__, found), np.int64, len(found))
+            n_tokens.append(len(own))
+            n_known.append(int(np.count_nonzero(known[own])))
+            base_score.append(math.fsum(base[own].tolist()))
+            score.append(math.fsum(p[own].tolist()))
         return pa.table({
             "doc_id": pa.array(ids, id_arrow),
             "held_out": pa.array([held_out(i) for i in ids], pa.bool_()),

@@ -8,6 +8,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -485,6 +486,44 @@ def test_scores(llm, docs, rows, empty, clashing):
     assert score_documents(empty, PIECES).count() == 0
 
 
+def test_score_against_brute_force(llm, docs, rows):
+    """Piece counts from the training words' own segmentation, smoothed, then the
+    sum over all segmentations of every whole document, redone plainly."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    train = [words((r[1] or "").translate(UPPER)) for r in rows if zlib.crc32(str(r[0]).encode()) % 7 != 2]
+    seen = Counter(i for ws in train for w in ws for i in sp.encode(w))
+    ids = [i for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
+    spell = {int(sp.id_to_piece(i)[3:5], 16): seen[i] + 1 for i in ids if sp.is_byte(i)}
+    pieces = {sp.id_to_piece(i): seen[i] + 1 for i in ids if not sp.is_byte(i) and "▁" not in sp.id_to_piece(i)[1:]}
+    total = sum(pieces.values()) + sum(spell.values()) + len(train) + 1
+
+    def word_log(word):
+        """Summed as exact fractions over the word's prefixes."""
+        text = "▁" + word
+        ways = [Fraction(1)] + [Fraction(0)] * len(text)
+        for j in range(1, len(text) + 1):
+            for i in range(j):
+                if text[i:j] in pieces:
+                    ways[j] += ways[i] * Fraction(pieces[text[i:j]], total)
+            if text[j - 1] not in pieces:
+                ways[j] += ways[j - 1] * math.prod(Fraction(spell[b], total) for b in text[j - 1].encode())
+        return (math.log(ways[-1].numerator) - math.log(ways[-1].denominator)) / math.log(10)
+
+    got = {r["doc_id"]: r["score"] for r in score_documents(docs, PIECES, block_bytes=20_000).collect()}
+    logs = {}
+    for d, text, *_ in rows:
+        own = words((text or "").translate(UPPER))
+        if any(len(w) > 60 for w in own):  # exact fractions of one very long word grow without end
+            continue
+        for w in own:
+            if w not in logs:
+                logs[w] = word_log(w)
+        assert got[d] == pytest.approx(math.fsum(logs[w] for w in own) + math.log10((len(train) + 1) / total), rel=1e-9), d
+    assert len(logs) > 50
+
+
 def test_model_prefers_the_text_it_was_trained_on(llm):
     """Held-out prose of the corpus scores higher per word than shuffled letters."""
     import random
