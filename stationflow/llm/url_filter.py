@@ -6,7 +6,9 @@ sorted order, offsets, and the full key strings. Workers memory-map the file,
 probe all candidate keys of a batch by one vectorised binary search, and
 confirm every hit against the stored string, so colliding digests never decide.
 Spark ships the file to each executor (``addFile``) after its size was checked
-against a bound; beyond the bound the same keys are joined by shuffle instead.
+against a bound. A longer block list is cut into digest ranges of about that bound:
+the distinct hosts and parent domains of the pages go to the task of their range,
+which maps that range's part of the array and probes it in the same way.
 
 Defined cases: a null url or one without ``://`` has empty host and path, fits
 no rule and is allowed; an empty path starts with no rule path; of fitting rules
@@ -27,6 +29,8 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stationflow.llm.shared import stored
+
 ALLOW, BLOCK = "allow", "block"
 #: Rules of the contract: verdict by host and path prefix (fixed values).
 RULES = (("com/", ALLOW), ("example.com/en/", BLOCK), ("www.example.com/en/", ALLOW), ("net/es/", BLOCK), ("net/fr/", BLOCK))
@@ -34,6 +38,8 @@ RULES = (("com/", ALLOW), ("example.com/en/", BLOCK), ("www.example.com/en/", AL
 BLOCKED_LABELS = ("adult-x", "ads-track", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 #: Bytes of keys up to which the index goes to every executor as a file.
 MOST_INDEX_BYTES = 64 << 20
+#: Seed of the digests, that of Spark's own ``xxhash64``, so that both agree on ranges.
+_SEED = 42
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -62,27 +68,33 @@ def blocked_hosts(parsed: DataFrame, labels: tuple[str, ...] = BLOCKED_LABELS) -
 def _digests(keys: list[bytes]) -> np.ndarray:
     import xxhash
 
-    return np.fromiter((xxhash.xxh64_intdigest(k) for k in keys), dtype=np.uint64, count=len(keys))
+    return np.fromiter((xxhash.xxh64_intdigest(k, seed=_SEED) for k in keys), dtype=np.uint64, count=len(keys))
 
 
-def write_index(keys: list[bytes], path: str) -> None:
+def index_bytes(keys: list[bytes]) -> bytes:
     """The sorted digest array with its full strings."""
     digests = _digests(keys)
     order = np.argsort(digests, kind="stable")
     ends = np.cumsum([0, *(len(keys[i]) for i in order)], dtype=np.uint64)
+    return b"".join((np.uint64(len(keys)).tobytes(), digests[order].tobytes(), ends.tobytes(), *(keys[i] for i in order)))
+
+
+def write_index(keys: list[bytes], path: str) -> None:
     with open(path, "wb") as f:
-        f.write(np.uint64(len(keys)).tobytes())
-        f.write(digests[order].tobytes())
-        f.write(ends.tobytes())
-        f.write(b"".join(keys[i] for i in order))
+        f.write(index_bytes(keys))
 
 
 class DigestIndex:
-    """A memory-mapped index; :meth:`contains` probes many keys at once."""
-
-    def __init__(self, path: str) -> None:
-        with open(path, "rb") as f:
-            self.map = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
+    """A memory-mapped index, of a file or of bytes that a task has built;
+    :meth:`contains` probes many keys at once."""
+
+    def __init__(self, index: str | bytes) -> None:
+        if isinstance(index, bytes):
+            self.map = mmap.mmap(-1, len(index))
+            self.map.write(index)
+        else:
+            with open(index, "rb") as f:
+                self.map = mmap.mmap(f.fileno(), 0, access=mmap.ACCESS_READ)
         n = int(np.frombuffer(self.map, np.uint64, 1)[0])
         self.digests = np.frombuffer(self.map, np.uint64, n, 8)
         self.ends = np.frombuffer(self.map, np.uint64, n + 1, 8 + 8 * n)
@@ -136,8 +148,10 @@ def filter_urls(
     schema = f"page_id {kind}, host string, path string, rule string, verdict string"
     size = 0 if block_list is None else block_list.agg(F.sum(F.octet_length("key") + 16)).first()[0] or 0
     if size > most_index_bytes:
-        return _by_shuffle(parsed, block_list, verdicts, lengths)
-    listed = [] if block_list is None else [r[0].encode() for r in block_list.collect()]  # size checked above
+        parsed, listed = _with_listed(parsed, block_list, size, most_index_bytes), []
+    else:
+        parsed = parsed.withColumn("listed", F.lit(False))
+        listed = [] if block_list is None else [r[0].encode() for r in block_list.where("key IS NOT NULL").collect()]  # size checked above
     name = f"url-index-{uuid.uuid4().hex}"
     with tempfile.TemporaryDirectory() as folder:
         write_index(sorted({*listed, *(r.encode() for r in verdicts)}), os.path.join(folder, name))
@@ -157,11 +171,11 @@ def filter_urls(
             flat = [k for own in keys for k in own]
             hit = iter(index.contains([k.encode("utf-8", "surrogatepass") for k in flat]).tolist())
             rule, verdict = [], []
-            for own in keys:
+            for own, blocked in zip(keys, batch.column(3).to_pylist(), strict=True):
                 fits = [k for k in own if next(hit)]
                 best = next((k for k in fits if k in verdicts), None)
                 rule.append(best)
-                verdict.append(verdicts[best] if best else BLOCK if fits else ALLOW)
+                verdict.append(verdicts[best] if best else BLOCK if fits or blocked else ALLOW)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), batch.column(2), pa.array(rule, pa.string()), pa.array(verdict, pa.string())],
                 ["page_id", "host", "path", "rule", "verdict"],
@@ -170,21 +184,25 @@ def filter_urls(
     return parsed.mapInArrow(judged, schema)
 
 
-def _by_shuffle(parsed: DataFrame, block_list: DataFrame, verdicts: dict[str, str], lengths: list[int]) -> DataFrame:
-    """The same verdicts with a block list of any size: listed hosts are found
-    by a join over distinct hosts, the few rules stay expressions."""
+def _with_listed(parsed: DataFrame, block_list: DataFrame, size: int, most: int) -> DataFrame:
+    """Adds whether the host or a parent domain is on a block list of any size.
+    Hosts and domains are probed once each, in the task of their digest range."""
     parents = F.expr("transform(sequence(1, size(l)), i -> concat_ws('.', slice(l, i, size(l))))")
     hosts = parsed.select("host").where("host <> ''").distinct().withColumn("l", F.split("host", r"\."))
-    hit = (
-        hosts.select("host", F.explode(parents).alias("key")).join(block_list.distinct(), "key", "left_semi").select("host").distinct()
-        .withColumn("listed", F.lit(True))
-    )
-    best = F.lit(None).cast("string")
-    for rule in sorted(verdicts, key=lambda r: (len(r), r.index("/"))):
-        host, path = rule[: rule.index("/")], rule[rule.index("/") :]
-        fits = ((F.col("host") == host) | F.col("host").endswith("." + host)) & F.col("path").startswith(path)
-        best = F.when(fits, F.lit(rule)).otherwise(best)
-    named = F.create_map(*[F.lit(x) for pair in verdicts.items() for x in pair])
-    return parsed.join(hit, "host", "left").withColumn("rule", best).select(
-        "page_id", "host", "path", "rule", F.coalesce(named[F.col("rule")], F.when(F.col("listed"), BLOCK), F.lit(ALLOW)).alias("verdict")
-    )
+    domains = stored(hosts.select("host", F.explode(parents).alias("key")), "url-domains")
+    probes = domains.select("key").distinct()
+    asked = probes.agg(F.sum(F.octet_length("key") + 16)).first()[0] or 0
+    bits = (max(size, asked) // most).bit_length() if most else 4
+    span = F.shiftrightunsigned(F.xxhash64("key"), 64 - bits) if bits else F.lit(0).cast("long")
+
+    def probed(_: tuple[pa.Scalar, ...], keys: pa.Table, asked: pa.Table) -> pa.Table:
+        own = asked["key"].to_pylist()
+        if not own or not keys.num_rows:
+            return asked.select(["key"]).slice(0, 0)
+        index = DigestIndex(index_bytes([k.encode("utf-8", "surrogatepass") for k in keys["key"].to_pylist()]))
+        return asked.select(["key"]).filter(pa.array(index.contains([k.encode("utf-8", "surrogatepass") for k in own])))
+
+    ranged = [df.select(span.alias("span"), "key").groupBy("span") for df in (block_list.select("key").where("key IS NOT NULL").distinct(), probes)]
+    found = ranged[0].cogroup(ranged[1]).applyInArrow(probed, "key string")
+    hit = domains.join(found, "key", "left_semi").select("host").distinct().withColumn("listed", F.lit(True))
+    return parsed.join(hit, "host", "left").select("page_id", "host", "path", F.coalesce("listed", F.lit(False)).alias("listed"))

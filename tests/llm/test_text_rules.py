@@ -383,6 +383,22 @@ def brute_url(url):
     return host, path, None, "block" if set(host.split(".")) & set(url_filter.BLOCKED_LABELS) else "allow"
 
 
+def test_long_block_list_in_digest_ranges(llm):
+    """Several ranges on both sides, listed parent domains, keys that are null,
+    repeated or of no page; a third of the pages lie on one host."""
+    listed = [f"bad{i}.org" for i in range(0, 900, 3)] + ["evil.net", "evil.net", None, "", "nobody.xyz"]
+    hosts = [f"www{i % 7}.bad{i}.org" for i in range(900)] + ["sub.evil.net"] * 450 + ["evil.net.org", "xevil.net", "é.bad3.org"]
+    pages = llm.createDataFrame([(i, f"https://{h}/p/{i}") for i, h in enumerate(hosts)] + [(9999, None)], "page_id long, url string")
+    block = llm.createDataFrame([(k,) for k in listed], "key string")
+    want = {i for i, h in enumerate(hosts) if any(".".join(h.split(".")[j:]) in listed for j in range(h.count(".") + 1))}
+    for bound in (1 << 20, 2_000, 200):
+        rows = filter_urls(pages, block, most_index_bytes=bound).collect()
+        assert len(rows) == len(hosts) + 1 and {r["page_id"] for r in rows if r["verdict"] == "block"} == want, bound
+    keys = [h for h in hosts if h]
+    own = [r[0] & (2**64 - 1) for r in llm.createDataFrame([(k,) for k in keys], "key string").select(F.xxhash64("key")).collect()]
+    assert own == url_filter._digests([k.encode() for k in keys]).tolist()
+
+
 @pytest.mark.parametrize("bound", [url_filter.MOST_INDEX_BYTES, 0])
 def test_urls_equal_brute_force(llm, bound):
     pages = llm.createDataFrame([(i, u, 7) for i, u in enumerate(URLS * 2)], "page_id long, url string, host int")
