@@ -152,6 +152,28 @@ def test_components_equal_brute_force(docs, rows):
     assert _sorted(jaccard_components(docs, block_bytes=20_000, tile_bytes=2_000)) == want
 
 
+def test_keys_exchanged_in_many_buckets(docs, rows, monkeypatch):
+    """The block operators with 32 buckets and several blocks: every key meets its
+    like in its own range."""
+    from stationflow.llm import jaccard_join, substring_dedup, suffix_dedup
+
+    for module in (jaccard_join, substring_dedup, suffix_dedup):
+        monkeypatch.setattr(module, "bucket_bits", lambda entries, *_: 5)
+    assert _sorted(remove_repeated_bytes(docs, block_bytes=20_000)) == brute_bytes(rows)
+    assert _sorted(remove_repeated_windows(docs, block_bytes=20_000)) == brute_windows(rows)
+    assert _sorted(jaccard_components(docs, block_bytes=20_000)) == brute_components(rows)
+
+
+@pytest.mark.parametrize("one_id", [None, 10**6])
+def test_a_third_of_rows_under_one_id(llm, rows, one_id):
+    """Rows of one id (or of none) are documents of their own to op2, and no
+    copies of each other to op5."""
+    own = [(one_id if i % 3 == 0 else r[0], *r[1:]) for i, r in enumerate(rows)]
+    docs = llm.createDataFrame(own, "doc_id long, text string, lang string, source string, n_chars long")
+    assert _sorted(remove_repeated_bytes(docs, block_bytes=20_000)) == brute_bytes(own)
+    assert _sorted(remove_repeated_windows(docs, block_bytes=20_000)) == brute_windows(own)
+
+
 def test_small_sets_at_the_boundary(llm):
     """Sets of 7 to 26 shingles that differ in one or two: pairs on both sides
     of the boundary and of the threshold."""
