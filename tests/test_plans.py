@@ -52,6 +52,8 @@ def test_json_scan_reads_four_fields(spark, fixture_dir):
     # user_type is read for the filter; the seven unused record fields are not
     assert "ReadSchema: struct<idunplug_station:bigint,idplug_station:bigint,user_type:bigint>" in p
     assert "Python" not in p
+    # the file key, made once per trip, takes no regular expression
+    assert "regexp_extract" not in p
 
 
 def test_variant_run_reports_do_not_rescan_trips(spark):
