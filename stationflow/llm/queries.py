@@ -16,7 +16,7 @@ from stationflow.llm.secret_scan import secret_report
 from stationflow.llm.shared import ship_package
 from stationflow.llm.spelling import spelling_variants
 from stationflow.llm.substring_dedup import remove_repeated_windows
-from stationflow.llm.suffix_dedup import remove_repeated_bytes
+from stationflow.llm.suffix_dedup import SHORTER, remove_repeated_bytes
 from stationflow.llm.token_counts import count_tokens
 from stationflow.llm.url_filter import blocked_hosts, filter_urls, with_host_path
 
@@ -31,7 +31,7 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeated_bytes(_table(spark, sf_dir, "documents"))
+    return remove_repeated_bytes(_table(spark, sf_dir, "documents"), shorter=SHORTER)
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

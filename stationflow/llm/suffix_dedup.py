@@ -4,7 +4,7 @@ The dealt method, distributed prefix doubling, ranks position pairs at offsets 1
 4, ... until unique or past the threshold. Ranking every byte so moves many times
 the text, so this module keeps its first step and one doubling, on phrases instead
 of bytes, and lets hashes of whole strings decide past the threshold: with phrases
-of some 48 bytes a pair is already half a string of L bytes. The result is the same.
+of some 40 bytes a pair is already a fifth of a string of 400 bytes. The result is the same.
 
 Suffixes are ranked at the places that repeats must share, not at every byte.
 Each window of W bytes names its anchor, the place of the smallest hash in it,
@@ -23,6 +23,10 @@ From anchor to anchor the text is cut into phrases.
   (around an edit or the end of a passage), the run's windows are compared one
   by one.
 
+A passage of 51 to some 63 words is mostly shorter than 400 bytes: with ``shorter``,
+the bytes covered by repeated strings of that length are counted too, and nothing more
+is removed. Both lengths share anchors, phrases and ranks, and the same rounds.
+
 Keys travel packed between blocks and buckets (see :mod:`blocks`); a string that
 occurs everywhere is one key per block. Spans are compared by 96 or more bits of
 independent hashes.
@@ -56,11 +60,13 @@ from stationflow.llm.shared import stored
 from stationflow.llm.text import hashed_spans, joined, mixed, prefix_hashes, span_hashes
 
 LENGTH = 400
-GRAM, SPREAD = 16, 96
+SHORTER = 256  # for the bytes that repeat in passages below LENGTH
+GRAM, SPREAD = 16, 80
 _SEGMENT = 1 << 20
 REQUESTS = "round int, bucket int, block int, n int, payload binary"
 REPLIES = "round int, block int, bucket int, payload binary"
 RUNS = 9  # round number of a block's own runs
+PHRASES, PAIRS, WINDOWS = 0, 1, 5  # round numbers; of pairs and windows for the first length
 
 
 def _sliding_min(a: np.ndarray, w: int) -> np.ndarray:
@@ -108,10 +114,10 @@ def anchor_runs(data: np.ndarray, starts: np.ndarray, spread: int = SPREAD) -> t
 
 
 class _Runs:
-    """Runs of a block's texts of at least ``length`` bytes."""
+    """Runs of a block's texts of at least ``least`` bytes."""
 
-    def __init__(self, texts: list[bytes], length: int, packed: bytes | None = None) -> None:
-        self.length, self.long = length, [i for i, t in enumerate(texts) if len(t) >= length]
+    def __init__(self, texts: list[bytes], least: int, packed: bytes | None = None) -> None:
+        self.long = [i for i, t in enumerate(texts) if len(t) >= least]
         self.data, self.starts = joined([texts[i] for i in self.long]) if self.long else (np.zeros(0, np.uint8), np.zeros(1, np.int64))
         if packed is None:
             self.anchor, self.first = anchor_runs(self.data, self.starts) if self.long else (np.zeros(0, np.int64),) * 2
@@ -123,13 +129,15 @@ class _Runs:
         if n:
             same = np.nonzero(owner[1:] == owner[:-1])[0]
             self.next[same] = same + 1
-        # Starts of strings of ``length`` bytes in the run: first..last.
-        end = self.starts[owner + 1] - 1 if n else self.first
-        follow = np.where(self.next >= 0, np.append(self.first[1:], 0), end + 1 - SPREAD - GRAM + 1) if n else self.first
-        self.last = np.minimum(follow - 1, end - length)
-        self.wanted = (self.last >= self.first) & (self.next >= 0)
+        self.end = self.starts[owner + 1] - 1 if n else self.first
+        self.follow = np.where(self.next >= 0, np.append(self.first[1:], 0), self.end + 1 - SPREAD - GRAM + 1) if n else self.first
         self.phrased = np.nonzero(self.next >= 0)[0]
 
+    def last(self, length: int) -> np.ndarray:
+        """Strings of ``length`` bytes start at first..last of a run; none where
+        last is smaller."""
+        return np.minimum(self.follow - 1, self.end - length)
+
     def packed(self) -> bytes:
         return pack(self.anchor.astype(np.uint64), self.first.astype(np.uint64))
 
@@ -166,56 +174,97 @@ def _ranked(rows: _Runs, replies: pa.Table) -> np.ndarray:
     """Rank 0 of each run's phrase (0: none)."""
     keys = rows.phrase_keys()
     order, group, firsts, _ = _distinct(keys)
-    (rank,) = replied(_of_round(replies, 0), 1)
+    (rank,) = replied(_of_round(replies, PHRASES), 1)
     out = np.zeros(len(rows.first), dtype=np.uint64)
     out[rows.phrased[order]] = rank[group]
     return out
 
 
-def _pairs(rows: _Runs, rank: np.ndarray):
-    """Survivors of rank 0 and the keys of the doubled length and beyond."""
-    i = np.nonzero(rows.wanted)[0]
-    i = i[(rank[i] > 0) & (rank[rows.next[i]] > 0)]
-    with np.errstate(over="ignore"):
-        pair = mixed(mixed(rank[i]) * np.uint64(0x9E3779B97F4A7C15) + rank[rows.next[i]])
-    p, s, e = rows.anchor[i], rows.first[i], rows.last[i]
-    core = hashed_spans(rows.data, p, p + rows.length - SPREAD + 1)
-    with np.errstate(over="ignore"):
-        shape = mixed((p - s).astype(np.uint64) * np.uint64(1000) + (e - s).astype(np.uint64))
-        whole = [hashed_spans(rows.data, s, e + rows.length, seed) + shape for seed in (0, 1)]
-    order, group, firsts, size = _distinct(pair, core, *whole)
-    return i, order, group, firsts, size, [k[order][firsts] for k in (pair, core, *whole)]
-
-
-def _single(rows: _Runs, i: np.ndarray, order: np.ndarray, firsts: np.ndarray, flag: np.ndarray):
-    """Windows to be compared one by one: of one run for each group flagged so."""
-    run = i[order[firsts[flag >= 2]]]
-    resolved = flag[flag >= 2] == 3
-    run, resolved = run[at := np.argsort(run)], resolved[at]
-    counts = rows.last[run] - rows.first[run] + 1
-    place = np.repeat(rows.first[run] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
-    h, check = (hashed_spans(rows.data, place, place + rows.length, seed) for seed in (0, 1))
-    check = (check >> np.uint64(32)).astype(np.uint32)
-    return place, np.repeat(resolved, counts), h, check, _distinct(h, check)
-
-
-def remove_repeated_bytes(documents: DataFrame, *, length: int = LENGTH, block_bytes: int | None = None, with_bytes: bool = False) -> DataFrame:
+def _hashed(data: np.ndarray, spans: list[tuple[np.ndarray, np.ndarray]], seed: int = 0) -> list[np.ndarray]:
+    """Hashes of several lists of spans in one pass over the buffer."""
+    start, stop = (np.concatenate(x) for x in zip(*spans, strict=True))
+    order = np.argsort(start, kind="stable")
+    out = np.empty(len(start), dtype=np.uint64)
+    out[order] = hashed_spans(data, start[order], stop[order], seed)
+    return np.split(out, np.cumsum([len(x) for x, _ in spans])[:-1])
+
+
+class _Pairs:
+    """Runs whose pair may repeat at one length, grouped by the keys of the
+    doubled length and beyond."""
+
+    def __init__(self, length: int, i: np.ndarray, last: np.ndarray, *keys: np.ndarray) -> None:
+        self.length, self.i, self.last = length, i, last
+        self.order, self.group, self.firsts, self.size = _distinct(*keys)
+        self.keys = [k[self.order][self.firsts] for k in keys]
+
+
+def _pairs(rows: _Runs, rank: np.ndarray, lengths: list[int]) -> list[_Pairs]:
+    """Survivors of rank 0 at each length."""
+    alive = np.nonzero((rows.next >= 0) & (rank > 0) & (rank[rows.next] > 0))[0]
+    chosen, cores, wholes = [], [], []
+    for length in lengths:
+        last = rows.last(length)
+        i = alive[last[alive] >= rows.first[alive]]
+        p, s, e = rows.anchor[i], rows.first[i], last[i]
+        chosen.append((length, i, p, s, e, last))
+        cores.append((p, p + length - SPREAD + 1))
+        wholes.append((s, e + length))
+    n = len(lengths)
+    hashes = _hashed(rows.data, [*cores, *wholes])
+    again = _hashed(rows.data, wholes, 1)
+    out = []
+    for (length, i, p, s, e, last), core, whole, other in zip(chosen, hashes[:n], hashes[n:], again, strict=True):
+        with np.errstate(over="ignore"):
+            pair = mixed(mixed(rank[i]) * np.uint64(0x9E3779B97F4A7C15) + rank[rows.next[i]])
+            shape = mixed((p - s).astype(np.uint64) * np.uint64(1000) + (e - s).astype(np.uint64))
+            out.append(_Pairs(length, i, last, pair, core, whole + shape, other + shape))
+    return out
+
+
+class _Single:
+    """Windows of one length to be compared one by one: of one run for each
+    group flagged so."""
+
+    def __init__(self, rows: _Runs, pairs: _Pairs, flag: np.ndarray) -> None:
+        run = pairs.i[pairs.order[pairs.firsts[flag >= 2]]]
+        resolved = flag[flag >= 2] == 3
+        run, resolved = run[at := np.argsort(run)], resolved[at]
+        counts = pairs.last[run] - rows.first[run] + 1
+        self.place = np.repeat(rows.first[run] - np.concatenate([[0], np.cumsum(counts)[:-1]]), counts) + np.arange(counts.sum())
+        self.resolved = np.repeat(resolved, counts)
+
+
+def _singles(rows: _Runs, pairs: list[_Pairs], flags: list[np.ndarray]) -> list[_Single]:
+    out = [_Single(rows, p, flag) for p, flag in zip(pairs, flags, strict=True)]
+    spans = [(x.place, x.place + p.length) for x, p in zip(out, pairs, strict=True)]
+    for x, h, check in zip(out, _hashed(rows.data, spans), _hashed(rows.data, spans, 1), strict=True):
+        x.h, x.check = h, (check >> np.uint64(32)).astype(np.uint32)
+        x.order, x.group, x.firsts, x.size = _distinct(x.h, x.check)
+    return out
+
+
+def remove_repeated_bytes(documents: DataFrame, *, length: int = LENGTH, block_bytes: int | None = None, with_bytes: bool = False, shorter: int | None = None) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` (and ``kept``, the
-    remaining bytes, if asked for) for each row. ``length`` is at least 300 so
-    that every string holds two phrases."""
-    if length < 3 * SPREAD + GRAM:
+    remaining bytes, if asked for) for each row. With ``shorter``, a length of
+    its own, ``n_repeated`` follows: bytes covered by a string of that length that
+    also starts anywhere else; it changes nothing of what is removed. Lengths are
+    at least 256 so that every string holds two phrases."""
+    lengths = [length] if shorter is None else [length, shorter]
+    least = min(lengths)
+    if least < 3 * SPREAD + GRAM:
         raise ValueError(f"length must be at least {3 * SPREAD + GRAM}")
     blocks = text_blocks(documents, **({"block_bytes": block_bytes} if block_bytes else {}))
     bits = bucket_bits(blocks.text_bytes // (SPREAD // 2))
 
     def ask_phrases(block: int, docs: Rows, _: pa.Table | None) -> pa.Table:
         texts = docs.texts
-        rows = _Runs(texts, length)
+        rows = _Runs(texts, least)
         keys = rows.phrase_keys()
         order, _, firsts, size = _distinct(keys)
         own = pa.table({"bucket": pa.array([0], pa.int32()), "block": pa.array([block], pa.int32()), "n": pa.array([0], pa.int32()), "payload": [rows.packed()]})
         asked = requests_table(block, keys[order][firsts], [(size > 1).astype(np.uint8)], bits)
-        return pa.concat_tables([_tagged(asked, 0), _tagged(own, RUNS)])
+        return pa.concat_tables([_tagged(asked, PHRASES), _tagged(own, RUNS)])
 
     def rank_phrases(key: tuple[pa.Scalar, ...], requests: pa.Table) -> pa.Table:
         """Sorted phrases of a hash range: repeated ones get ranks 1, 2, ..."""
@@ -226,13 +275,21 @@ def remove_repeated_bytes(documents: DataFrame, *, length: int = LENGTH, block_b
         rank = np.where(repeated, np.cumsum(repeated) + np.uint64(bucket << 40), 0).astype(np.uint64)
         out = np.empty(len(h), dtype=np.uint64)
         out[order] = rank[group]
-        return _tagged(replies_table(bucket, numbers, n, [out]), 0)
+        return _tagged(replies_table(bucket, numbers, n, [out]), PHRASES)
+
+    def paired(docs: Rows, replies: pa.Table) -> tuple[_Runs, list[_Pairs]]:
+        rows = _Runs(docs.texts, least, _of_round(replies, RUNS)["payload"][0].as_py())
+        return rows, _pairs(rows, _ranked(rows, replies), lengths)
+
+    def singled(docs: Rows, replies: pa.Table) -> tuple[_Runs, list[_Pairs], list[np.ndarray], list[_Single]]:
+        rows, pairs = paired(docs, replies)
+        flags = [replied(_of_round(replies, PAIRS + k), 1)[0] for k in range(len(lengths))]
+        return rows, pairs, flags, _singles(rows, pairs, flags)
 
     def ask_pairs(block: int, docs: Rows, replies: pa.Table) -> pa.Table:
-        texts = docs.texts
-        rows = _Runs(texts, length, _of_round(replies, RUNS)["payload"][0].as_py())
-        *_, size, keys = _pairs(rows, _ranked(rows, replies))
-        return _tagged(requests_table(block, keys[0], [*keys[1:], (size > 1).astype(np.uint8)], bits), 1)
+        _, pairs = paired(docs, replies)
+        asked = [requests_table(block, p.keys[0], [*p.keys[1:], (p.size > 1).astype(np.uint8)], bits) for p in pairs]
+        return pa.concat_tables([_tagged(t, PAIRS + k) for k, t in enumerate(asked)])
 
     def judge_pairs(key: tuple[pa.Scalar, ...], requests: pa.Table) -> pa.Table:
         """0: unique; 1: every window of the run repeats; 2: compare its
@@ -251,15 +308,15 @@ def remove_repeated_bytes(documents: DataFrame, *, length: int = LENGTH, block_b
         out[order] = flag[group]
         stands = many & (open_[kind] > 0) if len(kind) else many
         out[order[firsts[stands]]] = 3
-        return _tagged(replies_table(key[0].as_py(), numbers, n, [out]), 1)
+        return _tagged(replies_table(key[1].as_py(), numbers, n, [out]), key[0].as_py())
 
     def ask_windows(block: int, docs: Rows, replies: pa.Table) -> pa.Table:
-        texts = docs.texts
-        rows = _Runs(texts, length, _of_round(replies, RUNS)["payload"][0].as_py())
-        i, order, group, firsts, size, _ = _pairs(rows, _ranked(rows, replies))
-        (flag,) = replied(_of_round(replies, 1), 1)
-        _, _, h, check, (at, _, first, count) = _single(rows, i, order, firsts, flag)
-        return _tagged(requests_table(block, h[at][first], [check[at][first], (count > 1).astype(np.uint8)], bits), 2)
+        *_, singles = singled(docs, replies)
+        asked = []
+        for x in singles:
+            first = x.order[x.firsts]
+            asked.append(requests_table(block, x.h[first], [x.check[first], (x.size > 1).astype(np.uint8)], bits))
+        return pa.concat_tables([_tagged(t, WINDOWS + k) for k, t in enumerate(asked)])
 
     def judge_windows(key: tuple[pa.Scalar, ...], requests: pa.Table) -> pa.Table:
         numbers, n, (h, check, more) = gathered(requests.drop_columns(["round"]))
@@ -267,37 +324,39 @@ def remove_repeated_bytes(documents: DataFrame, *, length: int = LENGTH, block_b
         many = (size > 1) | (np.maximum.reduceat(more[order], firsts) > 0 if len(firsts) else size > 1)
         out = np.empty(len(h), dtype=np.uint8)
         out[order] = many[group]
-        return _tagged(replies_table(key[0].as_py(), numbers, n, [out]), 2)
+        return _tagged(replies_table(key[1].as_py(), numbers, n, [out]), key[0].as_py())
 
     def removed(block: int, docs: Rows, replies: pa.Table) -> pa.Table:
-        ids, texts = docs.ids, docs.texts
-        rows = _Runs(texts, length, _of_round(replies, RUNS)["payload"][0].as_py())
-        i, order, group, firsts, size, _ = _pairs(rows, _ranked(rows, replies))
-        (flag,) = replied(_of_round(replies, 1), 1)
-        (again,) = replied(_of_round(replies, 2), 1)
-        place, resolved, _, _, (at, kind, _, _) = _single(rows, i, order, firsts, flag)
-        single = np.zeros(len(place), dtype=bool)
-        single[at] = again[kind] > 0
-        run = i[order[(flag[group] == 1) | (flag[group] == 3)]]
-        begin = np.concatenate([rows.first[run], place[single & ~resolved]])
-        stop = np.concatenate([rows.last[run], place[single & ~resolved]]) + length
-        spans = _union(begin, stop)
-        return _report(ids, texts, rows, spans, id_arrow, with_bytes)
+        rows, pairs, flags, singles = singled(docs, replies)
+        spans = []
+        for k, (p, flag, x) in enumerate(zip(pairs, flags, singles, strict=True)):
+            (again,) = replied(_of_round(replies, WINDOWS + k), 1)
+            single = np.zeros(len(x.place), dtype=bool)
+            single[x.order] = again[x.group] > 0
+            run = p.i[p.order[(flag[p.group] == 1) | (flag[p.group] == 3)]]
+            begin = np.concatenate([rows.first[run], x.place[single & ~x.resolved]])
+            stop = np.concatenate([p.last[run], x.place[single & ~x.resolved]]) + p.length
+            spans.append(_union(begin, stop))
+        report = _report(docs.ids, docs.texts, rows, spans[0], id_arrow, with_bytes)
+        if shorter is not None:
+            report = report.add_column(5, "n_repeated", pa.array(_covered(len(docs.texts), rows, *spans[1]), pa.int64()))
+        return report
 
     from pyspark.sql.pandas.types import to_arrow_type
 
     id_arrow = to_arrow_type(documents.schema["doc_id"].dataType)
     asked = stored(each_block(blocks, ask_phrases, REQUESTS), "phrases")
     runs = asked.where(f"round = {RUNS}").select("round", "block", "bucket", "payload")
-    known = runs.unionByName(stored(asked.where("round = 0").groupBy("bucket").applyInArrow(rank_phrases, REPLIES), "phrase-ranks"))
+    known = runs.unionByName(stored(asked.where(f"round = {PHRASES}").groupBy("bucket").applyInArrow(rank_phrases, REPLIES), "phrase-ranks"))
     known = known.unionByName(stored(_answered(blocks, ask_pairs, judge_pairs, known), "pair-verdicts"))
     known = known.unionByName(stored(_answered(blocks, ask_windows, judge_windows, known), "window-verdicts"))
-    schema = f"doc_id {blocks.id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_bytes
+    schema = f"doc_id {blocks.id_type}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    schema += ", n_repeated long" * (shorter is not None) + ", kept binary" * with_bytes
     return each_block(blocks, removed, schema, known)
 
 
 def _answered(blocks: Blocks, ask, judge, known: DataFrame) -> DataFrame:
-    return each_block(blocks, ask, REQUESTS, known).groupBy("bucket").applyInArrow(judge, REPLIES)
+    return each_block(blocks, ask, REQUESTS, known).groupBy("round", "bucket").applyInArrow(judge, REPLIES)
 
 
 def _union(begin: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -312,6 +371,14 @@ def _union(begin: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return begin[firsts], stop[np.append(firsts[1:], len(begin)) - 1]
 
 
+def _covered(n: int, rows: _Runs, begin: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """Bytes of each of n texts that the spans cover."""
+    out = np.zeros(n, dtype=np.int64)
+    owner = np.searchsorted(rows.starts, begin, side="right") - 1
+    np.add.at(out, np.array(rows.long, dtype=np.int64)[owner], stop - begin)
+    return out
+
+
 def _report(ids: list, texts: list[bytes], rows: _Runs, spans, id_arrow: pa.DataType, with_bytes: bool) -> pa.Table:
     begin, stop = spans
     owner = np.searchsorted(rows.starts, begin, side="right") - 1

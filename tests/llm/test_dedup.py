@@ -59,6 +59,53 @@ def test_repeated_bytes_odd_inputs(llm, empty, clashing, rows):
         remove_repeated_bytes(empty, length=100)
 
 
+def brute_both(rows, length=400, shorter=256):
+    """As brute_bytes, with the bytes that the shorter strings cover."""
+    most, more = brute_bytes(list(enumerate(r[1] for r in rows)), length), brute_bytes(list(enumerate(r[1] for r in rows)), shorter)
+    return sorted(((rows[i][0], *rest, x[2]) for (i, *rest), x in zip(sorted(most), sorted(more), strict=True)), key=repr)
+
+
+@pytest.mark.parametrize("buckets", [None, 5])
+def test_two_lengths_in_one_run(docs, rows, monkeypatch, buckets):
+    from stationflow.llm import suffix_dedup
+
+    if buckets:
+        monkeypatch.setattr(suffix_dedup, "bucket_bits", lambda entries, *_: buckets)
+    want = brute_both(rows)
+    assert any(r[5] > r[2] for r in want)
+    assert _sorted(remove_repeated_bytes(docs, block_bytes=20_000, shorter=256)) == want
+    assert [r[:5] for r in want] == brute_bytes(rows)  # what is removed does not depend on the other length
+
+
+def test_passages_of_51_words_are_seen(llm, empty, tmp_path):
+    """Passages of over 50 words in two documents each, most of them below 400
+    bytes; the query counts their bytes and removes only what the 400 bytes do."""
+    import random
+
+    from stationflow.llm.queries import QUERIES
+
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choices("abcdeilmnorstu", k=rng.randint(2, 8)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    passages = [text(n) for n in (51, 52, 53, 55, 58, 60, 63, 90)]
+    assert sum(len(p) < 400 for p in passages) > 5 and min(map(len, passages)) > 260
+    rows = [(10 * i + j, f"{text(40)}. {p} {text(30 + j)}", "en", "s", 0) for i, p in enumerate(passages) for j in range(2)]
+    rows += [(1000 + i, text(120), "en", "s", 0) for i in range(20)] + [(None, None, None, None, None), (2000, passages[0][:255], "en", "s", 0)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    llm.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/documents.parquet")
+    out = QUERIES["op2_suffix_dedup"](llm, str(tmp_path))
+    assert out.columns == ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_repeated"]
+    got = {r["doc_id"]: r for r in out.collect()}
+    for i, p in enumerate(passages):
+        for j in range(2):
+            assert got[10 * i + j]["n_repeated"] >= len(p) and (got[10 * i + j]["n_removed"] > 0) == (got[10 * i + j]["n_removed"] >= 400)
+    assert all(r["n_repeated"] == 0 for d, r in got.items() if d is None or d >= 1000)
+    assert _sorted(out) == brute_both(rows)
+    assert remove_repeated_bytes(empty, shorter=256).count() == 0
+    with pytest.raises(ValueError):
+        remove_repeated_bytes(empty, shorter=255)
+
+
 # --- repeated windows of words ---------------------------------------------------
 
 
